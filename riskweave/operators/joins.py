@@ -25,7 +25,7 @@ def account_coverage(dwd: DataFrame, accounts: DataFrame) -> DataFrame:
     """
     sides = F.array(
         F.struct(F.col("from_account").alias("account_number"), F.lit(1).alias("is_from")),
-        F.struct(F.col("to_account"), F.lit(0)),
+        F.struct(F.col("to_account").alias("account_number"), F.lit(0).alias("is_from")),
     )
     per_account = dwd.select(F.inline(sides)).groupBy("account_number").agg(
         F.sum("is_from").alias("from_rows"),
@@ -51,7 +51,7 @@ def missing_account_examples(dwd: DataFrame, accounts: DataFrame, n: int = 20) -
     """First ``n`` (side, account, transaction_id) with an unknown account, in id order."""
     sides = F.array(
         F.struct(F.lit("from").alias("side"), F.col("from_account").alias("account_number")),
-        F.struct(F.lit("to"), F.col("to_account")),
+        F.struct(F.lit("to").alias("side"), F.col("to_account").alias("account_number")),
     )
     return (
         dwd.select("transaction_id", F.inline(sides))

@@ -80,20 +80,15 @@ def profile_patterns(lines: DataFrame) -> DataFrame:
 
     One scan: each line gives its kind, and its label or type where it has one.
     """
-    facts = F.array_compact(
-        F.array(
-            F.struct(F.lit("line").alias("section"), F.lit("all").alias("key")),
-            F.struct(F.lit("kind"), F.col("kind")),
-            F.when(F.col("label").isNotNull(), F.struct(F.lit("label"), F.col("label"))),
-            F.when(
-                F.col("pattern_type").isNotNull(),
-                F.struct(F.lit("pattern_type"), F.col("pattern_type")),
-            ),
-        )
-    )
+    def fact(section: str, key: Column) -> Column:
+        named = F.struct(F.lit(section).alias("section"), key.alias("key"))
+        return F.when(key.isNotNull(), named)
+
+    facts = F.array_compact(F.array(
+        fact("line", F.lit("all")), *[fact(c, F.col(c)) for c in ("kind", "label", "pattern_type")]
+    ))
     return (
-        lines.select(F.inline(facts)).toDF("section", "key")
-        .groupBy("section", "key").agg(F.count("*").alias("count"))
+        lines.select(F.inline(facts)).groupBy("section", "key").agg(F.count("*").alias("count"))
     )
 
 

@@ -45,6 +45,17 @@ def latest_run(
     return df.filter(F.col(run_col) == runs.agg(F.max(run_col)).scalar())
 
 
+def decodable(raw: Column) -> Column:
+    """True for a text that is exactly one JSON object.
+
+    The parser stops after the first value; inside brackets, trailing text is an error and
+    a second object becomes a second element.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    return raw.startswith("{") & wrapped.isNotNull() & alone
+
+
 def parse_events(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
     """JSON lines to columns; blank, non-object and undecodable lines disappear.
 
@@ -52,10 +63,9 @@ def parse_events(lines: DataFrame, schema: T.StructType, text: str = "value") ->
     """
     raw = F.trim(F.col(text))
     data = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
-    decodable = F.try_parse_json(raw).isNotNull()
     keep = [c for c in lines.columns if c != text]
     return (
-        lines.filter(raw.startswith("{") & decodable)
+        lines.filter(decodable(raw))
         .select(*keep, data.alias("_event"))
         .select(*keep, "_event.*")
     )
@@ -71,7 +81,7 @@ def read_jsonl_events(
 def read_raw_events(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Object lines kept as raw text (column ``value``) for contract checks."""
     raw = spark.read.text(path).select(F.trim("value").alias("value"))
-    kept = raw.filter(F.col("value").startswith("{") & F.try_parse_json("value").isNotNull())
+    kept = raw.filter(decodable(F.col("value")))
     if run_id is not None:
         kept = kept.filter(F.get_json_object("value", "$.run_id") == run_id)
     return kept

@@ -23,6 +23,7 @@ def _read_positional(
         .option("enforceSchema", True)   # ... and map by position: one name occurs twice
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # count the fields even when few are selected
         .option("multiLine", multiline)
         .option("quote", '"').option("escape", '"')
         .option("nullValue", "\u0000").option("emptyValue", "")
