@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskweave.plans import queries_sources  # noqa: F401
+from riskweave.plans import queries_sources, queries_marts  # noqa: F401
 from riskweave.plans.catalog import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
