@@ -21,18 +21,11 @@ def strip(col: Column | str) -> Column:
 def parse_amount(col: Column | str) -> Column:
     """Text to double: thousands commas dropped, blanks and garbage become NULL.
 
-    Java's parser also takes ``1d``/``1f`` suffixes and hex floats, which are not
-    amounts; digit-group underscores are.
+    Underscores between digits are dropped too.  Java's parser also takes ``1d``/``1f``
+    suffixes and hex floats, which are not amounts.
     """
-    text = F.translate(strip(col), ",", "")
-    last = F.lower(F.right(text, F.lit(1)))
-    java_only = (last.isin("d", "f") & (F.lower(F.right(text, F.lit(3))) != "inf")) | F.lower(
-        text
-    ).contains("0x")
-    grouped = F.when(
-        text.contains("_"), F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(text)
-    return F.when((text != "") & ~java_only, grouped.try_cast("double"))
+    text = F.regexp_replace(strip(col), "[,]|(?<=[0-9])_(?=[0-9])", "")
+    return F.when(~text.rlike("[dD]$|(?<![nN])[fF]$|[xX]"), text.try_cast("double"))
 
 
 def parse_ts(col: Column | str) -> dict[str, Column]:

@@ -40,8 +40,9 @@ def _json_kind(name: str) -> Column:
 
 
 def _is_int(kind: Column) -> Column:
-    # JSON booleans pass as whole numbers in the checked contract
-    return kind.isin("BIGINT", "BOOLEAN") | kind.rlike(r"^DECIMAL\([0-9]+,0\)$")
+    # JSON booleans pass as whole numbers in the checked contract.  Whole numbers past 64
+    # bits read as wide decimals; a short DECIMAL(n,0) is a float such as 25.0.
+    return kind.isin("BIGINT", "BOOLEAN") | kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
 
 
 def _type_ok(kind: Column, wanted: str) -> Column:
@@ -88,8 +89,13 @@ def validate_contract(
     raw: DataFrame, contract: Contract, text: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """(valid events as typed columns, invalid raw text with all its errors)."""
-    checked = contract_errors(raw, contract, text)
-    keep = [c for c in raw.columns if c != text]
+    return split_checked(contract_errors(raw, contract, text), contract, text)
+
+
+def split_checked(
+    checked: DataFrame, contract: Contract, text: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    keep = [c for c in checked.columns if c not in (text, ERRORS)]
     valid = (
         checked.filter(F.size(ERRORS) == 0)
         .select(*keep, F.from_json(text, contract.schema).alias("_e"))

@@ -45,10 +45,12 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
 
 def profile_transactions(raw: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
     """One wide row about raw text transactions; amounts count only where both parse."""
-    paid, received = parse_amount("amount_paid"), parse_amount("amount_received")
-    both = paid.isNotNull() & received.isNotNull()
+    typed = raw.withColumns({
+        "_paid": parse_amount("amount_paid"), "_received": parse_amount("amount_received")
+    }).withColumn("_both", F.col("_paid").isNotNull() & F.col("_received").isNotNull())
+    both, paid, received = F.col("_both"), F.col("_paid"), F.col("_received")
     stamp = F.when(F.col("timestamp") != "", F.col("timestamp"))
-    main = raw.agg(
+    main = typed.agg(
         F.count("*").alias("row_count"),
         F.coalesce(F.min(stamp), F.lit("")).alias("min_timestamp"),
         F.coalesce(F.max(stamp), F.lit("")).alias("max_timestamp"),

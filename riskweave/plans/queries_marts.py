@@ -552,7 +552,7 @@ picked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tier ORDER B
 
 @query("h04_tiered_sample", f"WITH {Q.SCORED}, {_TIER} SELECT transaction_id, tier, is_laundering FROM picked")
 def _(spark, sf):
-    sample = SA.tiered_sample(I.context(spark, sf), 3000)
+    sample = SA.tiered_sample(I.stored(I.context(spark, sf), "context"), 3000)
     return sample.select("transaction_id", F.col("_tier").alias("tier"), "is_laundering")
 
 
@@ -560,7 +560,7 @@ def _(spark, sf):
   count(*) FILTER (raw_score < 30) AS non_candidate_rows_written, CAST(sum(is_laundering) AS BIGINT) AS observed_laundering_rows_written,
   (SELECT count(*) FROM ctx_score) AS joined_rows, (SELECT count(*) FROM tier WHERE tier = 2) AS candidate_rows_available FROM picked""")
 def _(spark, sf):
-    joined = I.context(spark, sf)
+    joined = I.stored(I.context(spark, sf), "context")
     return P.sample_summary(joined, SA.tiered_sample(joined, 3000))
 
 

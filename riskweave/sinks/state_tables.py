@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskweave.operators.ranking import latest_per_key
 
 
-def put_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def put_batch(rows: DataFrame, path: str, batch_id: int) -> str:
+    target = f"{path}/batch_id={batch_id}"
+    rows.write.mode("overwrite").parquet(target)
+    return target
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

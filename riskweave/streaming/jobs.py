@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.functions.columns import money_sum
 from riskweave.operators import state as ST
-from riskweave.operators.contract import ERRORS, Contract, validate_contract
+from riskweave.operators.contract import ERRORS, Contract, contract_errors, split_checked
 from riskweave.operators.detail import as_json_lines
 from riskweave.sinks.state_tables import put_batch
 from riskweave.sources.layers import parse_events
@@ -69,15 +69,16 @@ def state_job(
     win over earlier ones, so arrival order decides.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        valid, invalid = validate_contract(batch, contract)
+        checked = contract_errors(batch, contract).persist()
+        valid, invalid = split_checked(checked, contract)
         put_batch(invalid.withColumn(ERRORS, F.to_json(ERRORS)), f"{root}/invalid", batch_id)
-        put_batch(valid, f"{root}/events", batch_id)
-        latest = ST.latest_state(valid, order)
+        stored = put_batch(valid, f"{root}/events", batch_id)
+        checked.unpersist()
+        written = batch.sparkSession.read.schema(valid.schema).parquet(stored)
+        latest = ST.latest_state(written, order)
         put_batch(ST.cache_rows(latest.select(*contract.schema.names), key_prefix),
                   f"{root}/cache", batch_id)
         put_batch(ST.durable_state_rows(latest, stamp), f"{root}/durable", batch_id)
-        batch.unpersist()
 
     return (
         raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -91,7 +92,8 @@ def streaming_minute_kpi(events: DataFrame, ts: str = "event_ts", delay: str = "
     A streaming aggregation cannot count distinct values exactly, so accounts are
     approximate here; the closed batch form is the minute mart.
     """
-    sides = events.withWatermark(ts, delay).select(
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    sides = timed.select(
         ts, "payment_format", "is_laundering", "amount_paid",
         F.inline(F.array(
             F.struct(F.col("from_account").alias("account"), F.lit(1).alias("first")),
