@@ -17,7 +17,7 @@ from riskweave.operators.ranking import exact_quantile
 # the two Python functions travel inside the task, so workers need not install this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_NODE = "tree int, node int, feature int, threshold double, left int, right int, depth double"
+_NODE = "tree int, node int, feature int, threshold double, left int, depth double"
 
 
 def average_path(n: float) -> float:
@@ -53,7 +53,10 @@ def subsamples(
 
 
 def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Random axis splits until rows are alone, equal, or the depth is reached."""
+    """Random axis splits until rows are alone, equal, or the depth is reached.
+
+    Nodes are (node, feature, threshold, left child, path length); the right child is left + 1.
+    """
     nodes: list[tuple] = []
     todo = [(0, np.arange(len(x)), 0)]
     used = 1
@@ -63,14 +66,15 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
         low, high = part.min(axis=0), part.max(axis=0)
         open_axes = np.flatnonzero(high > low)
         if depth >= max_depth or len(rows) <= 1 or len(open_axes) == 0:
-            nodes.append((node, -1, 0.0, -1, -1, depth + average_path(len(rows))))
+            # a leaf points to itself, so a fixed number of steps always ends there
+            nodes.append((node, 0, math.inf, node, depth + average_path(len(rows))))
             continue
         axis = int(rng.choice(open_axes))
         cut = float(rng.uniform(low[axis], high[axis]))
         if cut >= high[axis]:  # rounding must not leave a side empty
             cut = float(low[axis])
         goes_left = part[:, axis] <= cut
-        nodes.append((node, axis, cut, used, used + 1, 0.0))
+        nodes.append((node, axis, cut, used, 0.0))
         todo.append((used, rows[goes_left], depth + 1))
         todo.append((used + 1, rows[~goes_left], depth + 1))
         used += 2
@@ -91,7 +95,7 @@ def fit_forest(
         tree = int(pdf["tree"].iloc[0])
         rows = pdf.sort_values(id_col)[features].to_numpy(dtype=float)
         nodes = _grow(rows, np.random.default_rng([seed, tree]), depth)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "depth"])
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "depth"])
         out.insert(0, "tree", tree)
         return out
 
@@ -105,25 +109,21 @@ def score_forest(df: DataFrame, forest: pd.DataFrame, rows_per_tree: int = 256)
     for _, nodes in forest.groupby("tree"):
         nodes = nodes.sort_values("node")
         packed.append(tuple(
-            nodes[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth")
+            nodes[c].to_numpy() for c in ("feature", "threshold", "left", "depth")
         ))
     shared = df.sparkSession.sparkContext.broadcast(packed)
     norm = average_path(rows_per_tree)
+    steps = int(math.ceil(math.log2(max(rows_per_tree, 2))))
 
     @F.pandas_udf("double")
     def isolation(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
         total = np.zeros(len(x))
         rows = np.arange(len(x))
-        for feature, threshold, left, right, depth in shared.value:
+        for feature, threshold, left, depth in shared.value:
             at = np.zeros(len(x), dtype=np.int64)
-            while True:
-                axis = feature[at]
-                inner = axis >= 0
-                if not inner.any():
-                    break
-                goes_left = x[rows, np.where(inner, axis, 0)] <= threshold[at]
-                at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
+            for _ in range(steps):
+                at = left[at] + (x[rows, feature[at]] > threshold[at])
             total += depth[at]
         return pd.Series(np.power(2.0, -total / len(shared.value) / norm))
 

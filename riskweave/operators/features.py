@@ -8,6 +8,7 @@ from riskweave import constants as K
 from riskweave.operators.joins import (
     derive_features, fill_feature_defaults, join_account_features,
 )
+from riskweave.session import staged
 from riskweave.operators.sampling import stratified_split, undersample
 
 _TX = [
@@ -23,9 +24,10 @@ def build_features(
     """24 columns per sampled transaction.
 
     Sampling and splitting run on the narrow transaction columns before the account join,
-    so only sampled rows are joined; label-derived account columns are never selected.
+    so only sampled rows are joined; label-derived account columns are never selected.  The
+    sample is written once because the split needs several passes over it.
     """
-    sampled = undersample(dwd.select(*_TX), negatives, seed)
+    sampled = staged(undersample(dwd.select(*_TX), negatives, seed), "sample")
     split = stratified_split(sampled, 0.25, seed)
     joined = fill_feature_defaults(join_account_features(split, accounts))
     return derive_features(joined).select(*K.FEATURE_COLUMNS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave.functions import columns as C
+from riskweave.operators.profiling import distinct_values
 from riskweave.operators.skew import join_unique
 
 ACCOUNT_FEATURES = [
@@ -48,14 +49,22 @@ def account_coverage(dwd: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def missing_account_examples(dwd: DataFrame, accounts: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` (side, account, transaction_id) with an unknown account, in id order."""
+    """First ``n`` (side, account, transaction_id) with an unknown account, in id order.
+
+    The unknown accounts are found on distinct accounts first.  They are few as a rule, so
+    the detail rows then meet a small set, which Spark broadcasts at run time.
+    """
+    known = accounts.select("account_number")
+    unknown = distinct_values(dwd, "from_account", "to_account").select(
+        F.col("value").alias("account_number")
+    ).join(known, "account_number", "left_anti")
     sides = F.array(
         F.struct(F.lit("from").alias("side"), F.col("from_account").alias("account_number")),
         F.struct(F.lit("to").alias("side"), F.col("to_account").alias("account_number")),
     )
     return (
         dwd.select("transaction_id", F.inline(sides))
-        .join(accounts.select("account_number"), "account_number", "left_anti")
+        .join(unknown, "account_number", "left_semi")
         .select("side", F.col("account_number").alias("account"), "transaction_id")
         .orderBy("transaction_id", "side").limit(n)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskweave import constants as K
 from riskweave.functions import rules
 from riskweave.functions.columns import amount_bin, money_sum, parse_amount, rate
-from riskweave.operators.ranking import exact_quantile
+from riskweave.operators.ranking import exact_quantiles
 
 
 def metric_rows(wide: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -178,9 +178,9 @@ def eda_metrics(df: DataFrame) -> DataFrame:
         F.min("amount_paid").alias("amount_paid_min"),
         F.max("amount_paid").alias("amount_paid_max"),
     )
-    for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
-        wide = wide.withColumn(f"amount_paid_{name}", F.lit(exact_quantile(df, "amount_paid", q)))
-    return wide
+    values = exact_quantiles(df, "amount_paid", [0.5, 0.95, 0.99])
+    names = [f"amount_paid_{p}" for p in ("p50", "p95", "p99")]
+    return wide.withColumns({name: F.lit(value) for name, value in zip(names, values)})
 
 
 def _rate_aggs() -> list[Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.constants import LARGE_QUANTILE
@@ -79,74 +81,75 @@ def running_totals(
 
 
 _SMALL = 1_000_000
-_SKETCH = 10_000
+_ACCURACY = 100_000
 
 
 def exact_quantile(df: DataFrame, col: str, q: float = LARGE_QUANTILE) -> float:
-    """Exact quantile with linear interpolation at ``(n - 1) q``; empty input gives 0.0.
+    """Exact quantile with linear interpolation at ``(n - 1) q``; empty input gives 0.0."""
+    return exact_quantiles(df, col, [q])[0]
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
+    """Exact quantiles of one column without sorting or collecting it.
 
-    The built-in exact ``percentile`` keeps every distinct value in one task.  Here a
-    sketch brackets the wanted rank, the rows strictly inside the bracket are counted,
-    and the bracket narrows ~1000x per scan until at most a million rows are left to
-    sort.  No pass shuffles more than partial aggregates; only scalars reach the driver.
+    The built-in exact ``percentile`` keeps every distinct value in one task.  Here the
+    first pass sketches a bracket around each rank, the second counts the rows below, on
+    and between the bracket ends, and only the rows strictly inside a bracket (a few
+    hundred-thousandths of the table) are sorted, in parallel when they are many.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    v = F.col("v")
+    values = df.select(F.col(col).cast("double").alias("v")).filter(v.isNotNull())
+    reach = 2.0 / _ACCURACY
+    marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-reach, reach)]
+    n, low, high, ends = values.agg(
+        F.count("*"), F.min("v"), F.max("v"), F.percentile_approx("v", marks, _ACCURACY)
+    ).first()
     if not n:
-        return 0.0
-    if q <= 0 or q >= 1:
-        return float(low if q <= 0 else high)
-    position = (n - 1) * q
-    k = int(position)
-    weight = position - k
-    wanted = [k] if weight == 0 else [k, k + 1]
-    found = _order_statistics(values, n, float(low), float(high), wanted)
-    if weight == 0:
-        return found[k]
-    return found[k] * (1 - weight) + found[k + 1] * weight
-
-
-def _order_statistics(
-    values: DataFrame, n: int, low: float, high: float, ranks: list[int]
-) -> dict[int, float]:
-    """Values at the given 0-based ranks of column ``v``; ``low``/``high`` are its extremes."""
-    found: dict[int, float] = {}
-    inside, offset, size = values, 0, n
-    todo = list(ranks)
-    while todo and size > _SMALL:
-        reach = 2.0 / _SKETCH
-        ends = [max(0.0, todo[0] - offset - 1) / size - reach, (todo[-1] - offset + 1) / size + reach]
-        ends = [min(1.0, max(0.0, e)) for e in ends]
-        low, high = inside.agg(F.percentile_approx("v", ends, _SKETCH)).first()[0]
-        v = F.col("v")
-        below, at_low, mid, at_high = inside.agg(
-            F.count_if(v < low), F.count_if(v == low),
-            F.count_if((v > low) & (v < high)),
-            F.count_if((v == high) & F.lit(high > low)),
-        ).first()
-        start = offset + below
-        for rank in todo:
-            if start <= rank < start + at_low:
-                found[rank] = low
-            elif start + at_low + mid <= rank < start + at_low + mid + at_high:
-                found[rank] = high
-        todo = [r for r in todo if r not in found]
-        if any(not start + at_low <= r < start + at_low + mid for r in todo) or mid == size:
-            break  # the sketch missed the rank: finish with the counted values below
-        inside = inside.filter((v > low) & (v < high))
-        offset, size = start + at_low, mid
-    if todo:
-        counted = inside.groupBy("v").agg(F.count("*").alias("n"))
-        if size > _SMALL:
-            counted = running_totals(counted, [F.col("v")], {"upto": "n"})
-        else:
-            upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            counted = counted.withColumn("upto", F.sum("n").over(upto))
-        for rank in todo:
-            local = rank - offset
-            hit = counted.filter((F.col("upto") > local) & (F.col("upto") - F.col("n") <= local))
-            found[rank] = float(hit.select("v").first()[0])
-    return found
+        return [0.0] * len(qs)
+    # 0-based ranks around (n - 1) q, with the weight of the upper one
+    spots = [((n - 1) * min(1.0, max(0.0, q))) for q in qs]
+    found: dict[int, float] = {0: float(low), n - 1: float(high)}
+    wanted = [[r for r in {int(p), min(int(p) + 1, n - 1)} if r not in found] for p in spots]
+    if n <= _SMALL:
+        found |= _values_at(values, 0, n, sorted({r for rs in wanted for r in rs}))
+    else:
+        brackets = [(ends[2 * i], ends[2 * i + 1]) for i in range(len(qs))]
+        tests = []
+        for lo, hi in brackets:
+            tests += [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & F.lit(hi > lo)]
+        counts = values.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)]).first()
+        for i, ((lo, hi), ranks) in enumerate(zip(brackets, wanted)):
+            below, at_lo, inside, at_hi = counts[4 * i: 4 * i + 4]
+            first, last = below + at_lo, below + at_lo + inside
+            found |= {r: lo for r in ranks if below <= r < first}
+            found |= {r: hi for r in ranks if last <= r < last + at_hi}
+            rest = [r for r in ranks if r not in found]
+            if all(first <= r < last for r in rest):
+                found |= _values_at(values.filter((v > lo) & (v < hi)), first, inside, rest)
+            else:  # the sketch missed: rank the whole column instead
+                found |= _values_at(values, 0, n, rest)
+    out = []
+    for p in spots:
+        k, weight = int(p), p - int(p)
+        upper = found[min(k + 1, n - 1)]
+        out.append(found[k] if weight == 0 else found[k] * (1 - weight) + upper * weight)
+    return out
+
+
+def _values_at(values: DataFrame, offset: int, size: int, ranks: list[int]) -> dict[int, float]:
+    """Values at the given 0-based ranks, where ``values`` starts at rank ``offset``."""
+    if not ranks:
+        return {}
+    counted = values.groupBy("v").agg(F.count("*").alias("n"))
+    if size > _SMALL:
+        counted = running_totals(counted, [F.col("v")], {"upto": "n"})
+    else:
+        so_far = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = counted.withColumn("upto", F.sum("n").over(so_far))
+    upto, start = F.col("upto") + offset, F.col("upto") - F.col("n") + offset
+    hits = reduce(Column.__or__, [(start <= r) & (upto > r) for r in ranks])
+    rows = counted.filter(hits).select("v", start.alias("a"), upto.alias("b")).collect()
+    return {r: float(row["v"]) for r in ranks for row in rows if row["a"] <= r < row["b"]}
 
 
 def score_deciles(

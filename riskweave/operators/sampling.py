@@ -100,34 +100,46 @@ def stratified_split(
     quotas = class_quotas(sizes, share)
     base = df.drop("split")
     keyed = base.withColumn("_s", F.col(label)).withColumn("_h", hash_order(id_col, seed))
-    bounds = {
-        c: _nth_hash(keyed.filter(F.col("_s") == c), q, id_col) for c, q in quotas.items() if q > 0
-    }
-    tests = [
-        (F.col("_s") == c) & (F.struct("_h", F.col(id_col)) <= F.struct(F.lit(h), F.lit(i)))
-        for c, (h, i) in bounds.items()
-    ]
+    bounds = _nth_hashes(keyed, {c: q for c, q in quotas.items() if q > 0}, id_col)
+    tests = [(F.col("_s") == c) & _up_to(bound, id_col) for c, bound in bounds.items()]
     is_test = reduce(Column.__or__, tests, F.lit(False))
     return keyed.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_s", "_h")
 
 
-def _nth_hash(keyed: DataFrame, n: int, id_col: str) -> tuple[str, object]:
-    """(hash, id) of the n-th smallest hash: a bucket histogram, then one bucket sorted."""
+def _up_to(bound: tuple[str, object], id_col: str) -> Column:
+    """Rows whose (hash, id) is not past ``bound``."""
+    return F.struct("_h", F.col(id_col)) <= F.struct(*[F.lit(x) for x in bound])
+
+
+def _nth_hashes(keyed: DataFrame, ranks: dict, id_col: str) -> dict:
+    """(hash, id) of the ``ranks[s]``-th smallest hash per stratum ``_s``.
+
+    A bucket histogram finds the bucket of each rank; only those buckets are ordered.
+    """
+    if not ranks:
+        return {}
     bucket = F.substring("_h", 1, _BUCKET_CHARS)
-    counts = keyed.groupBy(bucket.alias("_b")).agg(F.count("*").alias("_n"))
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    at, before = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-        .filter((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
-        .select("_b", "_before")
-        .first()
+    wanted = keyed.filter(F.col("_s").isin(*ranks))
+    counts = wanted.groupBy("_s", bucket.alias("_b")).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])[F.col("_s")]
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    cuts = (
+        counts.select("_s", "_b", "_n", before.alias("_before"), rank.alias("_r"))
+        .filter((F.col("_before") < F.col("_r")) & (F.col("_r") <= F.col("_before") + F.col("_n")))
+        .collect()
+    )
+    at = reduce(Column.__or__, [(F.col("_s") == c["_s"]) & (bucket == c["_b"]) for c in cuts])
+    hit = reduce(
+        Column.__or__,
+        [(F.col("_s") == c["_s"]) & (F.col("_rn") == c["_r"] - c["_before"]) for c in cuts],
     )
-    rank = F.row_number().over(Window.orderBy("_h", id_col))
-    row = (
-        keyed.filter(bucket == F.lit(at)).select("_h", id_col)
-        .withColumn("_rn", rank).filter(F.col("_rn") == n - before).first()
+    position = F.row_number().over(Window.partitionBy("_s").orderBy("_h", id_col))
+    rows = (
+        wanted.filter(at).select("_s", "_h", F.col(id_col).alias("_i"), position.alias("_rn"))
+        .filter(hit).collect()
     )
-    return row["_h"], row[id_col]
+    return {r["_s"]: (r["_h"], r["_i"]) for r in rows}
 
 
 def use_or_make_split(
@@ -164,10 +176,8 @@ def tiered_sample(
     q_pos = min(positives, target, n_pos)
     chosen = F.lit(False)
     if q_pos:
-        h, i = _nth_hash(keyed.filter(F.col(label) == 1), q_pos, id_col)
-        chosen = (F.col(label) == 1) & (
-            F.struct("_h", F.col(id_col)) <= F.struct(F.lit(h), F.lit(i))
-        )
+        bounds = _nth_hashes(keyed.withColumn("_s", F.col(label)), {1: q_pos}, id_col)
+        chosen = (F.col(label) == 1) & _up_to(bounds[1], id_col)
     tier = (
         F.when(chosen, 1).when(F.col("_candidate_score") >= K.SCORE_FLOOR, 2).otherwise(3)
     )

@@ -9,7 +9,7 @@ from riskweave.operators import (
     detail as D, features as FE, joins as J, marts as M, scoring as SC,
 )
 from riskweave.plans.reference_sql import NEGATIVES
-from riskweave.session import work_path
+from riskweave.session import staged as stored, work_path
 from riskweave.sources import adapters as A
 
 RUN = "r1"
@@ -60,17 +60,15 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_raw(spark, transaction_file(spark, sf_dir))[0]
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """A layer written once and read back, as between the warehouse layers."""
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def account_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.account_features(A.detail(spark, sf_dir))
 
 
+def account_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account features as a written layer, as the later steps find them."""
+    return stored(M.account_base(A.detail(spark, sf_dir)), "accounts")
+
+
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction with account features and ratios (split left blank)."""
     dwd = A.detail(spark, sf_dir)
@@ -92,7 +90,7 @@ def simple_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sampled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     dwd = A.detail(spark, sf_dir)
-    return FE.build_features(dwd, M.account_base(dwd), NEGATIVES)
+    return FE.build_features(dwd, account_layer(spark, sf_dir), NEGATIVES)
 
 
 def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

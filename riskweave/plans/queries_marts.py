@@ -117,9 +117,8 @@ def _(spark, sf):
     from riskweave.plans.queries_sources import rounded_features
 
     dwd = A.detail(spark, sf)
-    accounts = M.account_base(dwd)
     stored = I.stored(I.sampled_features(spark, sf), "features")
-    return rounded_features(J.rederive_features(stored, dwd, accounts))
+    return rounded_features(J.rederive_features(stored, dwd, I.account_layer(spark, sf)))
 
 
 @query("d05_align_for_parity", f"""WITH {Q.TX} SELECT a.transaction_id, a.amount_paid AS p_amount_paid, b.amount_paid AS w_amount_paid,
@@ -340,7 +339,8 @@ def _(spark, sf):
 FROM tx, (SELECT unnest([0.0, 0.25, 0.5, 0.995, 1.0]) AS q) GROUP BY q""")
 def _(spark, sf):
     dwd = A.detail(spark, sf)
-    values = [(q, round(R.exact_quantile(dwd, "amount_paid", q), 4)) for q in (0.0, 0.25, 0.5, 0.995, 1.0)]
+    qs = [0.0, 0.25, 0.5, 0.995, 1.0]
+    values = [(q, round(v, 4)) for q, v in zip(qs, R.exact_quantiles(dwd, "amount_paid", qs))]
     return spark.createDataFrame(values, "q double, value double")
 
 

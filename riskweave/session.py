@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator relies on.  ANSI stays on: bad casts must be explicit.
 SESSION_CONF = {
@@ -42,3 +42,10 @@ def work_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="riskweave-")
         spark.conf.set("riskweave.work.dir", root)
     return os.path.join(root, "riskweave", f"{label}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the work folder and read back: computed once, lineage cut."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -14,47 +14,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    accounts = table(spark, sf_dir, "events").agg(F.max("user_id") + 1).scalar()
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    return events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        ((F.col("user_id") * 7 + F.col("event_id")) % accounts).alias("peer"),
-        k.alias("k"),
-    )
+_DETAIL = """
+  format_string('TX_%010d', event_id + 1) AS transaction_id
+  date_format(ts, 'yyyy/MM/dd HH:mm') AS timestamp
+  date_format(ts, 'yyyy-MM-dd') AS transaction_date
+  hour(ts) AS transaction_hour
+  date_format(ts, 'yyyy-MM-dd HH:mm') AS transaction_minute
+  CAST(user_id % 10 AS STRING) AS from_bank
+  concat('A', user_id) AS from_account
+  CAST(peer % 10 AS STRING) AS to_bank
+  concat('A', peer) AS to_account
+  round(value * 25000 * (1 - 0.01D * (k % 3)), 2) AS amount_received
+  concat('C', (k % 5 + IF(k % 3 = 0, 1, 0)) % 5) AS receiving_currency
+  round(value * 25000, 2) AS amount_paid
+  concat('C', k % 5) AS payment_currency
+  event_type AS payment_format
+  CAST(event_type = 'error' AND k % 10 = 0 AS INT) AS is_laundering
+  CAST(user_id % 10 <> peer % 10 AS INT) AS is_cross_bank
+  CAST(k % 3 = 0 AS INT) AS is_cross_currency
+"""
 
 
 def detail(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Detail transactions from ``events``; ``extra`` passes source columns through."""
-    e = _events(spark, sf_dir)
-    k, value = F.col("k"), F.col("value")
-    paid = F.round(value * 25000, 2)
-    received = F.round(value * 25000 * (1 - F.lit(0.01) * (k % 3)), 2)
-    shift = F.when(k % 3 == 0, 1).otherwise(0)
-    pay = F.concat(F.lit("C"), (k % 5).cast("string"))
-    rec = F.concat(F.lit("C"), ((k % 5 + shift) % 5).cast("string"))
-    bank_from, bank_to = F.col("user_id") % 10, F.col("peer") % 10
-    return e.select(
-        *extra,
-        F.format_string("TX_%010d", F.col("event_id") + 1).alias("transaction_id"),
-        F.date_format("ts", "yyyy/MM/dd HH:mm").alias("timestamp"),
-        F.date_format("ts", "yyyy-MM-dd").alias("transaction_date"),
-        F.hour("ts").alias("transaction_hour"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("transaction_minute"),
-        bank_from.cast("string").alias("from_bank"),
-        F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("from_account"),
-        bank_to.cast("string").alias("to_bank"),
-        F.concat(F.lit("A"), F.col("peer").cast("string")).alias("to_account"),
-        received.alias("amount_received"),
-        rec.alias("receiving_currency"),
-        paid.alias("amount_paid"),
-        pay.alias("payment_currency"),
-        F.col("event_type").alias("payment_format"),
-        ((F.col("event_type") == "error") & (k % 10 == 0)).cast("int").alias("is_laundering"),
-        (bank_from != bank_to).cast("int").alias("is_cross_bank"),
-        (rec != pay).cast("int").alias("is_cross_currency"),
-    )
+    events = table(spark, sf_dir, "events")
+    accounts = events.agg(F.max("user_id") + 1).scalar()
+    peer = (F.col("user_id") * 7 + F.col("event_id")) % accounts
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    lines = [line.strip() for line in _DETAIL.strip().splitlines()]
+    return events.withColumns({"peer": peer, "k": k}).selectExpr(*extra, *lines)
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
