@@ -92,42 +92,42 @@ def exact_quantile(df: DataFrame, col: str, q: float = LARGE_QUANTILE) -> float:
 def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
     """Exact quantiles of one column without sorting or collecting it.
 
-    The built-in exact ``percentile`` keeps every distinct value in one task.  Here the
-    first pass sketches a bracket around each rank, the second counts the rows below, on
-    and between the bracket ends, and only the rows strictly inside a bracket (a few
-    hundred-thousandths of the table) are sorted, in parallel when they are many.
+    The built-in exact ``percentile`` keeps every distinct value in one task, which is fine
+    up to a million rows.  Beyond that one pass sketches a bracket around each rank, the
+    next counts the rows below, on and between the bracket ends, and only the rows strictly
+    inside a bracket (a few hundred-thousandths of the table) are sorted, in parallel when
+    they are many.
     """
     v = F.col("v")
     values = df.select(F.col(col).cast("double").alias("v")).filter(v.isNotNull())
-    reach = 2.0 / _ACCURACY
-    marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-reach, reach)]
-    n, low, high, ends = values.agg(
-        F.count("*"), F.min("v"), F.max("v"), F.percentile_approx("v", marks, _ACCURACY)
-    ).first()
+    qs = [min(1.0, max(0.0, q)) for q in qs]
+    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return [0.0] * len(qs)
+    if n <= _SMALL:
+        return list(values.agg(F.percentile("v", qs)).first()[0])
     # 0-based ranks around (n - 1) q, with the weight of the upper one
-    spots = [((n - 1) * min(1.0, max(0.0, q))) for q in qs]
+    spots = [(n - 1) * q for q in qs]
     found: dict[int, float] = {0: float(low), n - 1: float(high)}
     wanted = [[r for r in {int(p), min(int(p) + 1, n - 1)} if r not in found] for p in spots]
-    if n <= _SMALL:
-        found |= _values_at(values, 0, n, sorted({r for rs in wanted for r in rs}))
-    else:
-        brackets = [(ends[2 * i], ends[2 * i + 1]) for i in range(len(qs))]
-        tests = []
-        for lo, hi in brackets:
-            tests += [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & F.lit(hi > lo)]
-        counts = values.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)]).first()
-        for i, ((lo, hi), ranks) in enumerate(zip(brackets, wanted)):
-            below, at_lo, inside, at_hi = counts[4 * i: 4 * i + 4]
-            first, last = below + at_lo, below + at_lo + inside
-            found |= {r: lo for r in ranks if below <= r < first}
-            found |= {r: hi for r in ranks if last <= r < last + at_hi}
-            rest = [r for r in ranks if r not in found]
-            if all(first <= r < last for r in rest):
-                found |= _values_at(values.filter((v > lo) & (v < hi)), first, inside, rest)
-            else:  # the sketch missed: rank the whole column instead
-                found |= _values_at(values, 0, n, rest)
+    reach = 2.0 / _ACCURACY
+    marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-reach, reach)]
+    ends = values.agg(F.percentile_approx("v", marks, _ACCURACY)).first()[0]
+    brackets = [(ends[2 * i], ends[2 * i + 1]) for i in range(len(qs))]
+    tests = []
+    for lo, hi in brackets:
+        tests += [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & F.lit(hi > lo)]
+    counts = values.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)]).first()
+    for i, ((lo, hi), ranks) in enumerate(zip(brackets, wanted)):
+        below, at_lo, inside, at_hi = counts[4 * i: 4 * i + 4]
+        first, last = below + at_lo, below + at_lo + inside
+        found |= {r: lo for r in ranks if below <= r < first}
+        found |= {r: hi for r in ranks if last <= r < last + at_hi}
+        rest = [r for r in ranks if r not in found]
+        if all(first <= r < last for r in rest):
+            found |= _values_at(values.filter((v > lo) & (v < hi)), first, inside, rest)
+        else:  # the sketch missed: rank the whole column instead
+            found |= _values_at(values, 0, n, rest)
     out = []
     for p in spots:
         k, weight = int(p), p - int(p)

@@ -524,14 +524,14 @@ def _(spark, sf):
 
 @query("h02_stratified_split", f"WITH {Q.FEATURES} SELECT transaction_id, is_laundering, split FROM feat")
 def _(spark, sf):
-    sample = SA.undersample(A.detail(spark, sf), N)
+    sample = I.stored(SA.undersample(A.detail(spark, sf), N), "sample")
     return SA.stratified_split(sample).select("transaction_id", "is_laundering", "split")
 
 
 @query("h03_use_or_make_split", f"WITH {Q.FEATURES} SELECT transaction_id, split FROM feat")
 def _(spark, sf):
     # a stored split without positives in its test side is replaced
-    broken = I.sampled_features(spark, sf).withColumn(
+    broken = I.stored(I.sampled_features(spark, sf), "features").withColumn(
         "split", F.when(F.col("is_laundering") == 1, "train").otherwise("test")
     )
     split, _how = SA.use_or_make_split(broken)
