@@ -16,15 +16,17 @@ from riskweave.operators.sampling import use_or_make_split
 LABEL = "is_laundering"
 
 
-def impute_values(train: DataFrame) -> dict:
-    """Exact medians and most frequent texts of the training rows.
-
-    Only columns that hold a NULL need a median; one pass finds them.
-    """
+def impute_medians(train: DataFrame) -> dict:
+    """Exact medians of the numeric columns that hold a NULL; one pass finds those."""
     gaps = train.agg(
         *[F.count_if(F.col(c).isNull()).alias(c) for c in K.NUMERIC_FEATURES]
     ).first().asDict()
-    fill = {c: exact_quantile(train, c, 0.5) for c, n in gaps.items() if n}
+    return {c: exact_quantile(train, c, 0.5) for c, n in gaps.items() if n}
+
+
+def impute_values(train: DataFrame) -> dict:
+    """Medians and most frequent texts of the training rows."""
+    fill = impute_medians(train)
     for c in K.CATEGORICAL_FEATURES:
         top = (
             train.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))

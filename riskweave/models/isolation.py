@@ -11,8 +11,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskweave import constants as K
-from riskweave.models.baseline import impute_values, prepare
+from riskweave.models.baseline import impute_medians, prepare
 from riskweave.operators.ranking import exact_quantile
+from riskweave.session import staged
 
 # the two Python functions travel inside the task, so workers need not install this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -102,9 +103,14 @@ def fit_forest(
     return sample.groupBy("tree").applyInPandas(grow, _NODE).toPandas()
 
 
-def score_forest(df: DataFrame, forest: pd.DataFrame, rows_per_tree: int = 256) -> DataFrame:
+def score_forest(
+    df: DataFrame, forest: pd.DataFrame, fill: dict, rows_per_tree: int = 256
+) -> DataFrame:
     """Add ``_s`` in (0, 1]: higher is more isolated.  The forest is a bounded broadcast."""
-    features = list(K.NUMERIC_FEATURES)
+    inputs = [
+        F.coalesce(F.col(c).cast("double"), F.lit(float(fill.get(c, 0.0))))
+        for c in K.NUMERIC_FEATURES
+    ]
     packed = []
     for _, nodes in forest.groupby("tree"):
         nodes = nodes.sort_values("node")
@@ -127,7 +133,7 @@ def score_forest(df: DataFrame, forest: pd.DataFrame, rows_per_tree: int = 256)
             total += depth[at]
         return pd.Series(np.power(2.0, -total / len(shared.value) / norm))
 
-    return df.withColumn("_s", isolation(*features))
+    return df.withColumn("_s", isolation(*inputs))
 
 
 def isolation_forest(
@@ -139,17 +145,11 @@ def isolation_forest(
     Every row is scored.  Isolation trees cut between the extremes of a feature, so they
     do not depend on its scale and no standardising is needed.
     """
-    from riskweave.session import work_path
-
-    ready = prepare(df, impute_values(df))
-    forest = fit_forest(ready, trees, rows_per_tree, seed, id_col)
-    path = work_path(df.sparkSession, "isolation")
-    scored = score_forest(ready, forest, rows_per_tree).select(
-        *[F.col(c).cast(df.schema[c].dataType).alias(c) for c in df.columns], "_s"
-    )
-    scored.write.parquet(path)  # the exact cut needs several passes: score only once
-    stored = df.sparkSession.read.parquet(path)
-    cut = exact_quantile(stored, "_s", 1.0 - contamination)
-    return stored.withColumn("anomaly_score", F.col("_s") - F.lit(cut)).withColumn(
+    fill = impute_medians(df)
+    forest = fit_forest(prepare(df, fill), trees, rows_per_tree, seed, id_col)
+    # the exact cut needs several passes over the scores: score only once
+    scored = staged(score_forest(df, forest, fill, rows_per_tree), "isolation")
+    cut = exact_quantile(scored, "_s", 1.0 - contamination)
+    return scored.withColumn("anomaly_score", F.col("_s") - F.lit(cut)).withColumn(
         "anomaly_label", (F.col("anomaly_score") > 0).cast("int")
     ).drop("_s")
