@@ -24,8 +24,13 @@ def parse_amount(col: Column | str) -> Column:
     Underscores between digits are dropped too.  Java's parser also takes ``1d``/``1f``
     suffixes and hex floats, which are not amounts.
     """
-    text = F.regexp_replace(strip(col), "[,]|(?<=[0-9])_(?=[0-9])", "")
-    return F.when(~text.rlike("[dD]$|(?<![nN])[fF]$|[xX]"), text.try_cast("double"))
+    text = F.translate(strip(col), ",", "")
+    last = F.right(text, F.lit(1))
+    # only odd texts pay for regular expressions
+    odd = text.contains("_") | text.contains("x") | text.contains("X") | last.isin("d", "D", "f", "F")
+    grouped = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
+    java_only = text.rlike("[dD]$|(?<![nN])[fF]$|[xX]")
+    return F.when(~odd, text.try_cast("double")).when(~java_only, grouped.try_cast("double"))
 
 
 def parse_ts(col: Column | str) -> dict[str, Column]:

@@ -43,29 +43,40 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(F.explode(F.array(*cols)).alias("value")).distinct()
 
 
-def profile_transactions(raw: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
-    """One wide row about raw text transactions; amounts count only where both parse."""
-    typed = raw.withColumns({
-        "_paid": parse_amount("amount_paid"), "_received": parse_amount("amount_received")
-    }).withColumn("_both", F.col("_paid").isNotNull() & F.col("_received").isNotNull())
-    both, paid, received = F.col("_both"), F.col("_paid"), F.col("_received")
-    stamp = F.when(F.col("timestamp") != "", F.col("timestamp"))
+def profile_transactions(raw: DataFrame, corrupt: str = "_corrupt") -> DataFrame:
+    """One wide row about raw text transactions; amounts count only where both parse.
+
+    Rows with a corrupt-record mark are only counted.  One scan gives the sums, a second
+    one the distinct banks and accounts, as one distinct over (kind, value) keys.
+    """
+    whole = F.col(corrupt).isNull() if corrupt in raw.columns else F.lit(True)
+    typed = raw.select(
+        whole.alias("_whole"), "timestamp",
+        parse_amount("amount_paid").alias("_paid"), parse_amount("amount_received").alias("_received"),
+    ).withColumn("_both", F.col("_whole") & F.col("_paid").isNotNull() & F.col("_received").isNotNull())
+    good, both = F.col("_whole"), F.col("_both")
+    paid, received = F.when(both, F.col("_paid")), F.when(both, F.col("_received"))
+    stamp = F.when(good & (F.col("timestamp") != ""), F.col("timestamp"))
     main = typed.agg(
-        F.count("*").alias("row_count"),
+        F.count_if(good).alias("row_count"),
+        F.count_if(~good).alias("malformed_count"),
         F.coalesce(F.min(stamp), F.lit("")).alias("min_timestamp"),
         F.coalesce(F.max(stamp), F.lit("")).alias("max_timestamp"),
-        F.count_distinct("from_bank").alias("from_bank_count"),
-        F.count_distinct("to_bank").alias("to_bank_count"),
-        F.min(F.when(both, paid)).alias("amount_paid_min"),
-        F.max(F.when(both, paid)).alias("amount_paid_max"),
-        F.coalesce(money_sum(F.when(both, paid)), F.lit(0.0)).alias("amount_paid_sum"),
-        F.coalesce(money_sum(F.when(both, received)), F.lit(0.0)).alias("amount_received_sum"),
-        F.count_if(~both).alias("invalid_amount_count"),
+        F.min(paid).alias("amount_paid_min"),
+        F.max(paid).alias("amount_paid_max"),
+        F.coalesce(money_sum(paid), F.lit(0.0)).alias("amount_paid_sum"),
+        F.coalesce(money_sum(received), F.lit(0.0)).alias("amount_received_sum"),
+        F.count_if(good & ~both).alias("invalid_amount_count"),
     )
-    accounts = distinct_values(raw, "from_account", "to_account").agg(F.count("*"))
-    out = main.withColumn("account_count", accounts.scalar())
-    bad = F.lit(0).cast("long") if malformed is None else malformed.agg(F.count("*")).scalar()
-    return out.withColumn("malformed_count", bad)
+    kinds = {"from_bank": "from_bank", "to_bank": "to_bank", "from_account": "account", "to_account": "account"}
+    keys = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value")) for c, kind in kinds.items()
+    ])
+    seen = raw.filter(whole).select(F.inline(keys)).distinct()
+    counts = seen.agg(F.struct(*[
+        F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in ("from_bank", "to_bank", "account")
+    ]).alias("n"))
+    return main.withColumn("_n", counts.scalar()).select("*", "_n.*").drop("_n")
 
 
 def profile_accounts(accounts: DataFrame) -> DataFrame:

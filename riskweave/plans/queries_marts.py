@@ -185,8 +185,8 @@ SELECT count(*) AS row_count, min(NULLIF("timestamp", '')) AS min_timestamp, max
   (SELECT count(*) FROM (SELECT from_account FROM ok UNION SELECT to_account FROM ok)) AS account_count,
   (SELECT count(*) FROM typed WHERE NOT well_formed) AS malformed_count FROM ok""")
 def _(spark, sf):
-    good, bad = RF.split_malformed(RF.read_transactions_csv(spark, I.transaction_file(spark, sf)))
-    return money(P.profile_transactions(good, bad), "amount_paid_sum", "amount_received_sum")
+    raw = RF.read_transactions_csv(spark, I.transaction_file(spark, sf))
+    return money(P.profile_transactions(raw), "amount_paid_sum", "amount_received_sum")
 
 
 @query("e02_value_counts", f"""WITH {Q.TX} SELECT from_account AS "value", count(*) AS "count" FROM tx GROUP BY 1

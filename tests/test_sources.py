@@ -154,8 +154,7 @@ def test_json_lines(spark, tmp_path):
 
 
 def test_profile_and_layers(spark, raw_file, tmp_path):
-    good, bad = R.split_malformed(R.read_transactions_csv(spark, raw_file))
-    row = P.profile_transactions(good, bad).first()
+    row = P.profile_transactions(R.read_transactions_csv(spark, raw_file)).first()
     assert row["row_count"] == 6 and row["malformed_count"] == 2 and row["invalid_amount_count"] == 2
     assert row["account_count"] == 6 and row["amount_paid_sum"] == 3697.34 + 1234.5 + 7 + 8
     (tmp_path / "acc.csv").write_text(",".join(K.ACCOUNT_HEADER) + "\nB1,1,A,E1,Ann\n")
