@@ -11,6 +11,7 @@ from riskweave import constants as K
 from riskweave.functions import rules
 
 _BUCKET_CHARS = 4  # 65,536 hash buckets
+_ALL = 1 << 62  # a quota no stratum reaches
 
 
 def hash_order(id_col: str, seed: int) -> Column:
@@ -62,9 +63,25 @@ def first_by_hash(
     return picked.drop("_s", "_h")
 
 
-def head_sample(df: DataFrame, n: int, order: list[str], strict: bool = False) -> DataFrame:
-    """First ``n`` rows in a total order; ``strict`` fails when there are fewer."""
-    out = df.orderBy(*order).limit(n)
+def head_sample(
+    df: DataFrame, n: int, order: list[str], strict: bool = False, fraction: float = 0.001
+) -> DataFrame:
+    """First ``n`` rows in a total order; ``strict`` fails when there are fewer.
+
+    A plain sort-and-limit keeps ``n`` rows per task and merges them all in one.  For a
+    large table a key a little past the ``n``-th is guessed from a sample and checked by
+    a count; only rows up to that key are then sorted.  With one order column that filter
+    also reaches the scan.  A wrong guess falls back to the plain form.
+    """
+    near = df
+    k = int(1.5 * n * fraction) + 20
+    if n > 1000:
+        keys = df.select(*order).sample(fraction, seed=1).orderBy(*order).limit(k)
+        seen, last = keys.agg(F.count("*"), F.max(F.struct(*order))).first()
+        if seen == k:
+            head = df.filter(_up_to(df, order, last))
+            near = head if head.count() >= n else df
+    out = near.orderBy(*order).limit(n)
     if strict and out.count() < n:
         raise ValueError(f"expected at least {n} rows")
     return out
@@ -75,9 +92,7 @@ def undersample(
     label: str = "is_laundering", id_col: str = "transaction_id",
 ) -> DataFrame:
     """Every positive plus exactly ``min(negatives, available)`` negatives."""
-    positives = df.filter(F.col(label) == 1)
-    pool = df.filter(F.col(label) == 0)
-    return positives.unionByName(first_by_hash(pool, {0: negatives}, F.lit(0), id_col, seed))
+    return first_by_hash(df, {1: _ALL, 0: negatives}, F.col(label), id_col, seed)
 
 
 def class_quotas(sizes: dict[int, int], share: float) -> dict[int, int]:
@@ -101,14 +116,17 @@ def stratified_split(
     base = df.drop("split")
     keyed = base.withColumn("_s", F.col(label)).withColumn("_h", hash_order(id_col, seed))
     bounds = _nth_hashes(keyed, {c: q for c, q in quotas.items() if q > 0}, id_col)
-    tests = [(F.col("_s") == c) & _up_to(bound, id_col) for c, bound in bounds.items()]
+    tests = [(F.col("_s") == c) & _up_to(keyed, ["_h", id_col], bound) for c, bound in bounds.items()]
     is_test = reduce(Column.__or__, tests, F.lit(False))
     return keyed.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_s", "_h")
 
 
-def _up_to(bound: tuple[str, object], id_col: str) -> Column:
-    """Rows whose (hash, id) is not past ``bound``."""
-    return F.struct("_h", F.col(id_col)) <= F.struct(*[F.lit(x) for x in bound])
+def _up_to(df: DataFrame, columns: list[str], bound) -> Column:
+    """Rows whose ``columns``, compared left to right, are not past ``bound``."""
+    marks = [F.lit(x).cast(df.schema[c].dataType) for c, x in zip(columns, bound)]
+    if len(columns) == 1:
+        return F.col(columns[0]) <= marks[0]
+    return F.struct(*columns) <= F.struct(*[m.alias(c) for c, m in zip(columns, marks)])
 
 
 def _nth_hashes(keyed: DataFrame, ranks: dict, id_col: str) -> dict:
@@ -177,7 +195,7 @@ def tiered_sample(
     chosen = F.lit(False)
     if q_pos:
         bounds = _nth_hashes(keyed.withColumn("_s", F.col(label)), {1: q_pos}, id_col)
-        chosen = (F.col(label) == 1) & _up_to(bounds[1], id_col)
+        chosen = (F.col(label) == 1) & _up_to(keyed, ["_h", id_col], bounds[1])
     tier = (
         F.when(chosen, 1).when(F.col("_candidate_score") >= K.SCORE_FLOOR, 2).otherwise(3)
     )

@@ -246,7 +246,10 @@ def _(spark, sf):
     return FE.ordered_features(I.sampled_features(spark, sf)).select("transaction_id", "split")
 
 
-@query("m02_preprocess")
+@query("m02_preprocess", f"""WITH {Q.FEATURES}, s AS (SELECT avg(amount_paid) AS m, stddev_samp(amount_paid) AS d,
+  avg(from_debit_count) AS m2, stddev_samp(from_debit_count) AS d2 FROM feat)
+SELECT transaction_id, round((amount_paid - m) / d, 6) + 0.0 AS amount_paid, round((from_debit_count - m2) / d2, 6) + 0.0 AS from_debit_count,
+  dense_rank() OVER (ORDER BY payment_currency) - 1 AS currency_slot, dense_rank() OVER (ORDER BY payment_format) - 1 AS format_slot FROM feat, s""")
 def _(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -254,8 +257,23 @@ def _(spark, sf):
     rows = I.stored(I.sampled_features(spark, sf), "features")
     ready = B.prepare(rows, B.impute_values(rows))
     stages, out = B._encoder_stages(scale=True)
-    encoded = Pipeline(stages=stages).fit(ready).transform(ready)
-    return encoded.select("transaction_id", F.size(vector_to_array(out)).alias("inputs"))
+    model = Pipeline(stages=stages).fit(ready)
+    x = vector_to_array(out)
+    # the inputs are the scaled numbers, then one slot per currency, then one per format
+    start = len(K.NUMERIC_FEATURES)
+    currencies, formats = (len(labels) for labels in model.stages[0].labelsArray)
+
+    def slot(first, size):
+        return (F.array_position(F.slice(x, first + 1, size), 1.0) - 1).cast("int")
+
+    def scaled(name):
+        return F.round(x[K.NUMERIC_FEATURES.index(name)], 6).alias(name)
+
+    return model.transform(ready).select(
+        "transaction_id", scaled("amount_paid"), scaled("from_debit_count"),
+        slot(start, currencies).alias("currency_slot"),
+        slot(start + currencies, formats).alias("format_slot"),
+    )
 
 
 def _fitted(spark, sf, name):

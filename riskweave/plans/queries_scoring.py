@@ -238,18 +238,8 @@ UNION ALL SELECT 'riskweave_large', count(*), -1, 'FAIL' FROM tx WHERE amount_pa
 def _(spark, sf):
     dwd = A.detail(spark, sf)
     tables = {"riskweave_kpi": M.payment_kpi(dwd), "riskweave_large": dwd.filter("amount_paid >= 1000000")}
-    for name in tables:  # tables of an earlier run in this session
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    placed = {
-        name: _external(spark, name, df) for name, df in tables.items()
-    }
-    return P.table_counts(placed, {"riskweave_kpi": 5, "riskweave_large": -1})
-
-
-def _external(spark, name, df):
-    """Publish with an explicit location in the shared work folder."""
-    df.write.mode("overwrite").option("path", work_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    expected = {"riskweave_kpi": 5, "riskweave_large": -1}
+    return TB.publish_tables(spark, tables, expected=expected, location=work_path(spark, "published"))
 
 
 @query("w05_kv_state_sink", f"""WITH {Q.SCORED}, {_LATEST} SELECT concat('risk:latest:', event_account) AS "key", transaction_id, risk_score FROM last_""")

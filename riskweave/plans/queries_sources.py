@@ -152,7 +152,7 @@ def _(spark, sf):
     return R.source_inventory(spark, sf, "*.parquet")
 
 
-@query("a10_check_header")
+@query("a10_check_header", "SELECT unnest(['pass', 'fail', 'not_applicable']) AS status")
 def _(spark, sf):
     path = I.transaction_file(spark, sf)
     good = R.check_header(spark, path, K.TRANSACTION_HEADER)
@@ -325,7 +325,13 @@ def _(spark, sf):
     )
 
 
-@query("b17_salted_row_key")
+# CRC-32 of ASCII text, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, len(a) + 1), lambda i: CAST(ord(substr(a, i, 1)) AS BIGINT))),
+  lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query("b17_salted_row_key", f"""WITH {Q.TX}, t AS (SELECT from_account AS a FROM tx UNION SELECT to_account FROM tx)
+SELECT a AS account_number, concat(printf('%08x', {_CRC}), '#', a) AS row_key FROM t""")
 def _(spark, sf):
     return M.account_base(A.detail(spark, sf)).select(
         "account_number", C.salted_row_key("account_number").alias("row_key")

@@ -40,15 +40,21 @@ def write_metrics(df: DataFrame, path: str, columns: list[str], fmt: str = "tsv"
 
 def publish_tables(
     spark: SparkSession, tables: dict[str, DataFrame], database: str | None = None,
-    fmt: str = "parquet", expected: dict[str, int] | None = None,
+    fmt: str = "parquet", expected: dict[str, int] | None = None, location: str | None = None,
 ) -> DataFrame:
-    """Drop and recreate each table, then report (table, count[, expected, status])."""
+    """Drop and recreate each table, then report (table, count[, expected, status]).
+
+    ``location`` is a root folder for the files; by default the catalog decides.
+    """
     names = {n: f"{database}.{n}" if database else n for n in tables}
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
-        df.write.format(fmt).mode("overwrite").saveAsTable(names[name])
+        writer = df.write.format(fmt).mode("overwrite")
+        if location:
+            writer = writer.option("path", f"{location}/{name}")
+        writer.saveAsTable(names[name])
     return table_counts({n: spark.table(full) for n, full in names.items()}, expected)
 
 

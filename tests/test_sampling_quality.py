@@ -100,6 +100,15 @@ def test_head_sample_strict(labelled):
         SA.head_sample(labelled, 5000, ["transaction_id"], strict=True)
 
 
+@pytest.mark.parametrize("fraction", [0.001, 0.05, 0.3])
+def test_head_sample_over_guessed_cut(spark, fraction):
+    df = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).alias("k"), (F.col("id") % 2).alias("z"))
+    for order in (["k"], ["z", "k"]):
+        want = [tuple(r) for r in df.orderBy(*order).limit(1500).collect()]
+        got = SA.head_sample(df, 1500, order, fraction=fraction).collect()
+        assert [tuple(r) for r in got] == want
+
+
 def test_metrics_against_definition(spark):
     rnd = random.Random(1)
     data = [(int(rnd.random() < 0.3), round(rnd.random(), 1), int(rnd.random() < 0.4)) for _ in range(400)]
