@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.constants import LARGE_QUANTILE
-from riskweave.session import work_path
+from riskweave.session import staged
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in its lower 33 bits
 
@@ -18,16 +18,10 @@ def _range_sorted(df: DataFrame, order: list[Column], parts: int | None) -> Data
     The written table fixes the partition ids, so the count pass and the row pass agree
     even when an executor is lost in between, and the lineage is cut.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = work_path(spark, "ordered")
-    (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    return spark.read.parquet(path).withColumn("_part", F.shiftright("_slot", _ROW_BITS))
+    # without a number, adaptive execution merges small neighbouring ranges
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    slots = ranged.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id())
+    return staged(slots, "ordered").withColumn("_part", F.shiftright("_slot", _ROW_BITS))
 
 
 def _before(total: str, order: list[str]) -> Column:
