@@ -21,6 +21,11 @@ def money(df, *cols, digits=2):
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
+def as_double(df, *cols):
+    """Decimal results as doubles, for comparison."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 # --- filters ------------------------------------------------------------------------
 
 
@@ -333,7 +338,7 @@ def _(spark, sf):
     return _rounded_kpi(M.payment_kpi(A.bulk_detail(spark, sf)))
 
 
-@query("e12_quantile", f"""WITH {Q.TX} SELECT q, round(CASE q WHEN 0.0 THEN min(amount_paid) WHEN 1.0 THEN max(amount_paid)
+@query("e12_quantile", f"""WITH {Q.TX} SELECT CAST(q AS DOUBLE) AS q, round(CASE q WHEN 0.0 THEN min(amount_paid) WHEN 1.0 THEN max(amount_paid)
   WHEN 0.5 THEN quantile_cont(amount_paid, 0.5) WHEN 0.25 THEN quantile_cont(amount_paid, 0.25)
   ELSE quantile_cont(amount_paid, 0.995) END, 4) AS "value"
 FROM tx, (SELECT unnest([0.0, 0.25, 0.5, 0.995, 1.0]) AS q) GROUP BY q""")
@@ -500,11 +505,11 @@ def _(spark, sf):
 
 
 @query("g03_ads_account_export", f"""WITH {Q.ACCT} SELECT account_number, total_event_count, debit_count, credit_count,
-  CAST(out_amount AS DECIMAL(20,2)) AS out_amount, counterparty_count, laundering_event_count, cross_bank_event_count,
+  round(out_amount, 2) AS out_amount, counterparty_count, laundering_event_count, cross_bank_event_count,
   cross_currency_event_count, CAST(risk_score_rule AS DOUBLE) AS risk_score_rule, '2024-06-01 00:00:00' AS updated_at
 FROM acct {_RISK} LIMIT 5000""")
 def _(spark, sf):
-    return SV.ads_account_export(I.account_table(spark, sf), 5000, I.stamp())
+    return as_double(SV.ads_account_export(I.account_table(spark, sf), 5000, I.stamp()), "out_amount")
 
 
 @query("g04_payment_format_risk", f"""WITH {Q.TX}, {Q.KPI} SELECT payment_format, transaction_count, laundering_count,

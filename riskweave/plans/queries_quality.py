@@ -50,10 +50,11 @@ def _(spark, sf):
     return QL.run_expectations(typed, _checks(typed))
 
 
-@query("q07_expectation_totals", f"""SELECT 9 AS evaluated_expectations, 4 AS successful_expectations, FALSE AS all_success""")
+@query("q07_expectation_totals", f"""SELECT 9 AS evaluated_expectations, 4 AS successful_expectations, 0 AS all_success""")
 def _(spark, sf):
     typed = D.typed_transactions(I.numbered(spark, sf))
-    return QL.expectation_totals(QL.run_expectations(typed, _checks(typed)))
+    totals = QL.expectation_totals(QL.run_expectations(typed, _checks(typed)))
+    return totals.withColumn("all_success", F.col("all_success").cast("int"))
 
 
 def _single(name, make, sql):
@@ -169,9 +170,9 @@ def _aligned(spark, sf, columns):
 
 @query("q09_numeric_parity", f"""WITH {Q.FEATURES}, names AS (SELECT unnest({QL.PARITY_FEATURES}) AS feature),
 s AS (SELECT count(*) AS n, count(*) FILTER (transaction_id LIKE '%77') AS bad FROM feat)
-SELECT feature, n AS compared_rows, CASE WHEN feature = 'amount_paid' THEN 0.5 ELSE 0.0 END AS max_abs_diff,
+SELECT feature, n AS compared_rows, CAST(CASE WHEN feature = 'amount_paid' THEN 0.5 ELSE 0 END AS DOUBLE) AS max_abs_diff,
   CASE WHEN feature = 'amount_paid' THEN bad ELSE 0 END AS mismatch_rows,
-  CASE WHEN feature IN ({", ".join(repr(x) for x in QL.EXACT_FEATURES)}) THEN 0.0 ELSE 0.000001 END AS tolerance,
+  CAST(CASE WHEN feature IN ({", ".join(repr(x) for x in QL.EXACT_FEATURES)}) THEN 0 ELSE 0.000001 END AS DOUBLE) AS tolerance,
   CASE WHEN feature = 'amount_paid' AND bad > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM names, s""")
 def _(spark, sf):
     out = QL.numeric_parity(_aligned(spark, sf, QL.PARITY_FEATURES))
@@ -341,7 +342,7 @@ def _(spark, sf):
 s AS (SELECT count(*) AS n, count(*) FILTER (event_type = 'error') AS p, count(*) FILTER (value > q) AS an,
   count(*) FILTER (value > q AND event_type = 'error') AS ap FROM events, c)
 SELECT n AS sample_rows, p AS sample_positive_rows, round(p / n, 8) AS sample_positive_rate, an AS anomaly_rows, ap AS anomaly_positive_rows,
-  round(ap / an, 8) AS anomaly_positive_rate, round((ap / an) / (p / n), 6) AS anomaly_lift_vs_sample, 0.03 AS contamination FROM s""")
+  round(ap / an, 8) AS anomaly_positive_rate, round((ap / an) / (p / n), 6) AS anomaly_lift_vs_sample, CAST(0.03 AS DOUBLE) AS contamination FROM s""")
 def _(spark, sf):
     events = A.table(spark, sf, "events")
     cut = R.exact_quantile(events, "value", 0.97)

@@ -11,7 +11,7 @@ from riskweave.operators import (
 )
 from riskweave.plans import inputs as I, reference_sql as Q
 from riskweave.plans.catalog import query
-from riskweave.plans.queries_marts import money
+from riskweave.plans.queries_marts import as_double, money
 from riskweave.session import work_path
 from riskweave.sinks import state_tables as KV, tables as TB
 from riskweave.sources import adapters as A, layers as L
@@ -21,7 +21,7 @@ from riskweave.streaming import jobs as SJ
 
 _ROLLUP = """rollup_ AS (
   SELECT event_account AS account_number, count(*) AS total_event_count, count(*) AS debit_count, 0 AS credit_count,
-    sum(CAST(amount_paid AS DECIMAL(18,2))) AS out_amount, count(DISTINCT counterparty_account) AS counterparty_count,
+    CAST(sum(CAST(amount_paid AS DECIMAL(18,2))) AS DOUBLE) AS out_amount, count(DISTINCT counterparty_account) AS counterparty_count,
     count(*) FILTER (risk_level IN ('HIGH', 'CRITICAL') OR risk_score >= 60) AS laundering_event_count,
     count(*) FILTER (contains(risk_reasons || ';' || rule_hits, 'CROSS_BANK')) AS cross_bank_event_count,
     count(*) FILTER (contains(risk_reasons || ';' || rule_hits, 'CROSS_CURRENCY') OR payment_currency NOT IN ('', 'Yuan')) AS cross_currency_event_count,
@@ -35,13 +35,13 @@ def _ads(spark, sf):
 
 @query("e22_ads_account_rollup", f"WITH {Q.SCORED}, {_ROLLUP} SELECT *, '2024-06-01 00:00:00' AS updated_at FROM rollup_")
 def _(spark, sf):
-    return _ads(spark, sf)
+    return as_double(_ads(spark, sf), "out_amount")
 
 
 @query("e23_account_score_buckets", f"""WITH {Q.SCORED}, {_ROLLUP} SELECT {Q.LEVEL.format('risk_score_rule')} AS risk_bucket, count(*) AS account_count,
-  round(avg(risk_score_rule), 4) AS avg_risk_score, CAST(sum(out_amount) AS DECIMAL(20,2)) AS total_out_amount FROM rollup_ GROUP BY 1""")
+  round(avg(risk_score_rule), 4) AS avg_risk_score, round(sum(out_amount), 2) AS total_out_amount FROM rollup_ GROUP BY 1""")
 def _(spark, sf):
-    return SV.account_score_buckets(_ads(spark, sf))
+    return as_double(SV.account_score_buckets(_ads(spark, sf)), "total_out_amount")
 
 
 @query("e23_event_score_buckets", f"""WITH {Q.SCORED} SELECT {Q.LEVEL.format('risk_score')} AS risk_bucket, count(*) AS event_count,
@@ -87,7 +87,7 @@ def _(spark, sf):
 WHERE risk_score_rule >= 60 OR laundering_event_count > 0
 ORDER BY risk_score_rule DESC, laundering_event_count DESC, out_amount DESC, account_number LIMIT 20""")
 def _(spark, sf):
-    return SV.high_risk_account_topn(_ads(spark, sf))
+    return as_double(SV.high_risk_account_topn(_ads(spark, sf)), "out_amount")
 
 
 @query("g06_investigation_search", f"""WITH {Q.SCORED} SELECT run_id, transaction_id, event_account, risk_level, risk_score, payment_currency,
