@@ -88,9 +88,11 @@ def simple_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SC.risk_rules_v0(D.to_replay(A.detail(spark, sf_dir), RUN), RUN)
 
 
-def sampled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dwd = A.detail(spark, sf_dir)
-    return FE.build_features(dwd, account_layer(spark, sf_dir), NEGATIVES)
+def sampled_features(
+    spark: SparkSession, sf_dir: str, accounts: DataFrame | None = None
+) -> DataFrame:
+    accounts = account_layer(spark, sf_dir) if accounts is None else accounts
+    return FE.build_features(A.detail(spark, sf_dir), accounts, NEGATIVES)
 
 
 def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,8 +122,9 @@ def _(spark, sf):
     from riskweave.plans.queries_sources import rounded_features
 
     dwd = A.detail(spark, sf)
-    stored = I.stored(I.sampled_features(spark, sf), "features")
-    return rounded_features(J.rederive_features(stored, dwd, I.account_layer(spark, sf)))
+    accounts = I.account_layer(spark, sf)
+    stored = I.stored(I.sampled_features(spark, sf, accounts), "features")
+    return rounded_features(J.rederive_features(stored, dwd, accounts))
 
 
 @query("d05_align_for_parity", f"""WITH {Q.TX} SELECT a.transaction_id, a.amount_paid AS p_amount_paid, b.amount_paid AS w_amount_paid,

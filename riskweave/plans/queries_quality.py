@@ -155,7 +155,7 @@ def _two_feature_sets(spark, sf):
     """A stored feature set with two planted differences, and its re-derivation."""
     dwd = A.detail(spark, sf)
     accounts = I.account_layer(spark, sf)
-    planted = I.sampled_features(spark, sf).withColumns({
+    planted = I.sampled_features(spark, sf, accounts).withColumns({
         "amount_paid": F.col("amount_paid") + F.when(F.col("transaction_id").endswith("77"), 0.5).otherwise(0.0),
         "payment_format": F.when(F.col("transaction_id").endswith("33"), F.lit(None)).otherwise(F.col("payment_format")),
     })
