@@ -410,8 +410,7 @@ SELECT count(*) FILTER (ok) AS transaction_row_count, 2 * count(*) FILTER (ok) A
   round(1 - count(*) FILTER (ok AND to_account NOT IN (SELECT account_number FROM accounts)) / count(*) FILTER (ok), 8) AS to_account_match_rate
 FROM (SELECT *, amount_paid IS NOT NULL AND amount_received IS NOT NULL AS ok FROM numbered)""")
 def _(spark, sf):
-    raw = I.stored(I.numbered(spark, sf).drop("_file", "_block", "_seq"), "numbered")
-    out = W.quality_of_detail(raw, A.accounts(spark, sf))
+    out = W.quality_of_detail(I.numbered(spark, sf), A.accounts(spark, sf))
     return out.withColumns({
         c: F.round(c, 8) for c in ("from_account_match_rate", "to_account_match_rate")
     })

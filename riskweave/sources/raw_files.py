@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from riskweave import constants as K, schemas as S
 from riskweave.functions.columns import strip
+from riskweave.session import staged
 
 CORRUPT = "_corrupt"
 _FILE, _BLOCK, _SEQ = "_file", "_block", "_seq"
@@ -66,12 +67,12 @@ def read_accounts_csv(spark: SparkSession, path: str, multiline: bool = False) -
 def with_file_sequence(good: DataFrame, name: str = _SEQ) -> DataFrame:
     """Dense 1-based row number in (file, offset) order, without shuffling the rows.
 
-    A row's number is its position inside its input split plus the rows of all earlier
-    splits.  One cheap pass counts rows per split; the offsets (one row per split) are
-    joined back.  Scan partitions are planned from the file listing alone, so both passes
-    see the same row positions.
+    The rows are parsed and written once with their position inside the input split.  The
+    written table fixes the splits: planning the scan twice could cut files differently
+    when executors come or go.  A row's number is its position plus the rows of all earlier
+    splits; those offsets hold one row per split.
     """
-    keyed = good.withColumn("_mid", F.monotonically_increasing_id())
+    keyed = staged(good.withColumn("_mid", F.monotonically_increasing_id()), "sequenced")
     per_split = keyed.groupBy(_FILE, _BLOCK).agg(
         F.count("*").alias("_n"), F.min("_mid").alias("_first")
     )
@@ -80,7 +81,8 @@ def with_file_sequence(good: DataFrame, name: str = _SEQ) -> DataFrame:
         _FILE, _BLOCK,
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    if good.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
+    # every split is a whole file or fills a scan partition
+    if len(good.inputFiles()) + good.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     return (
         keyed.join(offsets, [_FILE, _BLOCK])
