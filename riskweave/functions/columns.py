@@ -18,19 +18,20 @@ def strip(col: Column | str) -> Column:
     return F.btrim(_c(col), F.lit(_BLANKS))
 
 
+# what float parsing takes beyond plain numbers: words, and underscores between digits
+_RARE_NUMBER = "(?i)^[-+]?(inf|infinity|nan|[0-9_.]+(e[-+]?[0-9_]+)?)$"
+
+
 def parse_amount(col: Column | str) -> Column:
     """Text to double: thousands commas dropped, blanks and garbage become NULL.
 
-    Underscores between digits are dropped too.  Java's parser also takes ``1d``/``1f``
-    suffixes and hex floats, which are not amounts.
+    Java's parser also takes ``1d``/``1f`` suffixes and hex floats, which are not amounts:
+    with a ``d`` of our own appended a second suffix fails, and ``x`` is spoilt.  The
+    expression stays small on purpose; filters evaluate it without sharing parts.
     """
-    text = F.translate(strip(col), ",", "")
-    last = F.right(text, F.lit(1))
-    # only odd texts pay for regular expressions
-    odd = text.contains("_") | text.contains("x") | text.contains("X") | last.isin("d", "D", "f", "F")
-    grouped = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
-    java_only = text.rlike("[dD]$|(?<![nN])[fF]$|[xX]")
-    return F.when(~odd, text.try_cast("double")).when(~java_only, grouped.try_cast("double"))
+    text = F.translate(strip(col), "xX,", "??")
+    rare = F.regexp_replace(F.regexp_extract(text, _RARE_NUMBER, 0), "(?<=[0-9])_(?=[0-9])", "")
+    return F.coalesce(F.concat(text, F.lit("d")).try_cast("double"), rare.try_cast("double"))
 
 
 def parse_ts(col: Column | str) -> dict[str, Column]:

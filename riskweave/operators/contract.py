@@ -82,7 +82,10 @@ def contract_errors(raw: DataFrame, contract: Contract, text: str = "value") ->
     )
     level = F.try_variant_get("_v", "$.risk_level", "string")
     tests.append(F.when(~F.coalesce(level.isin(*K.ALL_RISK_LEVELS), F.lit(False)), "risk_level"))
-    return parsed.withColumn(ERRORS, F.array_compact(F.array(*tests))).drop("_v", "_keys")
+    # exploding a one-element array keeps later filters on the errors above this long
+    # expression; pushed below it they would evaluate it a second time
+    found = F.array_compact(F.array(*tests))
+    return parsed.select(*raw.columns, F.explode(F.array(found)).alias(ERRORS))
 
 
 def validate_contract(

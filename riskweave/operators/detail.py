@@ -21,7 +21,9 @@ def ods_typed(raw: DataFrame) -> DataFrame:
 
 def transaction_id(sequence: Column, prefix: str = K.TRANSACTION_ID_PREFIX,
                    width: int = K.TRANSACTION_ID_WIDTH) -> Column:
-    return F.format_string(f"{prefix}%0{width}d", sequence)
+    digits = sequence.cast("string")  # longer numbers keep all their digits
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.concat(F.lit(prefix), padded)
 
 
 def assign_transaction_id(

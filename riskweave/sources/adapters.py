@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _DETAIL = """
-  format_string('TX_%010d', event_id + 1) AS transaction_id
+  concat('TX_', lpad(event_id + 1, 10, '0')) AS transaction_id
   date_format(ts, 'yyyy/MM/dd HH:mm') AS timestamp
   date_format(ts, 'yyyy-MM-dd') AS transaction_date
   hour(ts) AS transaction_hour
