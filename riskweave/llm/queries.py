@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import byte_bpe, chat_format, quality_rules, url_rules
-from riskweave.llm.common import table
+from riskweave.llm import byte_bpe, chat_format, language_id, quality_model, quality_rules, toxicity, url_rules
+from riskweave.llm.common import held_out, id_text, table
+from riskweave.session import staged
 
 RANKS = "byte_bpe_50k.tiktoken"
 HOST_RULES = [
@@ -23,6 +24,29 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    unseen = held_out(F.col("doc_id"), 4, 2)
+    learn = docs.filter(~unseen).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(learn))
+    return found.withColumn("held_out", unseen)
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = staged(quality_model.document_statistics(table(spark, sf_dir, "documents")), "document-statistics")
+    learn = stats.filter(~held_out(F.col("_id"), 3, 1))
+    rows = staged(quality_model.labelled_rows(learn, table(spark, sf_dir, "labels"), "quality"), "quality-rows")
+    return quality_model.score_documents(stats, quality_model.fit(rows)).withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = id_text(docs.filter(~held_out(F.col("doc_id"), 5, 0)))
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0))
+    sample = staged(toxicity.labelled_sample(learn, labels, "toxic"), "toxicity-sample")
+    return toxicity.score_documents(docs, toxicity.train(sample)).withColumn("held_out", held_out(F.col("doc_id"), 5, 0))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), *vocabulary())
 
@@ -49,6 +73,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op5_quality_model": op5_quality_model,
+    "op7_toxicity": op7_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_url_rules": op8_url_rules,
     "op9_chat_format": op9_chat_format,
