@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import byte_bpe, chat_format, language_id, quality_model, quality_rules, toxicity, url_rules
+from riskweave.llm import (
+    byte_bpe, chat_format, decontaminate, language_id, near_dedup, quality_model, quality_rules, toxicity, url_rules,
+)
 from riskweave.llm.common import held_out, id_text, table
 from riskweave.session import staged
 
@@ -32,6 +34,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", unseen)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words_each=3, percent=85)
+
+
 def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = staged(quality_model.document_statistics(table(spark, sf_dir, "documents")), "document-statistics")
     learn = stats.filter(~held_out(F.col("_id"), 3, 1))
@@ -74,6 +88,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_near_dedup": op4_near_dedup,
     "op5_quality_model": op5_quality_model,
     "op7_toxicity": op7_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
