@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -308,3 +309,25 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     rows = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns, n_tokens, token_ids and round_trip: whether the decoded bytes are the text's."""
+    schema = docs.select(*keep).schema.add("n_tokens", "long").add("token_ids", "array<int>").add("round_trip", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = codec(path, pattern)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            kept, ids, sizes, same = batch.num_columns - 1, [], [], []
+            for text, own in zip(texts, bpe.encode_batch(texts)):
+                ids.append(np.array(own, dtype=np.int32))
+                sizes.append(len(own))
+                same.append(bpe.decode(own) == (text or "").encode("utf-8", "surrogatepass"))
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32())
+            )
+            columns = [batch.column(i) for i in range(kept)] + [pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select(*keep, docs[text_col].cast("string").alias("_text")).mapInArrow(run, schema)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import sys
+import uuid
 from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.session import work_path
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -43,3 +47,27 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def process_cache() -> dict:
     """A dict that lives as long as this Python process: reused workers keep loaded vocabularies and models."""
     return sys.modules.setdefault("riskweave_process_cache", ModuleType("riskweave_process_cache")).__dict__
+
+
+def co_located(rows: DataFrame, key: str, label: str) -> DataFrame:
+    """``rows`` as a stored table in hash buckets of ``key``: later joins on it move the other side only."""
+    spark = rows.sparkSession
+    name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(buckets, key).option("path", work_path(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    It does so when the driver collects the plans that made them; operators of several stored steps
+    ask for that after each step.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def bounded(side: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored table of keys, marked for broadcast if it is proven small; else Spark shuffles the join."""
+    return F.broadcast(side) if side.count() <= rows else side

@@ -8,7 +8,7 @@ prefix shingles in a hash join; the shingle's place in the window fixes where th
 (positional bound), the text must be long enough for it (length bound), and the words are then
 compared exactly.
 
-The benchmark side is broadcast only up to :data:`BROADCAST_ROWS` rows; beyond that the join is left
+The benchmark side is broadcast only up to a stated number of rows (:func:`common.bounded`); beyond that the join is left
 to Spark, which shuffles and splits skewed keys.
 
 Null texts have no words.  Repeated documents give repeated results.  Items with equal ids are one
@@ -20,11 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import ascii_lower, id_text
+from riskweave.llm.common import ascii_lower, bounded, id_text
 from riskweave.session import staged
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-BROADCAST_ROWS = 500_000
 
 
 def item_words(text: Column) -> Column:
@@ -53,11 +52,6 @@ def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id",
     )
 
 
-def _small(side: DataFrame) -> DataFrame:
-    """``side`` marked for broadcast if it is proven small; it is a stored table, so the count is cheap."""
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
-
-
 def _document_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return id_text(docs, id_col, text_col).select(
         "_id", F.xxhash64("_text").alias("_hash"), item_words(F.col("_text")).alias("_words")
@@ -79,7 +73,7 @@ def prefix_index(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", te
     """(shingle, offset, window, items): each window under its rarest shingle, with that shingle's place."""
     placed = windows.select("window", F.posexplode(shingles(F.col("window"))).alias("offset", "shingle"))
     singles = not windows.filter(F.size("window") == 1).isEmpty()
-    wanted = _small(staged(placed.select("shingle").distinct(), "window-shingles"))
+    wanted = bounded(staged(placed.select("shingle").distinct(), "window-shingles"))
     seen = (
         _places(_document_words(docs, id_col, text_col), singles).join(wanted, "shingle")
         .groupBy("shingle").agg(F.count("*").alias("n"))
@@ -100,7 +94,7 @@ def find_windows(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text
     singles = not index.filter(F.size("window") == 1).isEmpty()
     start, length = F.col("at") - F.col("offset") + 1, F.size("window")
     return (
-        _places(_document_words(docs, id_col, text_col), singles, "_id", "_hash", "_words").join(_small(index), "shingle")
+        _places(_document_words(docs, id_col, text_col), singles, "_id", "_hash", "_words").join(bounded(index), "shingle")
         .filter((start >= 1) & (start + length - 1 <= F.size("_words")))
         .filter(F.slice("_words", start, length) == F.col("window"))
         .select("_id", "_hash", start.alias("start"), length.alias("length"), "items")

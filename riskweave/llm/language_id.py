@@ -24,6 +24,7 @@ from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -329,20 +330,38 @@ def predict(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = None if shared.value is None else Model(**shared.value)
         for batch in batches:
-            texts = batch["_text"].tolist()
-            k = len(texts)
-            lang, score, best, gone = np.full(k, UNKNOWN, dtype=object), np.zeros(k), np.full(k, np.nan), np.ones(k, bool)
-            if own is not None and k:
-                h, n = entropies(own, texts)
-                j = h.argmin(axis=1)
-                low = h[np.arange(k), j]
-                gap = np.minimum((h - low[:, None]) * np.maximum(n, 1)[:, None], 700)
-                real = n > 0
-                lang[real] = np.array(own.languages, dtype=object)[j[real]]
-                score[real] = (1 / np.exp(-gap).sum(axis=1))[real]
-                best[real] = low[real]
-                limit = own.mean[j] + deviations * own.spread[j] + short / np.sqrt(np.maximum(n, 1))
-                gone = ~real | (low > limit)
+            lang, score, best, gone = judge(own, batch["_text"].tolist(), deviations, short)
             yield pd.DataFrame({id_col: batch["_id"], "lang_pred": lang, "score": score, "cross_entropy": best, "rejected": gone})
 
     return rows.mapInPandas(run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
+
+
+def judge(model: Model | None, texts: list[str | None], deviations: float = 8.0, short: float = 6.0) -> tuple[np.ndarray, ...]:
+    """(language, score, cross-entropy, rejected) of each text."""
+    k = len(texts)
+    lang, score, best, gone = np.full(k, UNKNOWN, dtype=object), np.zeros(k), np.full(k, np.nan), np.ones(k, bool)
+    if model is not None and k:
+        h, n = entropies(model, texts)
+        j = h.argmin(axis=1)
+        low = h[np.arange(k), j]
+        gap = np.minimum((h - low[:, None]) * np.maximum(n, 1)[:, None], 700)
+        real = n > 0
+        lang[real] = np.array(model.languages, dtype=object)[j[real]]
+        score[real] = (1 / np.exp(-gap).sum(axis=1))[real]
+        best[real] = low[real]
+        limit = model.mean[j] + deviations * model.spread[j] + short / np.sqrt(np.maximum(n, 1))
+        gone = ~real | (low > limit)
+    return lang, score, best, gone
+
+
+def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the models do not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else _plain(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None if shared.value is None else Model(**shared.value)
+        for batch in batches:
+            gone = judge(own, batch.column(batch.schema.get_field_index(text_col)).to_pylist())[3]
+            yield batch.filter(pa.array(~gone))
+
+    return docs.mapInArrow(run, docs.schema)

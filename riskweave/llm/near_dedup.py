@@ -26,11 +26,10 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import ascii_lower, id_text, words_of
+from riskweave.llm.common import ascii_lower, bounded, id_text, words_of
 from riskweave.session import staged
 
 MISS = 2e-7
-BROADCAST_ROWS = 1_000_000
 
 
 def shingle_set(text: Column, words_each: int) -> Column:
@@ -145,10 +144,8 @@ def verified(pairs: DataFrame, docs: DataFrame, words_each: int, percent: int, i
     Sets are made anew, of the classes that occur in a pair only.
     """
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("_id"))
-    nodes = staged(sides.select("_id").distinct(), "paired-classes")
+    nodes = bounded(staged(sides.select("_id").distinct(), "paired-classes"))
     texts = id_text(docs, id_col, text_col)
-    if nodes.count() <= BROADCAST_ROWS:
-        nodes = F.broadcast(nodes)
     sets = (
         texts.join(nodes, "_id", "left_semi")
         .withColumn("_words", words_of(ascii_lower(F.col("_text"))))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
-    byte_bpe, chat_format, decontaminate, language_id, near_dedup, quality_model, quality_rules, toxicity, url_rules,
+    byte_bpe, chat_format, decontaminate, language_id, near_dedup, quality_model, quality_rules, suffix_dedup,
+    toxicity, url_rules,
 )
 from riskweave.llm.common import held_out, id_text, table
 from riskweave.session import staged
@@ -34,6 +35,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", unseen)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -88,6 +93,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality_model": op5_quality_model,
