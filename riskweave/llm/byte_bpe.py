@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from riskweave.llm.common import process_cache
 
@@ -273,7 +274,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
             yield batch.drop(columns="_text")
 
     spread = docs.select(*kept, docs[text_col].cast("string").alias("_text"))
-    schema = docs.select(*kept).schema.add(ids_col, "array<int>")
+    schema = docs.select(*kept).schema.add(ids_col, T.ArrayType(T.IntegerType()))
     return spread.mapInPandas(run, schema)
 
 
@@ -313,7 +314,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
 def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns, n_tokens, token_ids and round_trip: whether the decoded bytes are the text's."""
-    schema = docs.select(*keep).schema.add("n_tokens", "long").add("token_ids", "array<int>").add("round_trip", "boolean")
+    schema = docs.select(*keep).schema.add("n_tokens", "long").add("token_ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
