@@ -7,8 +7,9 @@ scores the window.  All overlapping windows of every whole text are scored; the
 a logistic calibration of the highest window logit and the number of windows.
 
 The network is fitted on a bounded sample of labelled rows (``sample_rows`` of each label, by hash of
-the id), first on windows spread over each text, then again with each text's highest window, so
-that a passage inside a long text counts.
+the id), first on the window of each text whose words tell most by their log-odds in the sample,
+then again with the window that the first network scores highest, so that a passage inside a long
+text counts.
 
 Null and empty texts have one empty window and get its score.  Without labelled rows of both kinds
 every score is the share of label 1 (0.5 without any label).  Null labels are skipped, several
@@ -156,39 +157,46 @@ class Lexicon:
         self.word_id = np.array([self.vocabulary.get(w, 0) for w in self.index], dtype=np.int64)
         parts = [trigrams(w) for w in self.index]
         self.bucket = np.array([b for x in parts for b in x], dtype=np.int64)
-        self.owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-        self.share = 1.0 / np.array([len(x) for x in parts], dtype=np.float64)[self.owner] if parts else np.zeros(0)
-
-    def vectors(self, p: Params, hide: np.ndarray | None = None) -> np.ndarray:
-        ids = self.word_id if hide is None else np.where(hide, 0, self.word_id)
-        chars = np.zeros((len(self.index), CHAR_DIM))
-        np.add.at(chars, self.owner, p["char"][self.bucket] * self.share[:, None])
+        self.size = np.array([len(x) for x in parts], dtype=np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.size)))[:-1]
+
+    def buckets(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Trigram buckets of some words in a row, and where each word's begin."""
+        size = self.size[words]
+        start = np.concatenate(([0], np.cumsum(size)))[:-1]
+        return self.bucket[np.repeat(self.first[words] - start, size) + np.arange(size.sum())], start
+
+    def vectors(self, p: Params, words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        bucket, start = self.buckets(words)
+        chars = np.add.reduceat(p["char"][bucket], start) / self.size[words][:, None]
         return np.concatenate([np.where(ids[:, None] > 0, p["word"][ids], 0), chars], axis=1)
 
 
 def train_network(
-    windows: list[list[str]], labels: np.ndarray, epochs: int = 6, rate: float = 0.01, batch: int = 128,
-    seed: int = 5, start: tuple[Lexicon, Params] | None = None,
+    windows: list[list[str]], labels: np.ndarray, epochs: int = 8, rate: float = 0.01, batch: int = 128, seed: int = 5,
 ) -> tuple[Lexicon, Params]:
-    """Fit the network to windows of normalised words with 0/1 labels by Adam."""
+    """Fit the network to windows of normalised words with 0/1 labels by Adam with weight decay.
+
+    In each step some words lose their word vector, so that the character part learns them too.
+    """
     rng = np.random.default_rng(seed)
-    lexicon = Lexicon(windows) if start is None else start[0]
-    p = new_params(len(lexicon.vocabulary), rng) if start is None else start[1]
+    lexicon = Lexicon(windows)
+    p = new_params(len(lexicon.vocabulary), rng)
     ids = np.zeros((WIDTH, len(windows)), dtype=np.int64)
     mask = np.zeros((WIDTH, len(windows)))
     for j, window in enumerate(windows):
         own = [lexicon.index[w] for w in window[:WIDTH] if w in lexicon.index]
         ids[: len(own), j], mask[: len(own), j] = own, 1
     weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
-    first, second, step = {k: 0 for k in p}, {k: 0 for k in p}, 0
+    first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
             words, back = np.unique(ids[:, pick], return_inverse=True)
             back = back.reshape(WIDTH, len(pick))
-            hide = rng.random(len(lexicon.index)) < 0.3
-            x = lexicon.vectors(p, hide)[words]
+            own = np.where(rng.random(len(words)) < 0.3, 0, lexicon.word_id[words])
+            x = lexicon.vectors(p, words, own)
             logit, kept = run_network(p, project(p, x)[back], mask[:, pick], keep=True)
             d_logit = (_sigmoid(logit) - labels[pick]) * weight[pick] / len(pick)
             grads, d_gates = gradients(p, kept, mask[:, pick], d_logit)
@@ -197,17 +205,18 @@ def train_network(
             halves = np.stack([d_words[:, : 3 * HIDDEN], d_words[:, 3 * HIDDEN :]])
             grads["wx"] = np.einsum("nd,knh->kdh", x, halves)
             grads["bx"] = halves.sum(axis=1, keepdims=True)
-            d_x = np.zeros((len(lexicon.index), x.shape[1]))
-            d_x[words] = np.einsum("knh,kdh->nd", halves, p["wx"])
+            d_x = np.einsum("knh,kdh->nd", halves, p["wx"])
             grads["word"], grads["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-            np.add.at(grads["word"], np.where(hide, 0, lexicon.word_id)[words], d_x[words, :WORD_DIM])
+            np.add.at(grads["word"], own, d_x[:, :WORD_DIM])
             grads["word"][0] = 0
-            np.add.at(grads["char"], lexicon.bucket, d_x[lexicon.owner, WORD_DIM:] * lexicon.share[:, None])
+            bucket, _ = lexicon.buckets(words)
+            share = np.repeat(d_x[:, WORD_DIM:] / lexicon.size[words][:, None], lexicon.size[words], axis=0)
+            np.add.at(grads["char"], bucket, share)
             step += 1
             for k in p:
                 first[k] = 0.9 * first[k] + 0.1 * grads[k]
                 second[k] = 0.99 * second[k] + 0.01 * grads[k] ** 2
-                p[k] = p[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
+                p[k] = (1 - 0.01 * rate) * p[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-7)
     return lexicon, p
 
 
@@ -282,11 +291,11 @@ class Scorer:
             yield from self._block(waiting)
 
 
-def _spread_windows(text: str | None, most: int) -> list[list[str]]:
-    tokens = [normal(t) for t in (text or "").split()]
-    starts = list(window_starts(len(tokens)))
-    pick = starts if len(starts) <= most else [starts[int(i)] for i in np.linspace(0, len(starts) - 1, most)]
-    return [tokens[s : s + WIDTH] for s in pick]
+def telling_window(tokens: list[str], odds: dict[str, float]) -> int:
+    """Start of the window whose words have the highest sum of log-odds."""
+    value = np.concatenate(([0.0], np.cumsum([odds.get(t, 0.0) for t in tokens])))
+    starts = np.array(window_starts(len(tokens)))
+    return int(starts[np.argmax(value[np.minimum(starts + WIDTH, len(tokens))] - value[starts])])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -299,7 +308,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
     return w
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample_rows: int = 1500, id_col: str = "doc_id") -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample_rows: int = 1200, id_col: str = "doc_id") -> DataFrame:
     """Rows (``_id``, ``_text``, ``label``): about ``sample_rows`` of each label, by hash of the id.
 
     The sample is drawn from the labels, so only its texts are kept by the join.
@@ -315,20 +324,42 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample_r
     return docs.join(F.broadcast(chosen), "_id").select("_id", "_text", "label")
 
 
-def train(chosen: DataFrame, windows_each: int = 6) -> dict:
+def word_odds(chosen: DataFrame, most: int = 3000) -> dict[str, float]:
+    """Log-odds of label 1 for the ``most`` words whose documents differ most by label."""
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(w, y) for t, y in zip(batch["_text"], batch["label"]) for w in {normal(t) for t in (t or "").split()}]
+            yield pd.DataFrame(rows, columns=["word", "label"])
+
+    total = chosen.agg(F.sum("label").alias("ones"), F.count("*").alias("n")).first()
+    ones, zeros = total["ones"], total["n"] - total["ones"]
+    per = chosen.mapInPandas(words, "word string, label int").groupBy("word").agg(F.sum("label").alias("a"), F.count("*").alias("n"))
+    odds = F.log((F.col("a") + 0.5) / (ones + 1)) - F.log((F.col("n") - F.col("a") + 0.5) / (zeros + 1))
+    found = per.filter("n >= 3").select("word", odds.alias("o")).orderBy(F.desc(F.abs("o")), "word").limit(most).collect()
+    return {r["word"]: r["o"] for r in found}
+
+
+def train(chosen: DataFrame) -> dict:
     """A plain dict model from the bounded rows of :func:`labelled_sample`.
 
-    At most ``windows_each`` windows of each row are used in the first fit, and its highest one in
-    the second, so the training set is bounded.
+    First fit: the window of each text whose words tell most, and for label 0 one more by chance.
+    Second fit: these and the window of each text that the first network scores highest.
     """
     count = {r["label"]: r["k"] for r in chosen.groupBy("label").agg(F.count("*").alias("k")).collect()}
     if not count.get(0) or not count.get(1):
         total = sum(count.values())
         return {"share": 0.5 if not total else count.get(1, 0) / total}
+    odds = word_odds(chosen)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(y, w) for t, y in zip(batch["_text"], batch["label"]) for w in _spread_windows(t, windows_each)]
+            rows = []
+            for text, label in zip(batch["_text"], batch["label"]):
+                tokens = [normal(t) for t in (text or "").split()]
+                starts = [telling_window(tokens, odds)]
+                if label == 0:
+                    starts.append(window_starts(len(tokens))[zlib.crc32(repr(tokens[:50]).encode()) % len(window_starts(len(tokens)))])
+                rows += [(label, tokens[s : s + WIDTH]) for s in starts]
             yield pd.DataFrame(rows, columns=["label", "words"])
 
     found = sorted((r["words"], r["label"]) for r in chosen.mapInPandas(first, "label int, words array<string>").collect())
@@ -348,9 +379,9 @@ def train(chosen: DataFrame, windows_each: int = 6) -> dict:
         return sorted((r["words"], r["label"], r["logit"], r["n"]) for r in rows)
 
     top = highest({"vocabulary": lexicon.vocabulary, "params": p})
-    calm = [(w, y) for w, y in found if y == 0]
     lexicon, p = train_network(
-        [w for w, *_ in top] + [w for w, _ in calm], np.array([y for _, y, *_ in top] + [0] * len(calm), dtype=np.float64),
+        [w for w, *_ in top] + [w for w, _ in found],
+        np.array([y for _, y, *_ in top] + [y for _, y in found], dtype=np.float64),
     )
     model = {"vocabulary": lexicon.vocabulary, "params": p}
     top = highest(model)
