@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import byte_bpe, decontaminate, language_id, near_dedup, suffix_dedup
@@ -48,19 +48,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.removed_texts(docs.select("doc_id", "text"), REPEAT_BYTES)
     cut = staged(cut.dropDuplicates(["_id", "_hash"]), "cut-texts").alias("c")
-    rows = docs.withColumn("_h", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("c._id")) & (F.col("d._h") == F.col("c._hash"))
-    text = F.when(F.col("c._hash").isNull(), F.col("d.text")).otherwise(F.col("c.kept_text"))
-    replaced = {"text": text, "n_chars": F.when(F.col("c._hash").isNull(), F.col("d.n_chars")).otherwise(F.length(text).cast("long"))}
-    return rows.join(cut, same, "left").select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns])
+    whole = F.col("c._hash").isNull()
+    text = F.when(whole, F.col("d.text")).otherwise(F.col("c.kept_text"))
+    replaced = {"text": text, "n_chars": F.when(whole, F.col("d.n_chars")).otherwise(F.length(text).cast("long"))}
+    return docs.alias("d").join(cut, _same_row("c"), "left").select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns])
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     hit = staged(found.filter("n_hit > 0").select(F.col("doc_id").alias("_id"), "_hash").distinct(), "contaminated")
-    rows = docs.withColumn("_h", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
-    return rows.join(bounded(hit), same, "left_anti").select(*docs.columns)
+    return docs.alias("d").join(bounded(hit).alias("c"), _same_row("c"), "left_anti")
+
+
+def _same_row(other: str) -> Column:
+    """Id and text of a document row ``d`` are those that ``other`` names by ``_id`` and ``_hash``."""
+    return F.col("d.doc_id").eqNullSafe(F.col(f"{other}._id")) & (F.xxhash64(F.col("d.text")) == F.col(f"{other}._hash"))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,10 +270,10 @@ def encode_column(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(path, pattern)
         for batch in batches:
-            batch[ids_col] = [np.array(x, dtype=np.int32) for x in bpe.encode_batch(batch["_text"])]
-            yield batch.drop(columns="_text")
+            batch[ids_col] = [np.array(x, dtype=np.int32) for x in bpe.encode_batch(batch["__text"])]
+            yield batch.drop(columns="__text")
 
-    spread = docs.select(*kept, docs[text_col].cast("string").alias("_text"))
+    spread = docs.select(*kept, docs[text_col].cast("string").alias("__text"))
     schema = docs.select(*kept).schema.add(ids_col, T.ArrayType(T.IntegerType()))
     return spread.mapInPandas(run, schema)
 
@@ -331,4 +331,4 @@ def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text
             columns = [batch.column(i) for i in range(kept)] + [pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*keep, docs[text_col].cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, docs[text_col].cast("string").alias("__text")).mapInArrow(run, schema)
