@@ -167,28 +167,43 @@ def lossless_int(col: Column | str) -> Column:
     return strip(_c(col).cast("string")).cast("double").cast("int")
 
 
-_EXACT_LIMIT = 1e12
+_EXACT_LIMIT = 9.0e18  # whole units below this fit a BIGINT
+_LIMB = 20  # bits
 
 
-def _whole_and_micro(x: Column) -> tuple[Column, Column]:
+def _limb_sums(x: Column) -> Column:
+    """Exact DECIMAL(38,6) sum of finite doubles below the limit, to six decimals each.
+
+    Whole units are cut in three limbs of 20 bits (the highest keeps the sign) and summed as
+    BIGINT next to the millionths: no sum overflows below 2^43 rows, whatever the amounts.
+    """
     whole = x.cast("long")
-    return whole, F.rint((x - whole) * F.lit(1e6)).cast("long")
+    mask = F.lit((1 << _LIMB) - 1).cast("long")
+    limbs = [
+        F.shiftright(whole, 2 * _LIMB),
+        F.shiftright(whole, _LIMB).bitwiseAND(mask),
+        whole.bitwiseAND(mask),
+    ]
+    high, middle, low = [F.sum(limb).cast("decimal(20,0)") for limb in limbs]
+    micro = F.sum(F.rint((x - whole) * F.lit(1e6)).cast("long")).cast("decimal(20,0)")
+    return (
+        high * F.lit(1 << 2 * _LIMB).cast("decimal(13,0)") + middle * F.lit(1 << _LIMB).cast("decimal(7,0)")
+        + low + micro * F.lit("0.000001").cast("decimal(6,6)")
+    ).cast("decimal(38,6)")
 
 
 def money_sum(col: Column | str) -> Column:
-    """Order-independent sum of amounts with up to six decimals.
+    """Order-independent sum of amounts with up to six decimals, as a double.
 
-    Adding doubles gives last digits that depend on task order, so a retried task
-    could change a total.  Whole units and millionths are summed as integers, which
-    is exact, stays in generated code and costs about the same as a double sum
-    (a DECIMAL sum is ~15x slower).  Values past 1e12, infinities and NaN take the
-    plain double sum.
+    Adding doubles gives last digits that depend on task order, so a retried task could
+    change a total.  Integer limbs are summed instead (:func:`_limb_sums`), which is exact for
+    totals of any size and stays in generated code.  Single values from 9e18 on have no
+    decimals left; they, infinities and NaN take the plain double sum.
     """
     x = _c(col).cast("double")
     plain = F.abs(x) < F.lit(_EXACT_LIMIT)
-    whole, micro = _whole_and_micro(F.when(plain, x))
+    exact = _limb_sums(F.when(plain, x)).cast("double")
     rest = F.sum(F.when(~plain, x))
-    exact = F.sum(whole).cast("double") + F.sum(micro).cast("double") / F.lit(1e6)
     return F.when(
         exact.isNotNull() | rest.isNotNull(),
         F.coalesce(exact, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)),
@@ -196,8 +211,12 @@ def money_sum(col: Column | str) -> Column:
 
 
 def money_sum_decimal(col: Column | str) -> Column:
-    """Exact sum of amounts with up to six decimals as DECIMAL(20,2), rounded half-even."""
-    whole, micro = _whole_and_micro(_c(col).cast("double"))
-    parts = [F.sum(part).cast("decimal(26,6)") for part in (whole, micro)]
-    total = parts[0] + parts[1] * F.lit("0.000001").cast("decimal(7,6)")
-    return F.bround(total, 2).cast("decimal(20,2)")
+    """Exact sum of amounts with up to six decimals as DECIMAL(20,2), rounded half-even.
+
+    Null where a decimal cannot hold the total: with an infinite, NaN or 9e18 and larger value
+    among the rows, or a total of more than 18 whole digits.
+    """
+    x = _c(col).cast("double")
+    plain = F.abs(x) < F.lit(_EXACT_LIMIT)
+    total = F.bround(_limb_sums(F.when(plain, x)), 2).try_cast("decimal(20,2)")
+    return F.when(F.count_if(~plain) == 0, total)

@@ -74,7 +74,6 @@ def running_totals(
     )
 
 
-_SMALL = 1_000_000
 _ACCURACY = 100_000
 
 
@@ -86,11 +85,9 @@ def exact_quantile(df: DataFrame, col: str, q: float = LARGE_QUANTILE) -> float:
 def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
     """Exact quantiles of one column without sorting or collecting it.
 
-    The built-in exact ``percentile`` keeps every distinct value in one task, which is fine
-    up to a million rows.  Beyond that one pass sketches a bracket around each rank, the
-    next counts the rows below, on and between the bracket ends, and only the rows strictly
-    inside a bracket (a few hundred-thousandths of the table) are sorted, in parallel when
-    they are many.
+    One pass counts and one sketches a bracket around each rank, the next counts the rows
+    below, on and between the bracket ends, and only the rows strictly inside a bracket (a few
+    hundred-thousandths of the table) are sorted, in parallel.  The plan is the same at every size.
     """
     v = F.col("v")
     values = df.select(F.col(col).cast("double").alias("v")).filter(v.isNotNull())
@@ -98,13 +95,11 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
     n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return [0.0] * len(qs)
-    if n <= _SMALL:
-        return list(values.agg(F.percentile("v", qs)).first()[0])
     # 0-based ranks around (n - 1) q, with the weight of the upper one
     spots = [(n - 1) * q for q in qs]
     found: dict[int, float] = {0: float(low), n - 1: float(high)}
     wanted = [[r for r in {int(p), min(int(p) + 1, n - 1)} if r not in found] for p in spots]
-    reach = 2.0 / _ACCURACY
+    reach = 2.0 / _ACCURACY + 2.0 / n  # the sketch's error, and the neighbouring rank
     marks = [min(1.0, max(0.0, q + side)) for q in qs for side in (-reach, reach)]
     ends = values.agg(F.percentile_approx("v", marks, _ACCURACY)).first()[0]
     brackets = [(ends[2 * i], ends[2 * i + 1]) for i in range(len(qs))]
@@ -119,9 +114,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
         found |= {r: hi for r in ranks if last <= r < last + at_hi}
         rest = [r for r in ranks if r not in found]
         if all(first <= r < last for r in rest):
-            found |= _values_at(values.filter((v > lo) & (v < hi)), first, inside, rest)
+            found |= _values_at(values.filter((v > lo) & (v < hi)), first, rest)
         else:  # the sketch missed: rank the whole column instead
-            found |= _values_at(values, 0, n, rest)
+            found |= _values_at(values, 0, rest)
     out = []
     for p in spots:
         k, weight = int(p), p - int(p)
@@ -130,16 +125,11 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> list[float]:
     return out
 
 
-def _values_at(values: DataFrame, offset: int, size: int, ranks: list[int]) -> dict[int, float]:
+def _values_at(values: DataFrame, offset: int, ranks: list[int]) -> dict[int, float]:
     """Values at the given 0-based ranks, where ``values`` starts at rank ``offset``."""
     if not ranks:
         return {}
-    counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    if size > _SMALL:
-        counted = running_totals(counted, [F.col("v")], {"upto": "n"})
-    else:
-        so_far = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counted = counted.withColumn("upto", F.sum("n").over(so_far))
+    counted = running_totals(values.groupBy("v").agg(F.count("*").alias("n")), [F.col("v")], {"upto": "n"})
     upto, start = F.col("upto") + offset, F.col("upto") - F.col("n") + offset
     hits = reduce(Column.__or__, [(start <= r) & (upto > r) for r in ranks])
     rows = counted.filter(hits).select("v", start.alias("a"), upto.alias("b")).collect()
@@ -174,14 +164,20 @@ def score_deciles(
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key (last write wins).
+    """The row with the greatest ``order`` per key (last write wins); null orders come last.
 
-    ``max_by`` combines on the map side, so a hot key shuffles one row per task.
+    The greatest first order column per key is a hash aggregation of two narrow columns with
+    map-side combine.  Rows that reach it are kept by a hash semi join, whose skewed side Spark
+    splits; only these few are compared as whole rows.
     """
     keys = [key] if isinstance(key, str) else key
+    first = order[0]
+    newest = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(first).alias("_o"))
+    same = [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    reached = df.join(newest.hint("shuffle_hash"), reduce(Column.__and__, same) & df[first].eqNullSafe(F.col("_o")), "left_semi")
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
+    return reached.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
 
 
 def best_model(metrics: DataFrame, by: str = "pr_auc") -> DataFrame:

@@ -68,19 +68,18 @@ def head_sample(
 ) -> DataFrame:
     """First ``n`` rows in a total order; ``strict`` fails when there are fewer.
 
-    A plain sort-and-limit keeps ``n`` rows per task and merges them all in one.  For a
-    large table a key a little past the ``n``-th is guessed from a sample and checked by
-    a count; only rows up to that key are then sorted.  With one order column that filter
-    also reaches the scan.  A wrong guess falls back to the plain form.
+    A plain sort-and-limit keeps ``n`` rows per task and merges them all in one.  So a key
+    a little past the ``n``-th is guessed from a sample and checked by a count; only rows up
+    to that key are then sorted.  With one order column that filter also reaches the scan.
+    A wrong guess (always so for a table of a few thousand rows) falls back to the plain form.
     """
     near = df
     k = int(1.5 * n * fraction) + 20
-    if n > 1000:
-        keys = df.select(*order).sample(fraction, seed=1).orderBy(*order).limit(k)
-        seen, last = keys.agg(F.count("*"), F.max(F.struct(*order))).first()
-        if seen == k:
-            head = df.filter(_up_to(df, order, last))
-            near = head if head.count() >= n else df
+    keys = df.select(*order).sample(fraction, seed=1).orderBy(*order).limit(k)
+    seen, last = keys.agg(F.count("*"), F.max(F.struct(*order))).first()
+    if seen == k:
+        head = df.filter(_up_to(df, order, last))
+        near = head if head.count() >= n else df
     out = near.orderBy(*order).limit(n)
     if strict and out.count() < n:
         raise ValueError(f"expected at least {n} rows")

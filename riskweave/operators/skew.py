@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from riskweave.session import staged
+
 HOT_SHARE = 0.005  # a key with more than this share of the rows is joined by broadcast
 
 
@@ -11,9 +13,6 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys holding more than ``share`` of all rows: at most ``1 / share`` of them."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     total = df.count()
-    # 1/share keys fit in one partition at 200 rows; a small table has nothing to balance
-    if total < 1_000_000:
-        return []
     rows = counts.filter((F.col("n") > share * total) & F.col(key).isNotNull()).collect()
     return [r[0] for r in rows]
 
@@ -24,11 +23,13 @@ def join_unique(
     """Join to a side that is unique per ``key``.
 
     Rows of hot keys meet at most ``1 / HOT_SHARE`` right rows, a proven bound, so that
-    part is a broadcast join without a shuffle; the rest joins as Spark chooses.
+    part is a broadcast join without a shuffle; the rest joins as Spark chooses.  Both parts
+    read the right side from one stored table.
     """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
         return left.join(right, key, how)
+    right = staged(right, "join-side")
     is_hot = F.col(key).isin(*hot)
     spread = left.filter(is_hot | F.col(key).isNull()).join(
         F.broadcast(right.filter(is_hot)), key, how

@@ -64,25 +64,18 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, precombine: str) -> Da
     """New keys are inserted; a key is replaced when its update is newer or equally new.
 
     Within ``updates`` the greatest ``precombine`` per key wins.  ``base`` is unique per
-    key and is only ever probed against the updates, so with a small update set Spark
-    broadcasts that set and the base is not shuffled at all.
+    key.  Both sides are read once and meet in one full outer hash join.
     """
     cols = base.columns
     newest = latest_per_key(updates.select(*cols), key, [precombine])
-    change = newest.select(
-        F.col(key).alias("_key"), F.struct(*cols).alias("_new"),
+    old = base.select(F.col(key).alias("_old_key"), F.struct(*cols).alias("_old"))
+    new = newest.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
+    both = old.join(new.hint("shuffle_hash"), F.col("_old_key") == F.col("_new_key"), "full")
+    before, after = F.col(f"_old.{precombine}"), F.col(f"_new.{precombine}")
+    stays = F.col("_new_key").isNull() & F.col("_new").isNull() | (
+        F.col("_old").isNotNull() & F.coalesce(after < before, after.isNull() & before.isNotNull())
     )
-    joined = base.join(change, base[key] == F.col("_key"), "left")
-    wins = F.col("_key").isNotNull() & ~F.coalesce(
-        F.col(f"_new.{precombine}") < F.col(precombine), F.col(f"_new.{precombine}").isNull()
-        & F.col(precombine).isNotNull()
-    )
-    kept = joined.select(
-        *[F.when(wins, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in cols]
-    )
-    known = base.select(key).join(newest.select(key), key, "left_semi")
-    inserts = newest.join(known, key, "left_anti").select(*cols)
-    return kept.unionByName(inserts)
+    return both.select(F.when(stays, F.col("_old")).otherwise(F.col("_new")).alias("r")).select("r.*")
 
 
 def search_documents(events: DataFrame, ingested_at: Column | None = None,

@@ -32,13 +32,15 @@ def build_session(app: str = "riskweave", master: str | None = None, **conf: str
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where no such folder is configured (unit tests) a temporary one is made
-    and remembered in the session, so a cluster never sees a machine-local path.
+    Only in local mode, where no such folder is configured, a temporary one is made and
+    remembered in the session; a cluster without the setting gets an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("riskweave.work.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="riskweave-")
         spark.conf.set("riskweave.work.dir", root)
     return os.path.join(root, "riskweave", f"{label}-{uuid.uuid4().hex}")

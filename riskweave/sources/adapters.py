@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskweave.sources.layers import spread_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,10 +102,10 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bulk_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as transactions between customers and suppliers (no unique id)."""
-    line = spread_out(table(spark, sf_dir, "lineitem").select(
+    line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag",
         "l_linestatus", "l_shipdate",
-    ))
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

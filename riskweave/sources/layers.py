@@ -11,16 +11,6 @@ def read_dwd(spark: SparkSession, path: str, columns: list[str] | None = None) -
     return df.select(*columns) if columns else df
 
 
-def spread_out(df: DataFrame, most: int = 8) -> DataFrame:
-    """Split a source of few, unsplittable pieces over more tasks (at most ``most`` times).
-
-    Does nothing once a source has as many pieces as there are cores.
-    """
-    pieces = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if pieces >= cores else df.repartition(min(cores, most * max(pieces, 1)))
-
-
 def read_layer_csv(
     spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
 ) -> DataFrame:

@@ -81,8 +81,8 @@ def with_file_sequence(good: DataFrame, name: str = _SEQ) -> DataFrame:
         _FILE, _BLOCK,
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    # every split is a whole file or fills a scan partition
-    if len(good.inputFiles()) + good.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
+    offsets = staged(offsets, "split-offsets")
+    if offsets.count() <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     return (
         keyed.join(offsets, [_FILE, _BLOCK])

@@ -145,3 +145,19 @@ def test_money_sum_decimal_rounds_half_even(rows):
     assert total(1.005, 0.01) == "1.02"  # 1.015 -> even
     assert total(1.005, 0.0) == "1.00"   # 1.005 -> even
     assert total(2.5e9, 0.001) == "2500000000.00"
+
+
+def test_money_sums_of_large_totals(rows):
+    many = rows("a double", [(9e17,)] * 40 + [(-1.25,), (0.5,)])
+    assert many.agg(C.money_sum("a")).first()[0] == 3.6e19
+    assert many.agg(C.money_sum_decimal("a")).first()[0] is None  # 20 whole digits
+    one = rows("a double", [(9e15 + 2,), (-9e15,), (0.125,), (0.25,)])
+    assert one.agg(C.money_sum("a")).first()[0] == 2.375
+    assert str(one.agg(C.money_sum_decimal("a")).first()[0]) == "2.38"
+
+
+def test_money_sums_with_infinity(rows):
+    df = rows("a double", [(float("inf"),), (2.0,)])
+    assert df.agg(C.money_sum("a")).first()[0] == float("inf")
+    assert df.agg(C.money_sum_decimal("a")).first()[0] is None
+    assert rows("a double", [(float("nan"),), (2.0,)]).agg(C.money_sum_decimal("a")).first()[0] is None

@@ -118,8 +118,7 @@ def test_quantile_paths_agree(spark, monkeypatch):
     qs = [0.0, 0.1, 0.24, 0.5, 0.57, 0.995, 1.0]
     expected = [want(q) for q in qs]
     assert R.exact_quantiles(df, "x", qs) == pytest.approx(expected)
-    for small, accuracy in ((100, 1000), (100, 10), (5, 100)):
-        monkeypatch.setattr(R, "_SMALL", small)
+    for accuracy in (1000, 100, 10):
         monkeypatch.setattr(R, "_ACCURACY", accuracy)
         assert R.exact_quantiles(df, "x", qs) == pytest.approx(expected)
     assert R.exact_quantile(df.filter("x > 100"), "x") == 0.0

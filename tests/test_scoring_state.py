@@ -243,3 +243,25 @@ def test_publish_and_metrics(spark, rows, tmp_path):
 def test_rule_points_are_total(rows):
     df = rows(S.SCORING_INPUT, [scoring_row(amount_paid=1e7, is_cross_bank=1)])
     assert df.select(rules.contract_raw_score()).first()[0] == 45
+
+
+def test_latest_row_is_found_by_hash_aggregation(rows):
+    from riskweave.operators.ranking import latest_per_key
+
+    data = [("a", 1, 5, "x"), ("a", 2, 1, "y"), ("a", 2, 3, "z"), ("b", None, 1, "p"), ("b", None, 2, "q"), (None, 7, 1, "n"), ("c", 1, 1, None)]
+    df = rows("k string, ts int, seq int, v string", data)
+    newest = latest_per_key(df, "k", ["ts", "seq"])
+    assert {(r["k"], r["v"]) for r in newest.collect()} == {("a", "z"), ("b", "q"), (None, "n"), ("c", None)}
+    text = newest._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in text and "shuffle_hash" in text
+
+
+def test_upsert_reads_the_base_once(rows):
+    from riskweave.operators.state import upsert
+
+    base = rows("k int, ts int, v string", [(1, 5, "a"), (2, 5, "b"), (3, None, "c"), (4, 9, "d"), (None, 1, "lost")])
+    updates = rows("k int, ts int, v string", [(1, 6, "a2"), (1, 7, "a3"), (2, 5, "b2"), (3, 1, "c2"), (4, None, "d2"), (5, 1, "e"), (None, 3, "new")])
+    out = upsert(base, updates, "k", "ts")
+    want = {(1, "a3"), (2, "b2"), (3, "c2"), (4, "d"), (5, "e"), (None, "lost"), (None, "new")}
+    assert {(r["k"], r["v"]) for r in out.collect()} == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("FullOuter") == 1
