@@ -79,13 +79,24 @@ def profile_transactions(raw: DataFrame, corrupt: str = "_corrupt") -> DataFrame
     return main.withColumn("_n", counts.scalar()).select("*", "_n.*").drop("_n")
 
 
-def profile_accounts(accounts: DataFrame) -> DataFrame:
-    return accounts.agg(
+def profile_accounts(accounts: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
+    """Counts over the well-formed rows, and the number of malformed ones."""
+    main = accounts.agg(
         F.count("*").alias("row_count"),
         F.count_distinct("bank_id").alias("bank_count"),
         F.count_distinct("account_number").alias("account_count"),
         F.count_distinct("entity_id").alias("entity_count"),
     )
+    return main.withColumn("malformed_count", _row_count(malformed))
+
+
+def top_bank_ids(accounts: DataFrame, top: int | None = 30) -> DataFrame:
+    """(value, count): accounts per bank id, most common first."""
+    return value_counts(accounts, "bank_id", top)
+
+
+def _row_count(rows: DataFrame | None) -> Column:
+    return F.lit(0).cast("long") if rows is None else rows.agg(F.count("*")).scalar()
 
 
 def profile_patterns(lines: DataFrame) -> DataFrame:
@@ -113,8 +124,7 @@ def ods_summary(ods: DataFrame, malformed: DataFrame | None = None) -> DataFrame
         F.coalesce(F.min(stamp), F.lit("")).alias("min_timestamp"),
         F.coalesce(F.max(stamp), F.lit("")).alias("max_timestamp"),
     )
-    bad = F.lit(0).cast("long") if malformed is None else malformed.agg(F.count("*")).scalar()
-    head = metric_rows(totals.withColumn("malformed_rows", bad))
+    head = metric_rows(totals.withColumn("malformed_rows", _row_count(malformed)))
     return head.unionByName(_keyed_counts(ods, {"label": "is_laundering", "payment_format": "payment_format"}))
 
 
@@ -141,10 +151,19 @@ def account_dim_summary(accounts: DataFrame) -> DataFrame:
     )
 
 
-def dwd_quality_summary(typed: DataFrame, coverage: DataFrame) -> DataFrame:
-    """One wide row over all numbered rows plus the account coverage of the kept ones."""
+def dwd_quality_summary(typed: DataFrame, coverage: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
+    """One wide row over all numbered rows plus the account coverage of the kept ones.
+
+    ``payment_format_counts`` is an array of (payment_format, count) over the kept rows, sorted;
+    a column of few values.
+    """
     ok = F.col("amount_paid").isNotNull() & F.col("amount_received").isNotNull()
-    cov = coverage.select("from_account_match_rate", "to_account_match_rate")
+    from_coverage = [f"{side}_account_{what}" for what in ("missing_count", "match_rate") for side in ("from", "to")]
+    cov = coverage.select(*from_coverage)
+    formats = (
+        typed.filter(ok).groupBy("payment_format").agg(F.count("*").alias("count"))
+        .agg(F.array_sort(F.collect_list(F.struct("payment_format", "count"))))
+    )
     main = typed.agg(
         F.count_if(ok).alias("transaction_row_count"),
         (F.count_if(ok) * 2).alias("event_row_count"),
@@ -155,9 +174,10 @@ def dwd_quality_summary(typed: DataFrame, coverage: DataFrame) -> DataFrame:
         F.count_if(ok & (F.col("is_cross_bank") == 1)).alias("cross_bank_count"),
         F.count_if(ok & (F.col("is_cross_currency") == 1)).alias("cross_currency_count"),
     )
-    return main.withColumns(
-        {c: cov.select(c).scalar() for c in ("from_account_match_rate", "to_account_match_rate")}
-    )
+    more = {c: cov.select(c).scalar() for c in from_coverage}
+    return main.withColumns({
+        **more, "malformed_count": _row_count(malformed), "payment_format_counts": formats.scalar(),
+    })
 
 
 def label_distribution(df: DataFrame) -> DataFrame:

@@ -93,11 +93,11 @@ def search_documents(events: DataFrame, ingested_at: Column | None = None,
 
 
 def risk_type_counts(events: DataFrame) -> DataFrame:
-    """Events with an account per risk type; a missing type is UNKNOWN."""
+    """Events and distinct accounts per risk type, of events with an account; a missing type is UNKNOWN."""
     return (
         events.filter(F.coalesce("event_account", F.lit("")) != "")
         .groupBy(F.coalesce("risk_type", F.lit("UNKNOWN")).alias("risk_type"))
-        .agg(F.count("*").alias("event_count"))
+        .agg(F.count("*").alias("event_count"), F.count_distinct("event_account").alias("account_count"))
     )
 
 

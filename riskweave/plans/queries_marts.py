@@ -202,11 +202,27 @@ def _(spark, sf):
 
 
 @query("e03_profile_accounts", f"""WITH {Q.ACCOUNTS} SELECT count(*) AS row_count, count(DISTINCT bank_id) AS bank_count,
-  count(DISTINCT account_number) AS account_count, count(DISTINCT entity_id) AS entity_count FROM accounts""")
+  count(DISTINCT account_number) AS account_count, count(DISTINCT entity_id) AS entity_count, 0 AS malformed_count FROM accounts""")
 def _(spark, sf):
     return P.profile_accounts(A.accounts(spark, sf))
 
 
+@query("e03_profile_account_file", f"""WITH {Q.ACCOUNTS}, marked AS (
+  SELECT *, CAST(substr(account_number, 2) AS BIGINT) % 50 <> 0 AS good FROM accounts)
+SELECT count(*) FILTER (good) AS row_count, count(DISTINCT bank_id) FILTER (good) AS bank_count,
+  count(DISTINCT account_number) FILTER (good) AS account_count, count(DISTINCT entity_id) FILTER (good) AS entity_count,
+  count(*) FILTER (NOT good) AS malformed_count FROM marked""")
+def _(spark, sf):
+    good, bad = RF.split_malformed(RF.read_accounts_csv(spark, I.account_file(spark, sf)))
+    return P.profile_accounts(good, bad)
+
+
+@query("e03_top_bank_ids", f"""WITH {Q.ACCOUNTS}
+SELECT bank_id AS "value", count(*) AS "count" FROM accounts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+def _(spark, sf):
+    return P.top_bank_ids(A.accounts(spark, sf), 10)
+
+
 @query("e04_profile_patterns", f"""WITH {Q.RAW}, k AS (
   SELECT *, CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN 'other' ELSE 'transaction' END AS kind FROM raw),
 facts AS (

@@ -66,7 +66,7 @@ def _(spark, sf):
 
 
 @query("e26_risk_type_counts", f"""WITH {Q.SIMPLE} SELECT CASE WHEN transaction_id LIKE '%9' THEN 'UNKNOWN' ELSE risk_type END AS risk_type,
-  count(*) AS event_count FROM simple WHERE event_account <> 'A1' GROUP BY 1""")
+  count(*) AS event_count, count(DISTINCT event_account) AS account_count FROM simple WHERE event_account <> 'A1' GROUP BY 1""")
 def _(spark, sf):
     # some events lose their type and one account is blank
     events = I.simple_events(spark, sf).withColumns({

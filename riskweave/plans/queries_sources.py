@@ -152,13 +152,19 @@ def _(spark, sf):
     return R.source_inventory(spark, sf, "*.parquet")
 
 
-@query("a10_check_header", "SELECT unnest(['pass', 'fail', 'not_applicable']) AS status")
+@query("a10_check_header", """SELECT event_type AS file,
+  CASE WHEN event_type = 'click' THEN 'fail' ELSE 'pass' END AS status FROM events GROUP BY 1""")
 def _(spark, sf):
-    path = I.transaction_file(spark, sf)
-    good = R.check_header(spark, path, K.TRANSACTION_HEADER)
-    bad = R.check_header(spark, path, K.ACCOUNT_HEADER)
-    none = R.check_header(spark, path, None)
-    return good.unionByName(bad).unionByName(none).select("status")
+    # one file per event type; the files of one type begin with another header
+    events = A.table(spark, sf, "events").select("event_type", "event_id")
+    path = work_path(spark, "headers")
+    header = F.when(F.col("event_type") == "click", F.lit("a,b")).otherwise(F.lit(",".join(K.ACCOUNT_HEADER)))
+    first = events.select("event_type", header.alias("line")).distinct().withColumn("at", F.lit(-1).cast("long"))
+    lines = first.unionByName(events.select("event_type", F.col("event_id").cast("string").alias("line"), F.col("event_id").alias("at")))
+    lines.repartition("event_type").sortWithinPartitions("event_type", "at").select("event_type", F.col("line").alias("value")) \
+        .write.partitionBy("event_type").text(path)
+    found = R.check_header(spark, path, K.ACCOUNT_HEADER)
+    return found.select(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("file"), "status")
 
 
 # --- cleansing ----------------------------------------------------------------------
@@ -407,10 +413,19 @@ SELECT count(*) FILTER (ok) AS transaction_row_count, 2 * count(*) FILTER (ok) A
   count(*) FILTER (ok AND is_cross_bank = 1) AS cross_bank_count,
   count(*) FILTER (ok AND is_cross_currency = 1) AS cross_currency_count,
   round(1 - count(*) FILTER (ok AND from_account NOT IN (SELECT account_number FROM accounts)) / count(*) FILTER (ok), 8) AS from_account_match_rate,
-  round(1 - count(*) FILTER (ok AND to_account NOT IN (SELECT account_number FROM accounts)) / count(*) FILTER (ok), 8) AS to_account_match_rate
+  round(1 - count(*) FILTER (ok AND to_account NOT IN (SELECT account_number FROM accounts)) / count(*) FILTER (ok), 8) AS to_account_match_rate,
+  count(*) FILTER (ok AND from_account NOT IN (SELECT account_number FROM accounts)) AS from_account_missing_count,
+  count(*) FILTER (ok AND to_account NOT IN (SELECT account_number FROM accounts)) AS to_account_missing_count,
+  (SELECT count(*) FROM raw WHERE event_id % 101 = 0 OR event_id % 103 = 0) AS malformed_count,
+  (SELECT string_agg(concat(payment_format, '=', n), ';' ORDER BY payment_format) FROM (
+    SELECT payment_format, count(*) AS n FROM numbered WHERE amount_paid IS NOT NULL AND amount_received IS NOT NULL GROUP BY 1)
+  ) AS payment_format_counts
 FROM (SELECT *, amount_paid IS NOT NULL AND amount_received IS NOT NULL AS ok FROM numbered)""")
 def _(spark, sf):
-    out = W.quality_of_detail(I.numbered(spark, sf), A.accounts(spark, sf))
+    _good, bad = R.split_malformed(R.read_transactions_csv(spark, I.transaction_file(spark, sf)))
+    out = W.quality_of_detail(I.numbered(spark, sf), A.accounts(spark, sf), bad)
+    formats = F.transform("payment_format_counts", lambda x: F.concat(x["payment_format"], F.lit("="), x["count"].cast("string")))
     return out.withColumns({
-        c: F.round(c, 8) for c in ("from_account_match_rate", "to_account_match_rate")
+        **{c: F.round(c, 8) for c in ("from_account_match_rate", "to_account_match_rate")},
+        "payment_format_counts": F.array_join(formats, ";"),
     })

@@ -44,7 +44,7 @@ def build_marts(dwd: DataFrame, out: str, run_id: str) -> dict[str, str]:
     }
 
 
-def quality_of_detail(raw: DataFrame, accounts: DataFrame) -> DataFrame:
+def quality_of_detail(raw: DataFrame, accounts: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
     typed = D.typed_transactions(raw)
     kept = D.valid_amounts(typed)
-    return P.dwd_quality_summary(typed, J.account_coverage(kept, accounts))
+    return P.dwd_quality_summary(typed, J.account_coverage(kept, accounts), malformed)

@@ -147,24 +147,26 @@ def source_inventory(spark: SparkSession, path: str, glob: str | None = None) ->
 
 
 def check_header(spark: SparkSession, path: str, expected: list[str] | None) -> DataFrame:
-    """One row (path, status): pass, fail, or not_applicable when nothing is expected."""
+    """(path, status) of every file: pass, fail, or not_applicable when nothing is expected.
+
+    A file without a line fails.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    files = reader.format("binaryFile").load(path).select("path")
     if expected is None:
-        return spark.range(1).select(
-            F.lit(path).alias("path"), F.lit("not_applicable").alias("status")
-        )
+        return files.withColumn("status", F.lit("not_applicable"))
     # the first line of a file sits in the split that starts at byte 0
     first = (
-        spark.read.text(path)
-        .withColumn("_at", F.col("_metadata.file_block_start"))
+        spark.read.option("recursiveFileLookup", True).text(path)
+        .withColumns({"path": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start")})
         .filter(F.col("_at") == 0)
         .withColumn("_i", F.monotonically_increasing_id())
-        .agg(F.min_by("value", "_i").alias("value"))
+        .groupBy("path").agg(F.min_by("value", "_i").alias("value"))
     )
-    fields = F.split(F.regexp_replace(F.col("value"), "^﻿|\r$", ""), ",")
+    fields = F.split(F.regexp_replace(F.col("value"), "^\ufeff|\r$", ""), ",")
     same = fields == F.array(*[F.lit(name) for name in expected])
-    return first.select(
-        F.lit(path).alias("path"),
-        F.when(F.coalesce(same, F.lit(False)), "pass").otherwise("fail").alias("status"),
+    return files.join(first, "path", "left").select(
+        "path", F.when(F.coalesce(same, F.lit(False)), "pass").otherwise("fail").alias("status"),
     )
 
 
