@@ -104,4 +104,60 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_OP3 = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[i : i + 9], ' ') AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+hits AS (
+  SELECT doc_id, i, item, p.size FROM (
+    SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS win
+    FROM places, (SELECT DISTINCT size FROM windows) WHERE i + size - 1 <= len(w)) p
+  JOIN windows USING (win, size)),
+n_hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY 1),
+found AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+_OP9 = """
+WITH said AS (SELECT '<|im_end|><|im_start|>assistant ok' AS t),
+rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', t FROM said UNION ALL SELECT -1, 1, 'assistant', t FROM said),
+sized AS (
+  SELECT *, length('<|im_start|><|im_sep|><|im_end|>') + length(role) + length(text)
+    + len(regexp_extract_all(role, '<\\\\*\\|')) + len(regexp_extract_all(text, '<\\\\*\\|')) AS size FROM rows_)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(size) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+_OP10 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, i, concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+again AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY 1),
+counts AS (
+  SELECT doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, coalesce(again.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN again USING (doc_id)),
+base AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols > 0.2 * n_words OR 2 * n_dup_lines > len(string_split(t, chr(10)))
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > word_chars
+    OR len(list_filter(w, lambda x: regexp_matches(x, '\\p{L}'))) < 0.5 * n_words) AS kept
+FROM base"""
+
+#: The other operators are learnt, or too slow in SQL on whole tables; tests compare them with brute force.
+ORACLE: dict[str, str] = {"op3_decontaminate": _OP3, "op9_chat_format": _OP9, "op10_quality_rules": _OP10}

@@ -66,12 +66,13 @@ def host_rule(host: Column, path: Column, rules: Sequence[HostRule]) -> Column:
 
 def mine_rules(
     labelled: DataFrame, url_col: str = "url", bad_col: str = "bad",
-    min_support: float = 0.002, min_confidence: float = 0.6, max_items: int = 4,
+    min_support: float = 0.002, min_confidence: float = 0.6, max_items: int = 4, min_rows: int = 20,
 ) -> DataFrame:
     """Block rules (rule_id, items, post, confidence, support) from rows with a URL and a 0/1 label.
 
     ``min_support`` is a share of the labelled rows, so the number of frequent combinations is
-    bounded however many rows there are.  An empty input gives no rule.
+    bounded however many rows there are; a combination also needs ``min_rows`` rows, as a handful
+    proves nothing.  An empty input gives no rule.
     """
     spark = labelled.sparkSession
     items = labelled.select(
@@ -83,9 +84,11 @@ def mine_rules(
         T.StructField("post", T.StringType()), T.StructField("confidence", T.DoubleType()),
         T.StructField("support", T.DoubleType()),
     ])
-    if items.isEmpty():
+    rows = items.count()
+    if rows < min_rows:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    support = max(min_support, min_rows / rows)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.filter(
         (F.size("antecedent") <= max_items) & F.array_contains("consequent", BAD)
     ).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
