@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskweave import constants as K
 from riskweave.functions import rules
 
-_BUCKET_CHARS = 4  # 65,536 hash buckets
+_BUCKET_CHARS = 4  # 65,536 hash buckets a level
+_EDGE_ROWS = 100_000  # a bucket of more rows is cut by the next digits of the hash
 _ALL = 1 << 62  # a quota no stratum reaches
 
 
@@ -18,42 +19,59 @@ def hash_order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
+def _edge_buckets(keyed: DataFrame, ranks: dict) -> dict:
+    """(hash prefix, rank inside it) of the bucket that holds the ``ranks[s]``-th row of stratum ``_s``.
+
+    A histogram over the leading hash digits finds the bucket; while it has more than
+    :data:`_EDGE_ROWS` rows, the next digits are counted inside it.  Strata with fewer rows
+    than their rank are left out.  ``ranks`` holds a handful of strata, of which one row each
+    is collected.
+    """
+    found, unsettled, length = {}, {s: ("", r) for s, r in ranks.items()}, 0
+    while unsettled:
+        length += _BUCKET_CHARS
+        inside = reduce(Column.__or__, [(F.col("_s") == s) & F.col("_h").startswith(p) for s, (p, _) in unsettled.items()])
+        bucket = F.substring("_h", 1, length)
+        counts = keyed.filter(inside).groupBy("_s", bucket.alias("_b")).agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        rank = F.create_map(*[F.lit(x) for s, (_, r) in unsettled.items() for x in (s, r)])[F.col("_s")]
+        before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        cuts = (
+            counts.select("_s", "_b", "_n", before.alias("_before"), rank.alias("_r"))
+            .filter((F.col("_before") < F.col("_r")) & (F.col("_r") <= F.col("_before") + F.col("_n")))
+            .collect()
+        )
+        unsettled = {}
+        for c in cuts:
+            edge = (c["_b"], c["_r"] - c["_before"])
+            whole = length >= 32 or c["_n"] <= _EDGE_ROWS
+            (found if whole else unsettled)[c["_s"]] = edge
+    return found
+
+
 def first_by_hash(
     df: DataFrame, quotas: dict, stratum: Column, id_col: str, seed: int
 ) -> DataFrame:
     """The ``quotas[s]`` rows of each stratum ``s`` with the smallest id hash.
 
-    A histogram over hash buckets finds, per stratum, the one bucket in which the quota
-    runs out.  Rows of earlier buckets pass with a plain filter; only that single
-    bucket (1/65,536 of a stratum) is ranked.  No full sort, no big top-k merge.
-    ``quotas`` holds a handful of strata, so one driver row per stratum is collected.
+    :func:`_edge_buckets` finds, per stratum, the one bucket in which the quota runs out.
+    Rows of earlier buckets pass with a plain filter; only that single small bucket is
+    ranked.  No full sort, no big top-k merge.
     """
     keyed = df.withColumn("_s", stratum).withColumn("_h", hash_order(id_col, seed))
-    bucket = F.substring("_h", 1, _BUCKET_CHARS)
-    wanted = keyed.filter(F.col("_s").isin(*quotas))
-    counts = wanted.groupBy("_s", bucket.alias("_b")).agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy("_s").orderBy("_b")
-    quota = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])[F.col("_s")]
-    before = F.coalesce(F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = (
-        counts.select("_s", "_b", "_n", before.alias("_before"), quota.alias("_q"))
-        .filter((F.col("_before") < F.col("_q")) & (F.col("_q") <= F.col("_before") + F.col("_n")))
-        .select("_s", "_b", (F.col("_q") - F.col("_before")).alias("_need"))
-        .collect()
-    )
-    cut = {row["_s"]: (row["_b"], row["_need"]) for row in cuts}
+    wanted = {s: q for s, q in quotas.items() if q > 0}
+    cut = _edge_buckets(keyed, wanted)
     s = F.col("_s")
     sure, edge = F.lit(False), F.lit(False)
     need = F.lit(0)
-    for key, limit in quotas.items():
-        if limit <= 0:
-            continue
+    for key in wanted:
         if key not in cut:  # the quota exceeds the stratum
             sure = sure | (s == F.lit(key))
             continue
-        at, rest = cut[key]
-        sure = sure | ((s == F.lit(key)) & (bucket < F.lit(at)))
-        edge = edge | ((s == F.lit(key)) & (bucket == F.lit(at)))
+        prefix, rest = cut[key]
+        bucket = F.substring("_h", 1, len(prefix))
+        sure = sure | ((s == F.lit(key)) & (bucket < F.lit(prefix)))
+        edge = edge | ((s == F.lit(key)) & (bucket == F.lit(prefix)))
         need = F.when(s == F.lit(key), F.lit(rest)).otherwise(need)
     picked = keyed.filter(sure)
     if cut:
@@ -129,31 +147,16 @@ def _up_to(df: DataFrame, columns: list[str], bound) -> Column:
 
 
 def _nth_hashes(keyed: DataFrame, ranks: dict, id_col: str) -> dict:
-    """(hash, id) of the ``ranks[s]``-th smallest hash per stratum ``_s``.
-
-    A bucket histogram finds the bucket of each rank; only those buckets are ordered.
-    """
-    if not ranks:
+    """(hash, id) of the ``ranks[s]``-th smallest hash per stratum ``_s``; only edge buckets are ordered."""
+    cut = _edge_buckets(keyed, ranks) if ranks else {}
+    if not cut:
         return {}
-    bucket = F.substring("_h", 1, _BUCKET_CHARS)
-    wanted = keyed.filter(F.col("_s").isin(*ranks))
-    counts = wanted.groupBy("_s", bucket.alias("_b")).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])[F.col("_s")]
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    cuts = (
-        counts.select("_s", "_b", "_n", before.alias("_before"), rank.alias("_r"))
-        .filter((F.col("_before") < F.col("_r")) & (F.col("_r") <= F.col("_before") + F.col("_n")))
-        .collect()
-    )
-    at = reduce(Column.__or__, [(F.col("_s") == c["_s"]) & (bucket == c["_b"]) for c in cuts])
-    hit = reduce(
-        Column.__or__,
-        [(F.col("_s") == c["_s"]) & (F.col("_rn") == c["_r"] - c["_before"]) for c in cuts],
-    )
+    s = F.col("_s")
+    at = reduce(Column.__or__, [(s == k) & F.col("_h").startswith(p) for k, (p, _) in cut.items()])
+    hit = reduce(Column.__or__, [(s == k) & (F.col("_rn") == r) for k, (_, r) in cut.items()])
     position = F.row_number().over(Window.partitionBy("_s").orderBy("_h", id_col))
     rows = (
-        wanted.filter(at).select("_s", "_h", F.col(id_col).alias("_i"), position.alias("_rn"))
+        keyed.filter(at).select("_s", "_h", F.col(id_col).alias("_i"), position.alias("_rn"))
         .filter(hit).collect()
     )
     return {r["_s"]: (r["_h"], r["_i"]) for r in rows}

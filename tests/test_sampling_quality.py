@@ -225,3 +225,16 @@ def test_one_hot_of_unknown_value_is_zero(spark, dwd):
     odd = ready.withColumns({"payment_format": F.lit("never seen"), "payment_currency": F.lit("zzz")}).limit(1)
     tail = model.transform(odd).select(F.slice(vector_to_array(out), len(K.NUMERIC_FEATURES) + 1, 100)).first()[0]
     assert tail and set(tail) == {0.0}
+
+
+def test_edge_buckets_are_cut_by_further_digits(spark, monkeypatch):
+    from riskweave.operators import sampling as SA
+
+    df = spark.range(3000).select(F.col("id").alias("transaction_id"), (F.col("id") % 3 == 0).cast("int").alias("is_laundering"))
+    monkeypatch.setattr(SA, "_BUCKET_CHARS", 1)
+    want = {r[0] for r in SA.undersample(df, 700).select("transaction_id").collect()}
+    monkeypatch.setattr(SA, "_EDGE_ROWS", 2)
+    assert {r[0] for r in SA.undersample(df, 700).select("transaction_id").collect()} == want
+    assert len(want) == 1700
+    parts = {(r[0], r[1]): r[2] for r in SA.stratified_split(df, 0.25).groupBy("is_laundering", "split").count().collect()}
+    assert parts == {(0, "test"): 500, (0, "train"): 1500, (1, "test"): 250, (1, "train"): 750}
