@@ -255,7 +255,7 @@ def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.nda
     return np.concatenate(result), np.concatenate(sizes)
 
 
-def train(labelled: DataFrame, calibration_rows: int = 2000, max_grams: int = 1_000_000) -> Model | None:
+def train(labelled: DataFrame, calibration_rows: int = 2000, max_grams: int = 300_000) -> Model | None:
     """Model from all rows of ``labelled`` (``_id``, ``_text``, ``lang``); None without any.
 
     N-grams are counted over all rows.  The size of the model is bounded: beyond ``max_grams`` (language,
@@ -275,11 +275,12 @@ def train(labelled: DataFrame, calibration_rows: int = 2000, max_grams: int = 1_
         if total <= max_grams:
             break
         total, least = total - k, 2 ** (c + 1)
-    kept = counted.filter(F.col("n") >= least).toPandas()
+    kept = counted.filter(F.col("n") >= least)
     counts = {}
-    for lang, rows in kept.groupby("lang"):
-        rows = rows.sort_values("gram")
-        counts[lang] = rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    for lang in [r["lang"] for r in kept.select("lang").distinct().collect()]:
+        rows = kept.filter(F.col("lang") == lang).select("gram", "n").toPandas()
+        order = np.argsort(rows["gram"].to_numpy(np.int64))
+        counts[lang] = rows["gram"].to_numpy(np.int64)[order], rows["n"].to_numpy(np.int64)[order]
     model = fit(counts)
     _calibrate(model, labelled, calibration_rows)
     return model
