@@ -95,6 +95,14 @@ def sampled_features(
     return FE.build_features(A.detail(spark, sf_dir), accounts, NEGATIVES)
 
 
+def all_features(
+    spark: SparkSession, sf_dir: str, accounts: DataFrame | None = None
+) -> DataFrame:
+    """Features of every transaction: the sampler's quota exceeds any table."""
+    accounts = account_layer(spark, sf_dir) if accounts is None else accounts
+    return FE.build_features(A.detail(spark, sf_dir), accounts, 1 << 62)
+
+
 def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON messages of the state events with faults by transaction number modulo 20."""
     events = state_events(spark, sf_dir)

@@ -111,19 +111,19 @@ def _(spark, sf):
     return money(J.join_account_features(slim, M.account_base(dwd)), "from_out_amount", "from_in_amount")
 
 
-@query("d03_join_features_tx", f"""WITH {Q.FEATURES} SELECT transaction_id, split, amount_paid, "timestamp", from_account, to_account FROM feat""")
+@query("d03_join_features_tx", f"""WITH {Q.ALL_FEATURES} SELECT transaction_id, split, amount_paid, "timestamp", from_account, to_account FROM feat""")
 def _(spark, sf):
-    joined = J.join_features_tx(I.sampled_features(spark, sf), A.detail(spark, sf))
+    joined = J.join_features_tx(I.all_features(spark, sf), A.detail(spark, sf))
     return joined.select("transaction_id", "split", "amount_paid", "timestamp", "from_account", "to_account")
 
 
-@query("d04_rederive_features", f"WITH {Q.FEATURES} SELECT {Q.FEATURE_SELECT} FROM feat")
+@query("d04_rederive_features", f"WITH {Q.ALL_FEATURES} SELECT {Q.FEATURE_SELECT} FROM feat")
 def _(spark, sf):
     from riskweave.plans.queries_sources import rounded_features
 
     dwd = A.detail(spark, sf)
     accounts = I.account_layer(spark, sf)
-    stored = I.stored(I.sampled_features(spark, sf, accounts), "features")
+    stored = I.stored(I.all_features(spark, sf, accounts), "features")
     return rounded_features(J.rederive_features(stored, dwd, accounts))
 
 
@@ -426,22 +426,22 @@ def _(spark, sf):
     return money(P.amount_bin_rates(A.detail(spark, sf)), "laundering_rate", digits=8)
 
 
-@query("e18_split_summary", f"""WITH {Q.FEATURES} SELECT split, count(*) AS "rows", CAST(sum(is_laundering) AS BIGINT) AS positive_rows,
+@query("e18_split_summary", f"""WITH {Q.ALL_FEATURES} SELECT split, count(*) AS "rows", CAST(sum(is_laundering) AS BIGINT) AS positive_rows,
   round(sum(is_laundering) / count(*), 8) AS positive_rate FROM feat GROUP BY 1""")
 def _(spark, sf):
-    return money(P.split_summary(I.sampled_features(spark, sf)), "positive_rate", digits=8)
+    return money(P.split_summary(I.all_features(spark, sf)), "positive_rate", digits=8)
 
 
-@query("e18_label_split_summary", f"WITH {Q.FEATURES} SELECT split, is_laundering, count(*) AS row_count FROM feat GROUP BY 1, 2")
+@query("e18_label_split_summary", f"WITH {Q.ALL_FEATURES} SELECT split, is_laundering, count(*) AS row_count FROM feat GROUP BY 1, 2")
 def _(spark, sf):
-    return P.label_split_summary(I.sampled_features(spark, sf))
+    return P.label_split_summary(I.all_features(spark, sf))
 
 
-@query("e19_class_balance", f"""WITH {Q.FEATURES} SELECT unnest(['feature_rows', 'positive_rows', 'negative_rows', 'positive_rate', 'train_rows', 'test_rows']) AS metric,
+@query("e19_class_balance", f"""WITH {Q.ALL_FEATURES} SELECT unnest(['feature_rows', 'positive_rows', 'negative_rows', 'positive_rate', 'train_rows', 'test_rows']) AS metric,
   unnest([CAST(count(*) AS VARCHAR), CAST(sum(is_laundering) AS VARCHAR), CAST(count(*) - sum(is_laundering) AS VARCHAR),
     printf('%.8f', sum(is_laundering) / count(*)), CAST(count(*) FILTER (split = 'train') AS VARCHAR), CAST(count(*) FILTER (split = 'test') AS VARCHAR)]) AS "value" FROM feat""")
 def _(spark, sf):
-    return P.class_balance(I.sampled_features(spark, sf))
+    return P.class_balance(I.all_features(spark, sf))
 
 
 @query("e20_hourly_distribution", f"""WITH {Q.TX} SELECT transaction_hour, count(*) AS transaction_count,

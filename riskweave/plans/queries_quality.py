@@ -155,7 +155,7 @@ def _two_feature_sets(spark, sf):
     """A stored feature set with two planted differences, and its re-derivation."""
     dwd = A.detail(spark, sf)
     accounts = I.account_layer(spark, sf)
-    planted = I.sampled_features(spark, sf, accounts).withColumns({
+    planted = I.all_features(spark, sf, accounts).withColumns({
         "amount_paid": F.col("amount_paid") + F.when(F.col("transaction_id").endswith("77"), 0.5).otherwise(0.0),
         "payment_format": F.when(F.col("transaction_id").endswith("33"), F.lit(None)).otherwise(F.col("payment_format")),
     })
@@ -168,7 +168,7 @@ def _aligned(spark, sf, columns):
     return J.align_for_parity(stored, again, "transaction_id", columns)
 
 
-@query("q09_numeric_parity", f"""WITH {Q.FEATURES}, names AS (SELECT unnest({QL.PARITY_FEATURES}) AS feature),
+@query("q09_numeric_parity", f"""WITH {Q.ALL_FEATURES}, names AS (SELECT unnest({QL.PARITY_FEATURES}) AS feature),
 s AS (SELECT count(*) AS n, count(*) FILTER (transaction_id LIKE '%77') AS bad FROM feat)
 SELECT feature, n AS compared_rows, CAST(CASE WHEN feature = 'amount_paid' THEN 0.5 ELSE 0 END AS DOUBLE) AS max_abs_diff,
   CASE WHEN feature = 'amount_paid' THEN bad ELSE 0 END AS mismatch_rows,
@@ -179,7 +179,7 @@ def _(spark, sf):
     return money(out, "max_abs_diff", digits=4)
 
 
-@query("q10_categorical_parity", f"""WITH {Q.FEATURES}, names AS (SELECT unnest({QL.PARITY_CATEGORIES}) AS feature),
+@query("q10_categorical_parity", f"""WITH {Q.ALL_FEATURES}, names AS (SELECT unnest({QL.PARITY_CATEGORIES}) AS feature),
 s AS (SELECT count(*) AS n, count(*) FILTER (transaction_id LIKE '%33') AS bad FROM feat)
 SELECT feature, n AS compared_rows, CASE WHEN feature = 'payment_format' THEN bad ELSE 0 END AS mismatch_rows,
   CASE WHEN feature = 'payment_format' AND bad > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM names, s""")
@@ -187,7 +187,7 @@ def _(spark, sf):
     return QL.categorical_parity(_aligned(spark, sf, QL.PARITY_CATEGORIES))
 
 
-@query("q11_row_parity", f"""WITH {Q.FEATURES}, s AS (SELECT count(*) AS n, CAST(sum(is_laundering) AS BIGINT) AS p FROM feat)
+@query("q11_row_parity", f"""WITH {Q.ALL_FEATURES}, s AS (SELECT count(*) AS n, CAST(sum(is_laundering) AS BIGINT) AS p FROM feat)
 SELECT unnest(['feature_rows', 'distinct_transaction_id', 'positive_rows', 'warehouse_matched_rows', 'warehouse_unmatched_rows']) AS metric,
   unnest([n, n, p, n, 0]) AS "value", unnest(['PASS', 'PASS', 'FAIL', 'PASS', 'PASS']) AS status FROM s""")
 def _(spark, sf):
@@ -242,12 +242,12 @@ def _(spark, sf):
     return rounded_features(I.sampled_features(spark, sf))
 
 
-@query("g08_ordered_features", f"WITH {Q.FEATURES} SELECT transaction_id, split FROM feat")
+@query("g08_ordered_features", f"WITH {Q.ALL_FEATURES} SELECT transaction_id, split FROM feat")
 def _(spark, sf):
-    return FE.ordered_features(I.sampled_features(spark, sf)).select("transaction_id", "split")
+    return FE.ordered_features(I.all_features(spark, sf)).select("transaction_id", "split")
 
 
-@query("m02_preprocess", f"""WITH {Q.FEATURES}, s AS (SELECT avg(amount_paid) AS m, stddev_samp(amount_paid) AS d,
+@query("m02_preprocess", f"""WITH {Q.ALL_FEATURES}, s AS (SELECT avg(amount_paid) AS m, stddev_samp(amount_paid) AS d,
   avg(from_debit_count) AS m2, stddev_samp(from_debit_count) AS d2 FROM feat)
 SELECT transaction_id, round((amount_paid - m) / d, 6) + 0.0 AS amount_paid, round((from_debit_count - m2) / d2, 6) + 0.0 AS from_debit_count,
   dense_rank() OVER (ORDER BY payment_currency) - 1 AS currency_slot, dense_rank() OVER (ORDER BY payment_format) - 1 AS format_slot FROM feat, s""")
@@ -255,7 +255,7 @@ def _(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    rows = I.stored(I.sampled_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features")
     ready = B.prepare(rows, B.impute_values(rows))
     stages, out = B._encoder_stages(scale=True)
     model = Pipeline(stages=stages).fit(ready)
@@ -278,7 +278,7 @@ def _(spark, sf):
 
 
 def _fitted(spark, sf, name):
-    rows = I.stored(I.sampled_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features")
     return B.train_baselines(rows, models=(name,)), rows
 
 
@@ -405,5 +405,5 @@ def _(spark, sf):
 
 @query("m09_isolation_forest")
 def _(spark, sf):
-    rows = I.stored(I.sampled_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features")
     return ISO.isolation_forest(rows).select("transaction_id", "anomaly_label", "anomaly_score")

@@ -205,11 +205,14 @@ def hashed(seed: int, col: str = "transaction_id") -> str:
 
 
 _H = hashed(20260609)
-SPLIT = f""",
+
+
+def _split(where: str) -> str:
+    return f""",
 samp AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT ctx.*, row_number() OVER (PARTITION BY is_laundering ORDER BY {_H}, transaction_id) AS rn FROM ctx
-  ) WHERE is_laundering = 1 OR rn <= {NEGATIVES}
+  ) {where}
 ),
 cls AS (
   SELECT is_laundering AS c, count(*) AS n, floor(0.25 * count(*)) AS fl,
@@ -224,7 +227,10 @@ feat AS (
                    THEN 'test' ELSE 'train' END AS split
   FROM samp s JOIN quota ON c = is_laundering
 )"""
-FEATURES = CONTEXT + SPLIT
+
+
+FEATURES = CONTEXT + _split(f"WHERE is_laundering = 1 OR rn <= {NEGATIVES}")
+ALL_FEATURES = CONTEXT + _split("")
 
 FEATURE_SELECT = """
   transaction_id, transaction_date, split, transaction_hour, amount_paid,
