@@ -32,6 +32,8 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +41,9 @@ from riskweave.llm.common import bounded, co_located, id_text, process_cache, re
 from riskweave.session import staged
 
 PRIME = 13  # period 13^2 + 13 + 1 = 183, 14 samples in each
-BUCKET_ENTRIES = 400_000
-BLOCK = 4_000_000  # bytes hashed at once
-SEND = 16_000_000  # bytes of text per message
+BUCKET_ENTRIES = 200_000
+BLOCK = 1_000_000  # bytes hashed at once
+SEND = 6_000_000  # bytes of text per message
 MULTIPLIER = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -101,20 +103,31 @@ class Hashes:
         return h ^ (h >> U(29))
 
 
-def _blocks(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
-    """Rows put together until their texts have about ``most`` bytes; a long text is a block of its own."""
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column in a row, and the offsets of the texts; nulls are empty."""
+    column = pc.fill_null(texts, "").cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.zeros(0, dtype=np.uint8) if data is None else np.frombuffer(data, dtype=np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) of about ``most`` bytes each; a long text is a block of its own."""
     for batch in batches:
-        size = batch["_text"].map(lambda t: len(t) if t else 0).to_numpy()
-        cut = np.cumsum(size) // most
-        for _, rows in batch.groupby(cut, sort=True):
-            yield rows
+        if batch.num_rows:
+            data, offsets = _bytes_of(batch.column("_text"))
+            edge = np.flatnonzero(np.diff(offsets[:-1] // most, prepend=-1)).tolist() + [batch.num_rows]
+            for a, b in zip(edge, edge[1:]):
+                yield batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def _encoded(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes in a row, and the offsets of the texts."""
-    texts = [(t or "").encode("utf-8", "surrogatepass") for t in rows["_text"]]
-    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
-    return np.frombuffer(b"".join(texts), dtype=np.uint8), offsets
+def _listed(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of all distinct places of a column of lists, in order."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    place = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    both = np.unique((np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 32) | place)
+    return both >> 32, both & 0xFFFFFFFF
 
 
 def _cover_places(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,6 +248,7 @@ def _answers(width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                     found["_key"] += key[some].tolist()
                     found["kind"] += [kind] * int(some.sum())
                     found["places"] += np.split(place[keep].astype(np.int32), np.cumsum(left[some])[:-1])
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame(found).astype({"_key": np.int64, "kind": np.int32})
 
     return answer
@@ -249,27 +263,29 @@ def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> Data
     buckets = max(1, round(entries / BUCKET_ENTRIES))
     columns = ["bucket", "keys", "counts", "places", "prints", "wide", "many"]
 
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             key, place, h = (np.concatenate([x[i] for x in held]) for i in range(3))
             w = None if held[0][3] is None else np.concatenate([x[3] for x in held])
-            return pd.DataFrame(list(_messages(key, place, h, w, buckets, width)) if len(key) else [], columns=columns)
+            rows = list(_messages(key, place, h, w, buckets, width)) if len(key) else []
+            kinds = [pa.int32()] + [pa.binary()] * (len(columns) - 1)
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=columns)
 
-        for block in _blocks(batches, BLOCK):
-            data, offsets = _encoded(block)
+        for block, data, offsets in _blocks(batches, BLOCK):
             text, place, h, w = places(block, data, offsets)
-            held.append((block["_key"].to_numpy(np.int64)[text], place, h, w))
+            held.append((block.column("_key").to_numpy()[text], place, h, w))
             size += len(data)
             if size >= SEND:
                 yield flush()
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield flush()
 
-    sent = rows.mapInPandas(
+    sent = rows.mapInArrow(
         send, "bucket int, keys binary, counts binary, places binary, prints binary, wide binary, many binary"
     )
     return sent.groupBy("bucket").applyInPandas(_answers(width), "_key long, kind int, places array<int>")
@@ -293,21 +309,11 @@ def _places_of(told: DataFrame, **kinds: int) -> DataFrame:
     return told.groupBy("_key").agg(*lists)
 
 
-def _suspect_rows(block: pd.DataFrame, column: str, offsets: np.ndarray, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, place) of all listed places of a block that have so many bytes before and behind them."""
-    own = [np.unique(_array(x)) for x in block[column]]
-    text = np.repeat(np.arange(len(own)), [len(x) for x in own])
-    place = np.concatenate(own)
-    inside = (place >= before) & (place + after <= np.diff(offsets)[text])
-    return text[inside], place[inside]
-
-
-def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The texts that may lose bytes, and the keys of all of them.
+def _suspects(docs: DataFrame, m: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(``_id``, ``_hash``, ``_text``, accepted, edges) of the texts that may lose bytes, and their keys.
 
-    The first frame has (``_id``, ``_hash``, ``_text``, spans), spans being the sorted maximal
-    (start, length) byte runs to remove, often none.  The second has their (``_id``, ``_hash``); all
-    other rows of ``docs`` lose nothing.  ``m`` must exceed the period of the cover by 32.
+    ``accepted`` are samples up to which all starts of the last period are repeated, ``edges`` single
+    repeated starts.
     """
     spark = docs.sparkSession
     period, cover = difference_cover()
@@ -318,7 +324,7 @@ def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_c
     total = long_rows.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
     tie = m - period + 1
 
-    def samples(block: pd.DataFrame, data: np.ndarray, offsets: np.ndarray):
+    def samples(block: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
         text, place = _cover_places(offsets, tie)
         return text, place, Hashes(data).at(offsets[text] + place, tie), None
 
@@ -333,8 +339,10 @@ def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_c
     release_shuffles(spark)
     sizes = suspects.agg(F.sum(F.octet_length("_text").cast("long")), F.sum(F.size("surviving").cast("long"))).first()
 
-    def ranks(block: pd.DataFrame, data: np.ndarray, offsets: np.ndarray):
-        text, place = _suspect_rows(block, "surviving", offsets, 0, tie)
+    def ranks(block: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
+        text, place = _listed(block.column("surviving"))
+        inside = place + tie <= np.diff(offsets)[text]
+        text, place = text[inside], place[inside]
         hashes, at = Hashes(data), offsets[text] + place
         wide = np.zeros(len(place), dtype=U)
         inside = (place >= period - 1) & (place + m <= np.diff(offsets)[text])
@@ -346,10 +354,12 @@ def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_c
     release_shuffles(spark)
     sending = told.select("_key", F.concat(F.coalesce("odd", _none()), F.coalesce("speaker", _none())).alias("ask")).filter(F.size("ask") > 0)
 
-    def starts(block: pd.DataFrame, data: np.ndarray, offsets: np.ndarray):
+    def starts(block: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
+        text, place = _listed(block.column("ask"))
+        first = np.searchsorted(text, np.arange(block.num_rows + 1))
         own = [
-            np.flatnonzero(_covered(max(n - m + 1, 0), _array(x), period - 1, 1))
-            for n, x in zip(np.diff(offsets), block["ask"])
+            np.flatnonzero(_covered(max(n - m + 1, 0), place[a:b], period - 1, 1))
+            for n, a, b in zip(np.diff(offsets), first, first[1:])
         ]
         text = np.repeat(np.arange(len(own)), [len(x) for x in own])
         place = np.concatenate(own)
@@ -359,21 +369,41 @@ def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_c
     edges = staged(_places_of(_ranked(asked, starts, 0.3 * (sizes[0] or 0), 7), edges=REPEATED), "repeated-starts")
     release_shuffles(spark)
     removal = told.select("_key", "accepted").join(edges, "_key", "full")
-    found = suspects.select("_key", "_id", "_hash", "_text").join(removal, "_key", "left")
+    found = suspects.join(removal, "_key", "left").select("_id", "_hash", "_text", "accepted", "edges")
+    return found, suspects.select("_id", "_hash")
+
+
+def _spans(text: str, accepted: object, edges: object, m: int) -> list[dict]:
+    """Sorted maximal runs of bytes to remove."""
+    size = len(text.encode("utf-8", "surrogatepass"))
+    gone = _covered(size, _array(accepted), difference_cover()[0] - 1, m) | _covered(size, _array(edges), 0, m)
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
+    return [{"start": int(a), "length": int(b - a)} for a, b in edge]
+
+
+def _per_text(batches: Iterator[pd.DataFrame], m: int) -> Iterator[list[tuple]]:
+    """(id, hash, text, spans) of the rows of :func:`_suspects`, batch by batch."""
+    for batch in batches:
+        yield [
+            (i, h, t, _spans(t, a, e, m))
+            for i, h, t, a, e in zip(batch["_id"], batch["_hash"], batch["_text"], batch["accepted"], batch["edges"])
+        ]
+
+
+def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``_id``, ``_hash``, ``_text``, spans) of the texts that lose bytes.
+
+    ``spans`` are the sorted maximal (start, length) byte runs to remove; all other rows lose
+    nothing.  ``m`` must exceed the period of the cover by 32.
+    """
+    found, _ = _suspects(docs, m, id_col, text_col)
     kind = found.schema["_id"].dataType.simpleString()
 
-    def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text, accepted, own in zip(batch["_text"], batch["accepted"], batch["edges"]):
-                size = len(text.encode("utf-8", "surrogatepass"))
-                gone = _covered(size, _array(accepted), period - 1, m) | _covered(size, _array(own), 0, m)
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
-                out.append([{"start": int(a), "length": int(b - a)} for a, b in edge])
-            yield pd.DataFrame({"_id": batch["_id"], "_hash": batch["_hash"], "_text": batch["_text"], "spans": out})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _per_text(batches, m):
+            yield pd.DataFrame([r for r in rows if r[3]], columns=["_id", "_hash", "_text", "spans"])
 
-    schema = f"_id {kind}, _hash long, _text string, spans array<struct<start:int,length:int>>"
-    return found.mapInPandas(spans, schema), suspects.select("_id", "_hash")
+    return found.mapInPandas(run, f"_id {kind}, _hash long, _text string, spans array<struct<start:int,length:int>>")
 
 
 def _none() -> Column:
@@ -398,17 +428,17 @@ def _untouched(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) ->
 
 def removal_digests(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
-    found, keys = repeated_spans(docs, m, id_col, text_col)
+    found, keys = _suspects(docs, m, id_col, text_col)
     kind = found.schema["_id"].dataType.simpleString()
     columns = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, text, spans in zip(batch["_id"], batch["_text"], batch["spans"]):
-                kept, size = without(text, spans), len((text or "").encode("utf-8", "surrogatepass"))
-                rows.append((key, size, size - len(kept), len(spans), sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=columns)
+        for rows in _per_text(batches, m):
+            out = []
+            for key, _, text, spans in rows:
+                kept, gone = without(text, spans), sum(s["length"] for s in spans)
+                out.append((key, len(kept) + gone, gone, len(spans), sha256(kept).hexdigest()))
+            yield pd.DataFrame(out, columns=columns)
 
     text = F.encode(F.coalesce("_text", F.lit("")), "UTF-8")
     rest = _untouched(docs, keys, id_col, text_col).select(
@@ -423,13 +453,12 @@ def removed_texts(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_co
 
     A character cut by the edge of a span is dropped with it.
     """
-    found, _ = repeated_spans(docs, m, id_col, text_col)
-    touched = found.filter(F.size("spans") > 0)
+    found, _ = _suspects(docs, m, id_col, text_col)
     kind = found.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept = [without(t, s).decode("utf-8", "ignore") for t, s in zip(batch["_text"], batch["spans"])]
-            yield pd.DataFrame({"_id": batch["_id"], "_hash": batch["_hash"], "kept_text": kept})
+        for rows in _per_text(batches, m):
+            kept = [(i, h, without(t, s).decode("utf-8", "ignore")) for i, h, t, s in rows if s]
+            yield pd.DataFrame(kept, columns=["_id", "_hash", "kept_text"])
 
-    return touched.mapInPandas(cut, f"_id {kind}, _hash long, kept_text string")
+    return found.mapInPandas(cut, f"_id {kind}, _hash long, kept_text string")
