@@ -225,37 +225,38 @@ def _judged(h: np.ndarray, w: np.ndarray | None, many: np.ndarray) -> np.ndarray
     return out
 
 
-def _answers(width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _answers(width: int, slots: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        """(``_key``, kind, places) of one bucket."""
+        """Messages (slot, kind, keys, counts, places) of one bucket: the answers to the rows of a slot in one."""
         parts = [_unpacked(k, c, p) for k, c, p in zip(rows["keys"], rows["counts"], rows["places"])]
         h = _widened(b"".join(rows["prints"]), width)
         w = np.frombuffer(b"".join(rows["wide"]), dtype=U)
         verdict = _judged(h, w if len(w) else None, np.frombuffer(b"".join(rows["many"]), dtype=bool))
-        found: dict[str, list] = {"_key": [], "kind": [], "places": []}
+        told = []
         at = 0
-        for (key, count, place), own in zip(parts, rows["prints"]):
-            if len(own):
-                told = verdict[at : at + len(place)]
-                at += len(place)
-            else:
-                told = np.full(len(place), REPEATED, dtype=np.int8)
-            first = np.concatenate(([0], np.cumsum(count)))[:-1]
-            for kind, keep in ((REPEATED, told & 3 == REPEATED), (ODD, told & 3 == ODD), (SPEAKER, told > 3)):
-                if keep.any():
-                    left = np.add.reduceat(keep.astype(np.int64), first)
-                    some = left > 0
-                    found["_key"] += key[some].tolist()
-                    found["kind"] += [kind] * int(some.sum())
-                    found["places"] += np.split(place[keep].astype(np.int32), np.cumsum(left[some])[:-1])
+        for (_, _, place), own in zip(parts, rows["prints"]):
+            size = len(place) if len(own) else 0
+            told.append(verdict[at : at + size] if len(own) else np.full(len(place), REPEATED, dtype=np.int8))
+            at += size
+        key = np.concatenate([np.repeat(k, c) for k, c, _ in parts])
+        place = np.concatenate([p for *_, p in parts])
+        kinds = np.concatenate(told)
+        found = []
+        for kind, keep in ((REPEATED, kinds & 3 == REPEATED), (ODD, kinds & 3 == ODD), (SPEAKER, kinds > 3)):
+            own, where = key[keep], place[keep]
+            slot = own % slots
+            order = np.lexsort((where, own, slot))
+            own, where, slot = own[order], where[order], slot[order]
+            cut = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1], [True]))) if len(own) else []
+            found += [(int(slot[a]), kind, *_packed(own[a:b], where[a:b])) for a, b in zip(cut, cut[1:])]
         pa.default_memory_pool().release_unused()
-        return pd.DataFrame(found).astype({"_key": np.int64, "kind": np.int32})
+        return pd.DataFrame(found, columns=["slot", "kind", "keys", "counts", "places"]).astype({"slot": np.int32, "kind": np.int32})
 
     return answer
 
 
 def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> DataFrame:
-    """(``_key``, kind, places): what the buckets say of the places that ``places`` gives for each block.
+    """What the buckets say of the places that ``places`` gives for each block, packed by slots of keys.
 
     ``places(block, data, offsets)`` yields (text, place, fingerprint, second fingerprint or None).
     ``entries`` is their expected number; it sets the number of buckets.
@@ -288,7 +289,9 @@ def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> Data
     sent = rows.mapInArrow(
         send, "bucket int, keys binary, counts binary, places binary, prints binary, wide binary, many binary"
     )
-    return sent.groupBy("bucket").applyInPandas(_answers(width), "_key long, kind int, places array<int>")
+    return sent.groupBy("bucket").applyInPandas(
+        _answers(width, buckets), "slot int, kind int, keys binary, counts binary, places binary"
+    )
 
 
 def _covered(size: int, places: np.ndarray, before: int, after: int) -> np.ndarray:
@@ -304,9 +307,24 @@ def _array(x: object) -> np.ndarray:
 
 
 def _places_of(told: DataFrame, **kinds: int) -> DataFrame:
-    """One row per key with the places of each named kind, null where there is none."""
-    lists = [F.flatten(F.collect_list(F.when(F.col("kind") == k, F.col("places")))).alias(n) for n, k in kinds.items()]
-    return told.groupBy("_key").agg(*lists)
+    """One row per ``_key`` with the places of each named kind, null where there is none."""
+    names = {k: n for n, k in kinds.items()}
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, dict[int, np.ndarray]] = {n: {} for n in kinds}
+        for kind, own in rows.groupby("kind"):
+            parts = [_unpacked(k, c, p) for k, c, p in zip(own["keys"], own["counts"], own["places"])]
+            key = np.concatenate([np.repeat(k, c) for k, c, _ in parts])
+            place = np.concatenate([p for *_, p in parts])
+            order = np.lexsort((place, key))
+            key, place = key[order], place[order].astype(np.int32)
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            out[names[kind]] = dict(zip(key[first].tolist(), np.split(place, first[1:])))
+        keys = sorted({k for found in out.values() for k in found})
+        return pd.DataFrame({"_key": np.array(keys, dtype=np.int64), **{n: [found.get(k) for k in keys] for n, found in out.items()}})
+
+    schema = "_key long, " + ", ".join(f"{n} array<int>" for n in kinds)
+    return told.groupBy("slot").applyInPandas(gather, schema)
 
 
 def _suspects(docs: DataFrame, m: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
