@@ -46,12 +46,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.removed_texts(docs.select("doc_id", "text"), REPEAT_BYTES)
-    cut = staged(cut.dropDuplicates(["_id", "_hash"]), "cut-texts").alias("c")
-    whole = F.col("c._hash").isNull()
-    text = F.when(whole, F.col("d.text")).otherwise(F.col("c.kept_text"))
-    replaced = {"text": text, "n_chars": F.when(whole, F.col("d.n_chars")).otherwise(F.length(text).cast("long"))}
-    return docs.alias("d").join(cut, _same_row("c"), "left").select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns])
+    cut = staged(suffix_dedup.removed_texts(docs.select("doc_id", "text"), REPEAT_BYTES).dropDuplicates(["_id", "_hash"]), "cut-texts")
+    keys = bounded(cut.select("_id", "_hash")).alias("c")
+    rows = docs.alias("d")
+    whole = rows.join(keys, _same_row("c"), "left_anti")
+    touched = rows.join(keys, _same_row("c"), "left_semi").alias("d").join(cut.alias("c"), _same_row("c"))
+    replaced = {"text": F.col("c.kept_text"), "n_chars": F.length("c.kept_text").cast("long")}
+    return whole.unionByName(touched.select(*[replaced.get(c, F.col(f"d.{c}")).alias(c) for c in docs.columns]))
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ shingles of a window are its pairs of neighbouring words.  All of them must occu
 holds the window, so one shingle is the necessary prefix: the rarest one by its count over the
 whole corpus.  Windows with a shingle that never occurs are dropped.  Document shingles meet the
 prefix shingles in a hash join; the shingle's place in the window fixes where the window must start
-(positional bound), the text must be long enough for it (length bound), and the words are then
-compared exactly.
+(positional bound), the text must be long enough for it (length bound), and the words of the texts
+that remain are then compared exactly.
 
 The benchmark side is broadcast only up to a stated number of rows (:func:`common.bounded`); beyond that the join is left
 to Spark, which shuffles and splits skewed keys.
@@ -90,15 +90,32 @@ def prefix_index(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", te
 
 
 def find_windows(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``_id``, ``_hash``, start, length, items): every occurrence of a window; start counts words from 1."""
+    """(``_id``, ``_hash``, found) of the texts with a window; found is array<struct<start, window, items>>.
+
+    Places of prefix shingles travel without the words of their text.  What passes the bounds is
+    gathered by text, and only these texts are split again to compare the words.  ``start`` counts
+    words from 1.
+    """
     singles = not index.filter(F.size("window") == 1).isEmpty()
-    start, length = F.col("at") - F.col("offset") + 1, F.size("window")
-    return (
-        _places(_document_words(docs, id_col, text_col), singles, "_id", "_hash", "_words").join(bounded(index), "shingle")
-        .filter((start >= 1) & (start + length - 1 <= F.size("_words")))
-        .filter(F.slice("_words", start, length) == F.col("window"))
-        .select("_id", "_hash", start.alias("start"), length.alias("length"), "items")
+    words = _document_words(docs, id_col, text_col).withColumn("_n", F.size("_words"))
+    start = F.col("at") - F.col("offset") + 1
+    possible = (
+        _places(words, singles, "_id", "_hash", "_n").join(bounded(index), "shingle")
+        .filter((start >= 1) & (start + F.size("window") - 1 <= F.col("_n")))
+        .groupBy("_id", "_hash").agg(F.collect_set(F.struct(start.alias("start"), "window", "items")).alias("possible"))
+    )
+    possible = staged(possible, "possible-windows")
+    keys = bounded(possible.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")))
+    some = id_text(docs, id_col, text_col).withColumn("_hash", F.xxhash64("_text"))
+    some = some.join(keys, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi").alias("d")
+    both = some.join(possible.alias("p"), F.col("d._id").eqNullSafe(F.col("p._id")) & (F.col("d._hash") == F.col("p._hash")))
+    compared = both.select("d._id", "d._hash", "possible", item_words(F.col("_text")).alias("_words"))
+    found = F.filter(
+        "possible",
+        lambda x: (x["start"] + F.size(x["window"]) - 1 <= F.size("_words"))
+        & (F.slice("_words", x["start"], F.size(x["window"])) == x["window"]),
     )
+    return compared.select("_id", "_hash", found.alias("found")).filter(F.size("found") > 0).dropDuplicates(["_id", "_hash"])
 
 
 def _covered(spans: Column) -> Column:
@@ -124,9 +141,11 @@ def contamination(
     """
     windows = staged(item_windows(benchmark, size, item_col, "text"), "item-windows")
     index = prefix_index(docs, windows, id_col, text_col)
-    hits = find_windows(docs, index, id_col, text_col).groupBy("_id", "_hash").agg(
-        F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    found = F.col("found")
+    hits = staged(find_windows(docs, index, id_col, text_col), "found-windows").select(
+        "_id", "_hash",
+        F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.size(x["window"]).alias("length")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda x: x["items"])))).alias("items"),
     )
     base = _document_words(docs, id_col, text_col).select("_id", "_hash", F.size("_words").cast("long").alias("n_words")).alias("b")
     hits = hits.alias("h")
