@@ -115,7 +115,9 @@ def find_windows(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", text
         lambda x: (x["start"] + F.size(x["window"]) - 1 <= F.size("_words"))
         & (F.slice("_words", x["start"], F.size(x["window"])) == x["window"]),
     )
-    return compared.select("_id", "_hash", found.alias("found")).filter(F.size("found") > 0).dropDuplicates(["_id", "_hash"])
+    # stored before it is filtered: a filter here would be pushed down and split the texts again for each window
+    told = staged(compared.select("_id", "_hash", found.alias("found")).dropDuplicates(["_id", "_hash"]), "compared-windows")
+    return told.filter(F.size("found") > 0)
 
 
 def _covered(spans: Column) -> Column:
@@ -142,7 +144,7 @@ def contamination(
     windows = staged(item_windows(benchmark, size, item_col, "text"), "item-windows")
     index = prefix_index(docs, windows, id_col, text_col)
     found = F.col("found")
-    hits = staged(find_windows(docs, index, id_col, text_col), "found-windows").select(
+    hits = find_windows(docs, index, id_col, text_col).select(
         "_id", "_hash",
         F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.size(x["window"]).alias("length")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda x: x["items"])))).alias("items"),
