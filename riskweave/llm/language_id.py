@@ -4,9 +4,12 @@ Characters are lower-cased letters; everything else is one blank, runs of blanks
 text starts with blanks.  n-grams are packed into 64-bit hashes.  The counts of the longest n-grams
 cover all training rows: every task counts its own rows by sorting hashes, and Spark sums the counts
 per (language, n-gram).  Lower orders use Kneser-Ney continuation counts, which follow from the
-distinct n-grams one order above.  Each order is one sorted hash array with a column of log
-probabilities per language; a lookup that misses falls back to the next shorter n-gram with the
-back-off weight of its history.
+distinct n-grams one order above.  The models are one stored table of n-grams per order, with the
+counts of every language; no n-gram is left out, and only totals come to the driver.
+
+Texts are scored in blocks: the distinct n-grams of each block meet the tables in joins, from the
+shortest order up, and the probabilities go back to the block, whose texts are stored once in
+buckets and not shuffled.  :func:`fit` makes the same models in memory, from counts that fit there.
 
 A text gets the language of the lowest cross-entropy per character.  The rejection threshold of a
 language is calibrated on training rows: mean plus a number of standard deviations of their
@@ -19,16 +22,19 @@ training rows every text is ``und``.  Only the named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field, fields
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskweave.llm.common import id_text, process_cache
+from riskweave.llm.common import co_located, id_text, process_cache, release_shuffles
 from riskweave.session import staged
 
 ORDER = 5
@@ -36,6 +42,7 @@ BITS = 12
 BLANK = 1
 UNKNOWN = "und"
 BLOCK = 4_000_000
+TEXT_BLOCK, GRAM_BLOCK = 32_000_000, 1_000_000  # bytes of text and distinct n-grams that end a block of texts
 
 
 def _classes() -> np.ndarray:
@@ -131,15 +138,13 @@ def count_grams(labelled: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Sorted hash arrays per order with log probabilities (natural) per language."""
+    """Models in memory: sorted hash arrays per order with log probabilities (natural) per language."""
 
     languages: list[str]
     hashes: list[np.ndarray] = field(default_factory=list)  # by order, from 1
     scores: list[np.ndarray] = field(default_factory=list)  # rows of hashes x languages
     backoff: list[np.ndarray] = field(default_factory=list)  # of the histories among hashes
     unseen: float = 0.0
-    mean: np.ndarray | None = None
-    spread: np.ndarray | None = None
 
 
 def _continuations(grams_: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,12 +234,86 @@ def _heads(model: Model, order: int) -> np.ndarray:
     return kept[order]
 
 
-def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Tables:
+    """Models as stored tables (gram, c) per order, from 1: ``c`` holds the count of every language."""
+
+    languages: list[str]
+    counts: list[DataFrame]
+    discounts: list[list[float]]
+    totals: list[int]  # of the single characters
+    kinds: list[int]  # distinct single characters of each language
+    base: float
+    mean: np.ndarray | None = None
+    spread: np.ndarray | None = None
+
+
+def _sums(languages: list[str], value: Callable[[int], Column]) -> Column:
+    return F.array(*[F.sum(value(j)).cast("long") for j in range(len(languages))])
+
+
+def tabulate(counted: DataFrame) -> Tables | None:
+    """Models from the counts (lang, gram, n) of the longest n-grams; None without any."""
+    languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    if not languages:
+        return None
+    own = lambda j: F.when(F.col("lang") == languages[j], F.col("n")).otherwise(0)
+    some = lambda j: (F.col("c")[j] > 0).cast("long")
+    tables = [staged(counted.groupBy("gram").agg(_sums(languages, own).alias("c")), f"grams-{ORDER}")]
+    for order in range(ORDER, 1, -1):
+        below = F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1)
+        tables.insert(0, staged(tables[0].groupBy(below.alias("gram")).agg(_sums(languages, some).alias("c")), f"grams-{order - 1}"))
+    discounts = []
+    for table in tables:
+        seen = table.agg(*[_sums(languages, lambda j, k=k: (F.col("c")[j] == k).cast("long")).alias(f"c{k}") for k in (1, 2)]).first()
+        discounts.append([min(0.95, max(0.1, a / max(a + 2 * b, 1))) for a, b in zip(seen["c1"], seen["c2"])])
+    single = tables[0].agg(
+        F.count("*").alias("n"), _sums(languages, lambda j: F.col("c")[j]).alias("totals"), _sums(languages, some).alias("kinds")
+    ).first()
+    return Tables(languages, tables, discounts, single["totals"], single["kinds"], 1.0 / (single["n"] + 1))
+
+
+def log_probabilities(model: Tables, wanted: DataFrame) -> DataFrame:
+    """(gram, p): log probability of each distinct ``gram``'s last character under every language.
+
+    Each order joins the counts of its n-grams, the sums over their histories and the order below.
+    """
+    size = range(len(model.languages))
+    asked = [wanted]
+    for order in range(ORDER, 1, -1):
+        asked.insert(0, asked[0].select(F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1).alias("gram")).distinct())
+    found = None
+    for order, (rows, table, discount) in enumerate(zip(asked, model.counts, model.discounts), 1):
+        rows = rows.join(table, "gram", "left")
+        if order == 1:
+            totals, kinds = ([F.lit(x) for x in part] for part in (model.totals, model.kinds))
+            under = [F.lit(model.base) for _ in size]
+        else:
+            history = table.groupBy(F.shiftright("gram", BITS).alias("head")).agg(
+                _sums(model.languages, lambda j: F.col("c")[j]).alias("t"),
+                _sums(model.languages, lambda j: (F.col("c")[j] > 0).cast("long")).alias("k"),
+            )
+            rows = rows.withColumn("head", F.shiftright("gram", BITS)).join(history, "head", "left")
+            rows = rows.withColumn("below", F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1))
+            rows = rows.join(found.select(F.col("gram").alias("below"), F.col("p").alias("under")), "below")
+            totals, kinds = ([F.coalesce(F.col(part)[j], F.lit(0)) for j in size] for part in ("t", "k"))
+            under = [F.col("under")[j] for j in size]
+        value = [
+            F.when(totals[j] > 0, (
+                F.greatest(F.coalesce(F.col("c")[j], F.lit(0)) - F.lit(discount[j]), F.lit(0.0)) + F.lit(discount[j]) * kinds[j] * under[j]
+            ) / totals[j]).otherwise(under[j])
+            for j in size
+        ]
+        found = rows.select("gram", F.array(*value).alias("p"))
+    return found.select("gram", F.transform("p", lambda x: F.log(x).cast("float")).alias("p"))
+
+
+def entropies(look: Callable[[np.ndarray], np.ndarray], languages: int, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Cross-entropy per character (texts x languages) and the number of characters of each text.
 
-    Equal n-grams of a block are looked up once.
+    ``look`` gives the log probabilities of distinct n-grams; equal n-grams of a block are looked up once.
     """
-    result, sizes = [], []
+    result, sizes = [np.zeros((0, languages))], [np.zeros(0, dtype=np.int64)]
     at = 0
     while at < len(texts):
         end, chars = at, 0
@@ -244,70 +323,113 @@ def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.nda
         own, n = _batch_grams(texts[at:end])
         if len(own):
             distinct, back = np.unique(own, return_inverse=True)
-            score = log_probability(model, distinct)
+            score = look(distinct)
             owner = np.repeat(np.arange(len(n)), n)
             total = np.stack([np.bincount(owner, score[back, j], len(n)) for j in range(score.shape[1])], axis=1)
         else:
-            total = np.zeros((len(n), len(model.languages)))
+            total = np.zeros((len(n), languages))
         result.append(-total / np.maximum(n, 1)[:, None])
         sizes.append(n)
         at = end
     return np.concatenate(result), np.concatenate(sizes)
 
 
-def train(labelled: DataFrame, calibration_rows: int = 2000, max_grams: int = 300_000) -> Model | None:
-    """Model from all rows of ``labelled`` (``_id``, ``_text``, ``lang``); None without any.
+def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
+    """(block, rows, grams): the rows of ``docs`` packed in blocks, and the sorted distinct n-grams of each.
 
-    N-grams are counted over all rows.  The size of the model is bounded: beyond ``max_grams`` (language,
-    n-gram) pairs the rarest ones are left to the back-off.
-    At most ``calibration_rows`` rows per language, taken by hash of the id, set the thresholds.
+    A block ends after ``TEXT_BLOCK`` bytes or ``GRAM_BLOCK`` n-grams, so it fits in a task.
     """
-    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull())
-    counted = count_grams(labelled)
-    counted = staged(counted, "gram-counts")
-    doubling = F.floor(F.log2("n")).cast("int").alias("c")  # at most 64 values
-    by_count = sorted((r["c"], r["k"]) for r in counted.groupBy(doubling).agg(F.count("*").alias("k")).collect())
-    total = sum(k for _, k in by_count)
-    if not total:
-        return None
-    least = 1
-    for c, k in by_count:
-        if total <= max_grams:
-            break
-        total, least = total - k, 2 ** (c + 1)
-    kept = counted.filter(F.col("n") >= least)
-    counts = {}
-    for lang in [r["lang"] for r in kept.select("lang").distinct().collect()]:
-        rows = kept.filter(F.col("lang") == lang).select("gram", "n").toPandas()
-        order = np.argsort(rows["gram"].to_numpy(np.int64))
-        counts[lang] = rows["gram"].to_numpy(np.int64)[order], rows["n"].to_numpy(np.int64)[order]
-    model = fit(counts)
-    _calibrate(model, labelled, calibration_rows)
-    return model
+    at = docs.columns.index(text_col)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        held: list[pa.RecordBatch] = []
+        grams_ = np.zeros(0, dtype=np.int64)
+        size = 0
+
+        def packed() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for part in held:
+                    out.write_batch(part)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([grams_], pa.list_(pa.int64()))],
+                ["block", "rows", "grams"],
+            )
 
-def _plain(model: Model) -> dict:
-    """The parts of a model, for a broadcast that needs no class on the executors."""
-    return {f.name: getattr(model, f.name) for f in fields(model)}
+        for batch in batches:
+            long = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+            first = 0
+            while first < len(long):
+                before = long[first - 1] if first else 0
+                end = max(first + 1, int(np.searchsorted(long, before + BLOCK, "right")))
+                part = batch.slice(first, end - first)
+                held.append(part)
+                grams_ = np.union1d(grams_, _batch_grams(part.column(at).to_pylist())[0])
+                size += int(long[end - 1] - before)
+                first = end
+                if size >= TEXT_BLOCK or len(grams_) >= GRAM_BLOCK:
+                    yield packed()
+                    block, held, grams_, size = block + 1, [], np.zeros(0, dtype=np.int64), 0
+        if held:
+            yield packed()
+
+    return docs.mapInArrow(run, "block long, rows binary, grams array<long>")
+
+
+def _scored(
+    docs: DataFrame, model: Tables, text_col: str,
+    finish: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch], schema: T.StructType | str,
+) -> DataFrame:
+    """What ``finish`` makes of the rows of ``docs``, their cross-entropies and numbers of characters."""
+    blocks = co_located(_text_blocks(docs, text_col), "block", "text-blocks")
+    release_shuffles(docs.sparkSession)
+    wanted = blocks.select("block", F.explode("grams").alias("gram"))
+    looked = wanted.join(log_probabilities(model, wanted.select("gram").distinct()), "gram").select(F.col("block").alias("of"), "gram", "p")
+    at, languages = docs.columns.index(text_col), len(model.languages)
+
+    def run(packed: pa.Table, probabilities: pa.Table) -> pa.Table:
+        known = probabilities.column("gram").to_numpy()
+        order = np.argsort(known)
+        known = known[order]
+        scores = probabilities.column("p").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, languages)[order]
+        out = []
+        for rows in packed.column("rows"):
+            for part in pa.ipc.open_stream(rows.as_buffer()):
+                h, n = entropies(lambda x: scores[np.searchsorted(known, x)], languages, part.column(at).to_pylist())
+                out.append(finish(part, h, n))
+        return pa.Table.from_batches(out)
+
+    return blocks.select("block", "rows").groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(run, schema)
+
+
+def train(labelled: DataFrame, calibration_rows: int = 2000) -> Tables | None:
+    """Models from all rows of ``labelled`` (``_id``, ``_text``, ``lang``); None without any n-gram.
+
+    At most ``calibration_rows`` rows per language, taken by hash of the id, set the thresholds.
+    """
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull()).select("_id", F.col("_text").cast("string").alias("_text"), "lang")
+    model = tabulate(staged(count_grams(labelled), "gram-counts"))
+    release_shuffles(labelled.sparkSession)
+    if model is not None:
+        _calibrate(model, labelled, calibration_rows)
+        release_shuffles(labelled.sparkSession)
+    return model
 
 
-def _calibrate(model: Model, labelled: DataFrame, rows: int) -> None:
+def _calibrate(model: Tables, labelled: DataFrame, rows: int) -> None:
     """Mean and spread of the cross-entropy of training texts under their own language."""
     per = labelled.groupBy("lang").agg(F.count("*").alias("k")).collect()
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows / r["k"]))) for r in per], F.lit(0.0))
     chosen = labelled.filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
     index = {lang: j for j, lang in enumerate(model.languages)}
-    shared = labelled.sparkSession.sparkContext.broadcast(_plain(model))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own_model = Model(**shared.value)
-        for batch in batches:
-            h, n = entropies(own_model, batch["_text"].tolist())
-            j = batch["lang"].map(index).to_numpy()
-            own = h[np.arange(len(j)), j]
-            yield pd.DataFrame({"j": j, "h": own, "n": n})[n >= 30]
+    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        j = np.array([index[lang] for lang in part.column("lang").to_pylist()], dtype=np.int32)
+        own = h[np.arange(len(j)), j]
+        return pa.RecordBatch.from_arrays([pa.array(x[n >= 30]) for x in (j, own)], ["j", "h"])
 
-    stats = chosen.mapInPandas(run, "j int, h double, n long").groupBy("j").agg(
+    stats = _scored(chosen.select("_text", "lang"), model, "_text", finish, "j int, h double").groupBy("j").agg(
         F.avg("h").alias("mean"), F.stddev_pop("h").alias("sd")
     ).collect()
     model.mean = np.full(len(index), np.inf)
@@ -317,7 +439,7 @@ def _calibrate(model: Model, labelled: DataFrame, rows: int) -> None:
 
 
 def predict(
-    docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text_col: str = "text",
     deviations: float = 8.0, short: float = 6.0,
 ) -> DataFrame:
     """(id, lang_pred, score, cross_entropy, rejected) for every row.
@@ -325,44 +447,51 @@ def predict(
     ``score`` is the posterior of the best language for the characters read, ties sharing it.
     """
     rows = id_text(docs, id_col, text_col)
-    kind = rows.schema["_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else _plain(model))
+    if model is None:
+        return rows.select(
+            F.col("_id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
+            F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"),
+        )
+    judged = _judging(model, deviations, short)
+
+    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        lang, score, best, gone = judged(h, n)
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(best, from_pandas=True), pa.array(gone)],
+            [id_col, "lang_pred", "score", "cross_entropy", "rejected"],
+        )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = None if shared.value is None else Model(**shared.value)
-        for batch in batches:
-            lang, score, best, gone = judge(own, batch["_text"].tolist(), deviations, short)
-            yield pd.DataFrame({id_col: batch["_id"], "lang_pred": lang, "score": score, "cross_entropy": best, "rejected": gone})
+    kind = rows.schema["_id"].dataType.simpleString()
+    return _scored(rows, model, "_text", finish, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
+def _judging(model: Tables, deviations: float = 8.0, short: float = 6.0) -> Callable[..., tuple[np.ndarray, ...]]:
+    """(language, score, cross-entropy, rejected) from the cross-entropies and numbers of characters of texts."""
+    languages, mean, spread = model.languages, model.mean, model.spread
 
-def judge(model: Model | None, texts: list[str | None], deviations: float = 8.0, short: float = 6.0) -> tuple[np.ndarray, ...]:
-    """(language, score, cross-entropy, rejected) of each text."""
-    k = len(texts)
-    lang, score, best, gone = np.full(k, UNKNOWN, dtype=object), np.zeros(k), np.full(k, np.nan), np.ones(k, bool)
-    if model is not None and k:
-        h, n = entropies(model, texts)
+    def judged(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        k = len(n)
+        lang, score, best = np.full(k, UNKNOWN, dtype=object), np.zeros(k), np.full(k, np.nan)
         j = h.argmin(axis=1)
         low = h[np.arange(k), j]
         gap = np.minimum((h - low[:, None]) * np.maximum(n, 1)[:, None], 700)
         real = n > 0
-        lang[real] = np.array(model.languages, dtype=object)[j[real]]
+        lang[real] = np.array(languages, dtype=object)[j[real]]
         score[real] = (1 / np.exp(-gap).sum(axis=1))[real]
         best[real] = low[real]
-        limit = model.mean[j] + deviations * model.spread[j] + short / np.sqrt(np.maximum(n, 1))
-        gone = ~real | (low > limit)
-    return lang, score, best, gone
+        limit = mean[j] + deviations * spread[j] + short / np.sqrt(np.maximum(n, 1))
+        return lang, score, best, ~real | (low > limit)
+
+    return judged
 
 
-def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Tables | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that the models do not reject."""
-    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else _plain(model))
+    if model is None:
+        return docs.limit(0)
+    judged = _judging(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None if shared.value is None else Model(**shared.value)
-        for batch in batches:
-            gone = judge(own, batch.column(batch.schema.get_field_index(text_col)).to_pylist())[3]
-            yield batch.filter(pa.array(~gone))
+    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return part.filter(pa.array(~judged(h, n)[3]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return _scored(docs, model, text_col, finish, docs.schema)

@@ -220,3 +220,24 @@ def test_queries_run(spark, sf, name):
 def test_no_lost_id(spark):
     docs = spark.createDataFrame(odd_documents(), SCHEMA)
     assert id_text(docs).columns == ["_id", "_text"]
+
+
+def test_language_tables_hold_every_gram(spark):
+    rng = random.Random(11)
+    rows = [(i, prose(rng, 2000, "abcdefghijklmnopqrstuvwxyz"), "aa" if i % 30 else "bb") for i in range(60)]
+    frame = spark.createDataFrame(rows, "_id long, _text string, lang string").repartition(3)
+    counts = {
+        lang: np.unique(language_id._batch_grams([t for _, t, x in rows if x == lang])[0], return_counts=True) for lang in ("aa", "bb")
+    }
+    assert sum(len(own) for own, _ in counts.values()) > 300_000
+    whole = language_id.fit(counts)
+    texts = [t for _, t, _ in rows[::10]] + ["never seen ÄÖÜ, zebras", "a", None, "12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language_id.predict(docs, language_id.train(frame)).collect()}
+    for i, text in enumerate(texts):
+        own = language_id._batch_grams([text])[0]
+        if len(own):
+            h = -language_id.log_probability(whole, own).astype(float).mean(axis=0)
+            assert abs(got[i]["cross_entropy"] - h.min()) < 1e-4 and got[i]["lang_pred"] == whole.languages[h.argmin()]
+        else:
+            assert got[i]["lang_pred"] == "und"
