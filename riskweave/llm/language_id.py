@@ -418,10 +418,14 @@ def train(labelled: DataFrame, calibration_rows: int = 2000) -> Tables | None:
 
 
 def _calibrate(model: Tables, labelled: DataFrame, rows: int) -> None:
-    """Mean and spread of the cross-entropy of training texts under their own language."""
+    """Mean and spread of the cross-entropy of training texts under their own language.
+
+    A language whose texts hold no letter has no n-gram: it is no answer of the models and has no threshold.
+    """
     per = labelled.groupBy("lang").agg(F.count("*").alias("k")).collect()
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows / r["k"]))) for r in per], F.lit(0.0))
     chosen = labelled.filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = chosen.filter(F.col("lang").isin(model.languages))
     index = {lang: j for j, lang in enumerate(model.languages)}
 
     def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:

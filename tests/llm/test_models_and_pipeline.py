@@ -241,3 +241,11 @@ def test_language_tables_hold_every_gram(spark):
             assert abs(got[i]["cross_entropy"] - h.min()) < 1e-4 and got[i]["lang_pred"] == whole.languages[h.argmin()]
         else:
             assert got[i]["lang_pred"] == "und"
+
+
+def test_languages_with_few_rows_or_no_letter(spark):
+    rows = spoken(5, 40) + [(900, "ωψ φω ψψφ ωωφ " * 4, "rare"), (901, "12 34 ... !!", "none"), (902, "", "none")]
+    model = language_id.train(spark.createDataFrame(rows, "_id long, _text string, lang string"))
+    assert model.languages == ["aa", "bb", "cc", "rare"] and np.isfinite(model.mean).all()
+    docs = spark.createDataFrame([(1, "ψφω ωωφ"), (2, "34 12 !!")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model).collect()} == {1: "rare", 2: "und"}
