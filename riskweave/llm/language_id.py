@@ -12,7 +12,7 @@ shortest order up, and the probabilities go back to the block, whose texts are s
 buckets and not shuffled.  :func:`fit` makes the same models in memory, from counts that fit there.
 
 A text gets the language of the lowest cross-entropy per character.  The rejection threshold of a
-language is calibrated on training rows: mean plus a number of standard deviations of their
+language is calibrated on all training rows: mean plus a number of standard deviations of their
 cross-entropy, wider for short texts by the inverse root of the length.
 
 Null texts, and texts without a letter, get ``und`` with score 0 and are rejected.  Texts of any
@@ -403,43 +403,50 @@ def _scored(
     return blocks.select("block", "rows").groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(run, schema)
 
 
-def train(labelled: DataFrame, calibration_rows: int = 2000) -> Tables | None:
-    """Models from all rows of ``labelled`` (``_id``, ``_text``, ``lang``); None without any n-gram.
+def cross_entropies(docs: DataFrame, model: Tables, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row, its cross-entropy under every language (``_h``) and number of characters (``_n``)."""
+    at = [docs.columns.index(c) for c in keep]
 
-    At most ``calibration_rows`` rows per language, taken by hash of the id, set the thresholds.
-    """
-    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull()).select("_id", F.col("_text").cast("string").alias("_text"), "lang")
+    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        own = [pa.array(list(h), pa.list_(pa.float64())), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays([part.column(i) for i in at] + own, [*keep, "_h", "_n"])
+
+    schema = T.StructType([docs.schema[c] for c in keep]).add("_h", T.ArrayType(T.DoubleType())).add("_n", T.LongType())
+    return _scored(docs, model, text_col, finish, schema)
+
+
+def learn(labelled: DataFrame) -> Tables | None:
+    """Models without thresholds from all rows of ``labelled`` (``_text``, ``lang``); None without any n-gram."""
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull())
     model = tabulate(staged(count_grams(labelled), "gram-counts"))
     release_shuffles(labelled.sparkSession)
-    if model is not None:
-        _calibrate(model, labelled, calibration_rows)
-        release_shuffles(labelled.sparkSession)
     return model
 
 
-def _calibrate(model: Tables, labelled: DataFrame, rows: int) -> None:
-    """Mean and spread of the cross-entropy of training texts under their own language.
+def calibrate(model: Tables, scored: DataFrame) -> None:
+    """Mean and spread of the cross-entropy of all training texts (``lang``, ``_h``, ``_n``) under their own language.
 
     A language whose texts hold no letter has no n-gram: it is no answer of the models and has no threshold.
     """
-    per = labelled.groupBy("lang").agg(F.count("*").alias("k")).collect()
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows / r["k"]))) for r in per], F.lit(0.0))
-    chosen = labelled.filter(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
-    chosen = chosen.filter(F.col("lang").isin(model.languages))
-    index = {lang: j for j, lang in enumerate(model.languages)}
-
-    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        j = np.array([index[lang] for lang in part.column("lang").to_pylist()], dtype=np.int32)
-        own = h[np.arange(len(j)), j]
-        return pa.RecordBatch.from_arrays([pa.array(x[n >= 30]) for x in (j, own)], ["j", "h"])
-
-    stats = _scored(chosen.select("_text", "lang"), model, "_text", finish, "j int, h double").groupBy("j").agg(
+    own = F.coalesce(*[F.when(F.col("lang") == lang, F.col("_h")[j]) for j, lang in enumerate(model.languages)])
+    stats = scored.filter("_n >= 30").select("lang", own.alias("h")).filter(F.col("h").isNotNull()).groupBy("lang").agg(
         F.avg("h").alias("mean"), F.stddev_pop("h").alias("sd")
     ).collect()
+    index = {lang: j for j, lang in enumerate(model.languages)}
     model.mean = np.full(len(index), np.inf)
     model.spread = np.full(len(index), 1.0)
     for r in stats:
-        model.mean[r["j"]], model.spread[r["j"]] = r["mean"], max(r["sd"], 0.02)
+        model.mean[index[r["lang"]]], model.spread[index[r["lang"]]] = r["mean"], max(r["sd"], 0.02)
+
+
+def train(labelled: DataFrame) -> Tables | None:
+    """Models and thresholds from all rows of ``labelled`` (``_id``, ``_text``, ``lang``); None without any n-gram."""
+    labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull()).select(F.col("_text").cast("string").alias("_text"), "lang")
+    model = learn(labelled)
+    if model is not None:
+        calibrate(model, cross_entropies(labelled, model, "_text", ["lang"]))
+        release_shuffles(labelled.sparkSession)
+    return model
 
 
 def predict(
@@ -456,17 +463,25 @@ def predict(
             F.col("_id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"),
         )
-    judged = _judging(model, deviations, short)
+    scored = cross_entropies(rows, model, "_text", ["_id"]).withColumnRenamed("_id", id_col)
+    return verdicts(scored, model, id_col, deviations, short)
 
-    def finish(part: pa.RecordBatch, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        lang, score, best, gone = judged(h, n)
-        return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(best, from_pandas=True), pa.array(gone)],
-            [id_col, "lang_pred", "score", "cross_entropy", "rejected"],
-        )
 
-    kind = rows.schema["_id"].dataType.simpleString()
-    return _scored(rows, model, "_text", finish, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
+def verdicts(scored: DataFrame, model: Tables, id_col: str = "doc_id", deviations: float = 8.0, short: float = 6.0) -> DataFrame:
+    """What :func:`predict` says, from cross-entropies (id, ``_h``, ``_n``)."""
+    judged, languages = _judging(model, deviations, short), len(model.languages)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(1).flatten().to_numpy().reshape(-1, languages)
+            lang, score, best, gone = judged(h, batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(best, from_pandas=True), pa.array(gone)],
+                [id_col, "lang_pred", "score", "cross_entropy", "rejected"],
+            )
+
+    kind = scored.schema[id_col].dataType.simpleString()
+    return scored.select(id_col, "_h", "_n").mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def _judging(model: Tables, deviations: float = 8.0, short: float = 6.0) -> Callable[..., tuple[np.ndarray, ...]]:

@@ -30,8 +30,13 @@ def vocabulary() -> tuple[str, str]:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     unseen = held_out(F.col("doc_id"), 4, 2)
-    learn = docs.filter(~unseen).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "lang")
-    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(learn))
+    model = language_id.learn(docs.filter(~unseen).select(F.col("text").alias("_text"), "lang"))
+    if model is None:
+        return language_id.predict(docs, None).withColumn("held_out", unseen)
+    rows = docs.select("doc_id", "text", "lang")  # scored once, for the thresholds and the answers
+    scored = staged(language_id.cross_entropies(rows, model, "text", ["doc_id", "lang"]), "cross-entropies")
+    language_id.calibrate(model, scored.filter(~unseen))
+    found = language_id.verdicts(scored, model)
     return found.withColumn("held_out", unseen)
 
 

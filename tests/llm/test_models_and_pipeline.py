@@ -249,3 +249,13 @@ def test_languages_with_few_rows_or_no_letter(spark):
     assert model.languages == ["aa", "bb", "cc", "rare"] and np.isfinite(model.mean).all()
     docs = spark.createDataFrame([(1, "ψφω ωωφ"), (2, "34 12 !!")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model).collect()} == {1: "rare", 2: "und"}
+
+
+def test_thresholds_come_from_all_rows(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randint(6, 14), "abcdefgh"), "aa") for i in range(2600)]
+    model = language_id.train(spark.createDataFrame(rows, "_id long, _text string, lang string"))
+    parts = [language_id._batch_grams([t])[0] for _, t, _ in rows]
+    whole = language_id.fit({"aa": np.unique(np.concatenate(parts), return_counts=True)})
+    h = np.array([-language_id.log_probability(whole, p).astype(float).mean() for p in parts if len(p) >= 30])
+    assert abs(model.mean[0] - h.mean()) < 1e-5 and abs(model.spread[0] - h.std()) < 1e-5
