@@ -5,8 +5,12 @@ from __future__ import annotations
 import gc
 import sys
 import uuid
+from collections.abc import Iterator
 from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +75,24 @@ def release_shuffles(spark: SparkSession) -> None:
 def bounded(side: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A stored table of keys, marked for broadcast if it is proven small; else Spark shuffles the join."""
     return F.broadcast(side) if side.count() <= rows else side
+
+
+def byte_column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All UTF-8 bytes of a column in a row, and the offsets of its texts; nulls are empty."""
+    column = pc.fill_null(texts, "").cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.zeros(0, dtype=np.uint8) if data is None else np.frombuffer(data, dtype=np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def byte_blocks(
+    batches: Iterator[pa.RecordBatch], column: str, most: int
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) of about ``most`` bytes of text each; a longer text is a block of its own."""
+    for batch in batches:
+        if batch.num_rows:
+            data, offsets = byte_column(batch.column(column))
+            edge = np.flatnonzero(np.diff(offsets[:-1] // most, prepend=-1)).tolist() + [batch.num_rows]
+            for a, b in zip(edge, edge[1:]):
+                yield batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
-    byte_bpe, chat_format, decontaminate, language_id, near_dedup, quality_model, quality_rules, suffix_dedup,
-    toxicity, url_rules,
+    byte_bpe, chat_format, decontaminate, hard_negatives, language_id, near_dedup, periodic_runs, quality_model,
+    quality_rules, secret_scan, suffix_dedup, toxicity, url_rules,
 )
-from riskweave.llm.common import held_out, id_text, table
+from riskweave.llm.common import held_out, id_text, table, words_of
 from riskweave.session import staged
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -96,6 +96,54 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.filter_quality(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one crc32 digit in ten end in a repeated stretch of their own words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g, words = F.floor(h / 10), words_of(F.col("text"))
+    n = F.size(words)
+    a = F.pmod(g, F.nullif(n, F.lit(0))).cast("int")
+    p = F.floor(1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    docs = docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), repeated).otherwise(F.col("text")))
+    found = periodic_runs.periodic_runs(docs)
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)),
+        lambda top, x: F.when(x["length"] * top["period"] > top["length"] * x["period"], x).otherwise(top),
+    )
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = table(spark, sf_dir, "embeddings")
+    whole = F.transform("embedding", lambda v: F.when(F.isnan(v) | (F.abs(v) == float("inf")), None).otherwise(F.floor(v.cast("double") * 256)))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = x.select("vec_id", label.alias("label"), whole.alias("vector"))
+    return hard_negatives.mine_hard_negatives(rows, F.col("_id") % 50 == 0)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.RULES]
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in base],
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -107,6 +155,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_chat_format": op9_chat_format,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -164,5 +215,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR len(list_filter(w, lambda x: regexp_matches(x, '\\p{L}'))) < 0.5 * n_words) AS kept
 FROM base"""
 
+_OP12 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id AS other_id, a.label = x.label AS same, CAST(list_sum(list_transform(list_zip(a.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable a JOIN usable x ON a.vec_id % 50 = 0 AND a.vec_id <> x.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS place
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE place <= 3"""
+
 #: The other operators are learnt, or too slow in SQL on whole tables; tests compare them with brute force.
-ORACLE: dict[str, str] = {"op3_decontaminate": _OP3, "op9_chat_format": _OP9, "op10_quality_rules": _OP10}
+ORACLE: dict[str, str] = {"op3_decontaminate": _OP3, "op9_chat_format": _OP9, "op10_quality_rules": _OP10, "op12_hard_negatives": _OP12}
