@@ -167,14 +167,14 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Dat
     """The row with the greatest ``order`` per key (last write wins); null orders come last.
 
     The greatest first order column per key is a hash aggregation of two narrow columns with
-    map-side combine.  Rows that reach it are kept by a hash semi join, whose skewed side Spark
-    splits; only these few are compared as whole rows.
+    map-side combine.  Rows that reach it are kept by a semi join, whose skewed side Spark splits
+    and whose form it chooses by measured partition sizes; only these few are compared as whole rows.
     """
     keys = [key] if isinstance(key, str) else key
     first = order[0]
     newest = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max(first).alias("_o"))
     same = [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    reached = df.join(newest.hint("shuffle_hash"), reduce(Column.__and__, same) & df[first].eqNullSafe(F.col("_o")), "left_semi")
+    reached = df.join(newest, reduce(Column.__and__, same) & df[first].eqNullSafe(F.col("_o")), "left_semi")
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
     return reached.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)

@@ -64,13 +64,13 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, precombine: str) -> Da
     """New keys are inserted; a key is replaced when its update is newer or equally new.
 
     Within ``updates`` the greatest ``precombine`` per key wins.  ``base`` is unique per
-    key.  Both sides are read once and meet in one full outer hash join.
+    key.  Both sides are read once and meet in one full outer join, whose sort can spill.
     """
     cols = base.columns
     newest = latest_per_key(updates.select(*cols), key, [precombine])
     old = base.select(F.col(key).alias("_old_key"), F.struct(*cols).alias("_old"))
     new = newest.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
-    both = old.join(new.hint("shuffle_hash"), F.col("_old_key") == F.col("_new_key"), "full")
+    both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
     before, after = F.col(f"_old.{precombine}"), F.col(f"_new.{precombine}")
     stays = F.col("_new_key").isNull() & F.col("_new").isNull() | (
         F.col("_old").isNotNull() & F.coalesce(after < before, after.isNull() & before.isNotNull())
@@ -124,18 +124,36 @@ def stream_summary(
     ``checked`` has ``_validation_errors``; ``account`` reads the account of a raw event.
     """
     ok = F.size("_validation_errors") == 0
-    fails = (
-        F.lit(0).cast("long") if consistency is None
-        else consistency.agg(F.count_if(F.col("status") != "PASS")).scalar()
-    )
     out = checked.agg(
         F.count("*").alias("raw_event_count"),
         F.count_if(ok).alias("schema_valid_event_count"),
         F.count_if(~ok).alias("schema_invalid_event_count"),
         F.count_distinct(F.when(ok, account)).alias("keys_written"),
-    ).withColumn("consistency_fail_count", fails)
+    )
+    return _judged(out, consistency)
+
+
+def observed_summary(metrics: DataFrame, state: DataFrame, consistency: DataFrame | None = None) -> DataFrame:
+    """The summary of :func:`stream_summary` without a look at the events.
+
+    ``metrics`` are the counts that each micro-batch observed while it wrote (``valid``, ``invalid``), a row
+    per batch; ``state`` is a keyed table, one row per account.
+    """
+    valid, invalid = (F.coalesce(F.sum(c), F.lit(0)) for c in ("valid", "invalid"))
+    out = metrics.agg(
+        (valid + invalid).alias("raw_event_count"), valid.alias("schema_valid_event_count"),
+        invalid.alias("schema_invalid_event_count"),
+    ).withColumn("keys_written", state.agg(F.count("*")).scalar())
+    return _judged(out, consistency)
+
+
+def _judged(out: DataFrame, consistency: DataFrame | None) -> DataFrame:
+    fails = (
+        F.lit(0).cast("long") if consistency is None
+        else consistency.agg(F.count_if(F.col("status") != "PASS")).scalar()
+    )
     good = (
         (F.col("schema_valid_event_count") > 0) & (F.col("schema_invalid_event_count") == 0)
         & (F.col("keys_written") > 0) & (F.col("consistency_fail_count") == 0)
     )
-    return out.withColumn("status", F.when(good, "PASS").otherwise("FAIL"))
+    return out.withColumn("consistency_fail_count", fails).withColumn("status", F.when(good, "PASS").otherwise("FAIL"))

@@ -9,13 +9,14 @@ from riskweave.operators import (
     contract as CT, detail as D, marts as M, profiling as P, ranking as R, scoring as SC,
     serving as SV, state as ST,
 )
-from riskweave.plans import inputs as I, reference_sql as Q
+from riskweave.plans import inputs as I, realtime as RT, reference_sql as Q
 from riskweave.plans.catalog import query
-from riskweave.plans.queries_marts import as_double, money
-from riskweave.session import work_path
+from riskweave.plans.queries_marts import _MINUTE, as_double, money
+from riskweave.session import staged, work_path
 from riskweave.sinks import state_tables as KV, tables as TB
+from riskweave.sinks.keyed_tables import KeyedTable
 from riskweave.sources import adapters as A, layers as L
-from riskweave.streaming import jobs as SJ
+from riskweave.streaming import jobs as SJ, topics as SK
 
 # --- display tables and dashboard queries -----------------------------------------------
 
@@ -182,6 +183,44 @@ def _(spark, sf):
     return ST.stream_summary(checked, F.get_json_object("value", "$.event_account"))
 
 
+def _message_log(spark, sf, files):
+    """The messages with their faults as a log: partitions by account, arrival unlike the order of ids."""
+    events = I.faulty_messages(spark, sf)
+    i = F.col("event_id")
+    # a full cycle of the numbers below a prime, again for every further block of them
+    offset = F.pmod(i * 7919, F.lit(1000003)) + F.floor(i / 1000003) * 1000003
+    folder = work_path(spark, "messages")
+    account = F.regexp_extract("value", '"event_account":"([^"]*)"', 1)
+    partition = F.pmod(F.xxhash64(account), F.lit(4)).cast("int")
+    SK.write_topic(events.select(partition.alias("partition"), offset.alias("offset"), "value"), folder, files)
+    return folder
+
+
+def _state_job(spark, sf, files_per_batch=None, files=6):
+    """The state job over the log, started twice: the second run takes over what arrived in between."""
+    folder, root, checkpoint = _message_log(spark, sf, files), work_path(spark, "state"), work_path(spark, "ck")
+
+    def mine():
+        raw = SJ.raw_stream(spark, "topic", folder, maxFilesPerTrigger=files_per_batch)
+        return raw.filter(L.decodable(F.trim("value")) & (F.get_json_object("value", "$.run_id") == I.RUN))
+
+    queries = SJ.state_job(mine(), CT.STATE, root, checkpoint, SK.POSITION, stamp=I.stamp(), buckets=8)
+    for query in queries:
+        SK.run_batches(query, 2)  # stopped wherever the third batch is
+    for query in SJ.state_job(mine(), CT.STATE, root, checkpoint, SK.POSITION, stamp=I.stamp(), buckets=8):
+        query.awaitTermination()
+    return root
+
+
+@query("j09_observed_summary", f"""WITH {Q.SCORED}, {_ARRIVED} SELECT count(*) AS raw_event_count,
+  count(*) FILTER (errors = '') AS schema_valid_event_count, count(*) FILTER (errors <> '') AS schema_invalid_event_count,
+  count(DISTINCT event_account) FILTER (errors = '') AS keys_written, 0 AS consistency_fail_count,
+  CASE WHEN count(*) FILTER (errors <> '') = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM arrived""")
+def _(spark, sf):
+    root = _state_job(spark, sf, files_per_batch=2)
+    return ST.observed_summary(KV.read_batches(spark, f"{root}/metrics"), SJ.state_table(root, "durable").read(spark))
+
+
 _LATEST = """latest AS (SELECT arg_max(scored, transaction_id) AS e FROM scored GROUP BY event_account),
 last_ AS (SELECT unnest(e) FROM latest)"""
 
@@ -242,16 +281,19 @@ def _(spark, sf):
     return TB.publish_tables(spark, tables, expected=expected, location=work_path(spark, "published"))
 
 
-@query("w05_kv_state_sink", f"""WITH {Q.SCORED}, {_LATEST} SELECT concat('risk:latest:', event_account) AS "key", transaction_id, risk_score FROM last_""")
+@query("w05_kv_state_sink", f"""WITH {Q.SCORED}, kept AS (
+  SELECT arg_max(scored, ((event_id + 3) % 3, transaction_id)) AS e FROM scored GROUP BY event_account), last_ AS (SELECT unnest(e) FROM kept)
+SELECT concat('risk:latest:', event_account) AS "key", transaction_id, risk_score FROM last_""")
 def _(spark, sf):
-    path = work_path(spark, "kv")
     events = I.stored(I.state_events(spark, sf), "state-events")
-    order = ["transaction_id"]
-    # two micro-batches: later transactions arrive in the second one
-    cut = "TX_0000000300"
-    for batch, part in enumerate((events.filter(F.col("transaction_id") < cut), events.filter(F.col("transaction_id") >= cut))):
-        KV.put_batch(ST.cache_rows(ST.latest_state(part, order), "risk:latest"), path, batch)
-    rows = KV.read_latest(spark, path, "key")
+    kv = KeyedTable(work_path(spark, "kv"), "key", "batch_id", buckets=8)
+    # three micro-batches, of which the second is delivered twice
+    number = F.substring("transaction_id", 4, 10).cast("long")
+    third = F.pmod(number, F.lit(3))
+    for batch, part in ((0, third == 1), (1, third == 2), (1, third == 2), (2, third == 0)):
+        latest = ST.cache_rows(ST.latest_state(events.filter(part), ["transaction_id"]), "risk:latest")
+        kv.merge(latest.withColumn("batch_id", F.lit(batch).cast("long")), token=batch)
+    rows = kv.read(spark)
     return rows.select(
         "key", F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
         F.get_json_object("value", "$.risk_score").cast("int").alias("risk_score"),
@@ -287,6 +329,26 @@ def _(spark, sf):
     return out.select("doc_id", "risk_score", "event_time_raw", "event_time", "scored_at")
 
 
+@query("w08_search_rerun", f"""WITH {Q.SCORED} SELECT concat('r1:', transaction_id) AS doc_id,
+  CASE WHEN event_id % 4 = 0 THEN 100 WHEN event_id % 4 = 2 THEN 7 ELSE risk_score END AS risk_score,
+  CASE WHEN event_id % 4 = 0 THEN '2024-06-01T00:00:00.500000Z' WHEN event_id % 4 = 2 THEN '2024-06-03T00:00:00Z' ELSE '2024-06-01T00:00:00Z' END AS scored_at
+FROM scored""")
+def _(spark, sf):
+    events = I.stored(I.state_events(spark, sf), "state-events")
+    number = F.substring("transaction_id", 4, 10).cast("long") - 1
+
+    def scored(part, score, at):
+        return events.filter(part).withColumns({"risk_score": F.lit(score), "scored_at": F.lit(at)})
+
+    # reruns arrive in any order: the time of scoring decides, not the time of indexing
+    index = RT.search_index(work_path(spark, "search"), buckets=8)
+    RT.index_documents(scored(number % 4 == 2, 7, "2024-06-03 00:00:00"), index, [], I.stamp())
+    RT.index_documents(events, index, [], I.stamp())
+    RT.index_documents(scored(number % 4 == 0, 100, "2024-06-01 00:00:00.500000"), index, [], I.stamp())
+    RT.index_documents(scored(number % 4 == 2, 8, "2024-05-31 23:59:59"), index, [], I.stamp())
+    return index.read(spark).select("doc_id", "risk_score", "scored_at")
+
+
 @query("w10_upsert", """WITH base AS (SELECT user_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value FROM events WHERE event_type <> 'error' AND user_id % 3 <> 0 GROUP BY 1),
 up AS (SELECT user_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value FROM events WHERE event_type = 'error' GROUP BY 1)
 SELECT coalesce(up.user_id, base.user_id) AS user_id,
@@ -301,6 +363,21 @@ def _(spark, sf):
     return ST.upsert(base, updates, "user_id", "ts").select("user_id", "value")
 
 
+@query("w10_upsert_buckets", """WITH step AS (SELECT user_id, ts, value, event_id FROM events),
+base AS (SELECT user_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value FROM step WHERE user_id % 3 <> 0 GROUP BY 1),
+up AS (SELECT user_id, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value FROM step WHERE user_id % 50 = 0 AND event_id % 2 = 0 GROUP BY 1)
+SELECT coalesce(up.user_id, base.user_id) AS user_id, CASE WHEN base.user_id IS NULL OR up.ts >= base.ts THEN up.value + 1 ELSE base.value END AS value
+FROM base FULL JOIN up ON base.user_id = up.user_id""")
+def _(spark, sf):
+    events = staged(A.table(spark, sf, "events").select("user_id", "ts", "value", "event_id"), "events")
+    accounts = KeyedTable(work_path(spark, "accounts"), "user_id", "ts", buckets=16)
+    accounts.merge(R.latest_per_key(events.filter("user_id % 3 <> 0"), "user_id", ["ts", "event_id"]).drop("event_id"))
+    # only the buckets of the few updated accounts are read and written again
+    few = R.latest_per_key(events.filter("user_id % 50 = 0 AND event_id % 2 = 0"), "user_id", ["ts", "event_id"])
+    accounts.merge(few.drop("event_id").withColumn("value", F.col("value") + 1))
+    return accounts.read(spark).select("user_id", "value")
+
+
 @query("w11_query_results_export", f"""WITH {Q.SCORED}, lv AS (SELECT risk_level, {_MEASURES} FROM scored GROUP BY 1),
 pc AS (SELECT payment_format, payment_currency, count(*) AS event_count FROM scored GROUP BY 1, 2)
 SELECT 'levels' AS query_name, row_number() OVER (ORDER BY event_count DESC, risk_level) AS "row_number", risk_level AS first_value FROM lv
@@ -383,37 +460,67 @@ def _(spark, sf):
     )
 
 
-@query("j06_latest_state_sink", f"""WITH {Q.SCORED}, {_ARRIVED}, ok AS (SELECT * FROM arrived WHERE errors = '')
-SELECT event_account, arg_max(transaction_id, transaction_id) AS transaction_id, arg_max(risk_level, transaction_id) AS risk_level,
+@query("j10_resumed_replay", f"""WITH {Q.TX} SELECT transaction_id, amount_paid, payment_format FROM tx""")
+def _(spark, sf):
+    # a log in eight files, two a micro-batch: the first query is stopped behind two batches, the second goes on
+    folder, out, checkpoint = work_path(spark, "log"), work_path(spark, "drained"), work_path(spark, "ck")
+    replay = D.to_replay(A.detail(spark, sf), I.RUN)
+    number = F.substring("transaction_id", 4, 10).cast("long")
+    SK.write_topic(SK.messages_of(replay, "from_account", number), folder, files=8)
+
+    def drained():
+        events = SJ.stream_source(spark, "topic", folder, S.REPLAY_EVENT, maxFilesPerTrigger=2).drop(*SK.POSITION)
+        return SJ.event_sink(events, "files", out, checkpoint)
+
+    SK.run_batches(drained(), 2)
+    drained().awaitTermination()
+    return spark.read.schema(S.REPLAY_EVENT).json(out).select("transaction_id", "amount_paid", "payment_format")
+
+
+@query("j06_latest_state_sink", f"""WITH {Q.SCORED}, {_ARRIVED}, ok AS (
+  SELECT *, (event_id * 7919) % 1000003 + (event_id // 1000003) * 1000003 AS arrival FROM arrived WHERE errors = '')
+SELECT event_account, arg_max(transaction_id, arrival) AS transaction_id, arg_max(risk_level, arrival) AS risk_level,
   count(*) AS valid_events FROM ok GROUP BY 1""")
 def _(spark, sf):
-    folder, root = work_path(spark, "messages"), work_path(spark, "state")
-    I.faulty_messages(spark, sf).select("value").write.text(folder)
-    raw = SJ.raw_stream(spark, "files", folder)
-    mine = raw.filter(L.decodable(F.trim("value")) & (F.get_json_object("value", "$.run_id") == I.RUN))
-    SJ.state_job(
-        mine, CT.STATE, root, work_path(spark, "ck"), ["transaction_id"], stamp=I.stamp()
-    ).awaitTermination()
-    durable = KV.read_latest(spark, f"{root}/durable", "event_account")
+    root = _state_job(spark, sf, files_per_batch=1)
+    durable = SJ.state_table(root, "durable").read(spark)
     valid = KV.read_batches(spark, f"{root}/events").groupBy("event_account").agg(
         F.count("*").alias("valid_events")
     )
     return durable.select("event_account", "meta.transaction_id", "s.risk_level").join(valid, "event_account")
 
 
-@query("j11_streaming_minute_kpi", f"""WITH {Q.TX} SELECT transaction_minute, payment_format, count(*) AS transaction_count,
-  CAST(sum(is_laundering) AS BIGINT) AS laundering_count,
-  round(CAST(sum(CAST(amount_paid AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_amount_paid
-FROM tx WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+@query("j06_state_in_cache", f"""WITH {Q.SCORED}, {_ARRIVED}, ok AS (
+  SELECT *, (event_id * 7919) % 1000003 + (event_id // 1000003) * 1000003 AS arrival FROM arrived WHERE errors = '')
+SELECT "key", e.t AS transaction_id, e.s AS risk_score FROM (
+  SELECT concat('risk:latest:', event_account) AS "key",
+    arg_max({{'t': transaction_id, 's': CASE WHEN event_id % 20 <> 10 THEN risk_score END}}, arrival) AS e FROM ok GROUP BY 1)""")
 def _(spark, sf):
-    folder, out = work_path(spark, "events"), work_path(spark, "minutes")
-    A.detail(spark, sf, extra=("ts",)).withColumnRenamed("ts", "event_ts").write.parquet(folder)
-    events = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
-    kpi = SJ.streaming_minute_kpi(events)
-    (
-        kpi.writeStream.format("parquet").option("path", out).outputMode("append")
-        .option("checkpointLocation", work_path(spark, "ck")).trigger(availableNow=True).start()
-        .awaitTermination()
+    root = _state_job(spark, sf, files_per_batch=3)
+    cached = SJ.state_table(root, "cache").read(spark)
+    return cached.select(
+        "key", F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
+        F.get_json_object("value", "$.risk_score").cast("int").alias("risk_score"),
     )
-    closed = spark.read.parquet(out)
-    return money(closed.drop("approx_account_count"), "total_amount_paid")
+
+
+@query("j11_streaming_minute_kpi", f"WITH {Q.TX} {_MINUTE.format(t='tx')}")
+def _(spark, sf):
+    folder, out, checkpoint = work_path(spark, "events"), work_path(spark, "minutes"), work_path(spark, "ck")
+    events = staged(A.detail(spark, sf, extra=("ts",)).withColumnRenamed("ts", "event_ts"), "timed")
+    first, last = events.agg(F.min("event_ts"), F.max("event_ts")).first()
+    cuts = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, None]
+
+    def drain():
+        stream = spark.readStream.schema(events.schema).parquet(folder)
+        query = SJ.streaming_minute_kpi(stream).writeStream.format("parquet").option("path", out).outputMode("append")
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    # three arrivals in the order of time, each by a query that goes on from the checkpoint
+    for low, high in zip(cuts, cuts[1:]):
+        part = events.filter(F.col("event_ts") >= low)
+        (part if high is None else part.filter(F.col("event_ts") < high)).write.mode("append").parquet(folder)
+        drain()
+    SJ.heartbeat(events, "event_ts", F.lit(last) + F.expr("INTERVAL 12 MINUTES")).write.mode("append").parquet(folder)
+    drain()
+    return money(money(spark.read.parquet(out), "total_amount_paid"), "laundering_rate", digits=8)

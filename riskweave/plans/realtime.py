@@ -10,6 +10,7 @@ from riskweave.operators import (
     state as ST,
 )
 from riskweave.sinks import state_tables as KV, tables as TB
+from riskweave.sinks.keyed_tables import KeyedTable
 from riskweave.sources import layers as L
 from riskweave.streaming import jobs as SJ
 
@@ -22,6 +23,17 @@ def make_scoring_sample(
     return D.to_contract(SA.tiered_sample(J.join_features_tx(features, dwd), rows), run_id, version)
 
 
+def search_index(root: str, buckets: int = 32) -> KeyedTable:
+    """Search documents by id; a document that was scored later replaces one that was scored earlier."""
+    return KeyedTable(f"{root}/search", "doc_id", "scored_ts", buckets)
+
+
+def index_documents(events: DataFrame, index: KeyedTable, later: list[str], stamp: Column | None = None) -> None:
+    """Put events into the search index; ``later`` decides between two of one id scored at the same time."""
+    documents = ST.search_documents(events, stamp).withColumn("scored_ts", F.try_to_timestamp("scored_at"))
+    index.merge(ST.latest_state(documents, ["scored_ts", *later], key="doc_id"))
+
+
 def run_scoring(
     inputs: DataFrame, root: str, run_id: str, order: list[str], stamp: Column | None = None
 ) -> DataFrame:
@@ -37,23 +49,22 @@ def run_scoring(
     scored = SC.score_state(stream, run_id, stamp)
     SJ.event_sink(scored, "files", f"{root}/risk", f"{root}/checkpoints/score").awaitTermination()
 
-    raw = SJ.raw_stream(spark, "files", f"{root}/risk")
+    raw = SJ.raw_stream(spark, "files", f"{root}/risk", arrival=True)
     mine = raw.filter(
         L.decodable(F.trim("value")) & (F.get_json_object("value", "$.run_id") == run_id)
     )
-    SJ.state_job(
-        mine, CT.STATE, root, f"{root}/checkpoints/state", order, stamp=stamp
-    ).awaitTermination()
+    for query in SJ.state_job(
+        mine, CT.STATE, root, f"{root}/checkpoints/state", ["arrived", "file", *order], stamp=stamp
+    ):
+        query.awaitTermination()
 
-    durable = KV.read_latest(spark, f"{root}/durable", "event_account")
-    cache = L.parse_events(KV.read_latest(spark, f"{root}/cache", "key"), S.STATE_EVENT).drop("key")
+    durable = SJ.state_table(root, "durable").read(spark)
+    cached = SJ.state_table(root, "cache").read(spark).drop("batch_id")
+    cache = L.parse_events(cached, S.STATE_EVENT).drop("key")
     consistency = J.state_consistency(cache, ST.durable_view(durable))
-    events = KV.read_batches(spark, f"{root}/events").drop("batch_id")
+    logged = KV.read_batches(spark, f"{root}/events")
+    events = logged.drop("batch_id", "arrived", "file")
     TB.olap_load_accounts(SV.ads_account_rollup(events), f"{root}/ads_accounts")
     TB.olap_load_events(events, f"{root}/ads_events")
-    documents = ST.search_documents(events)
-    ST.latest_state(documents, ["ingested_at"], key="doc_id").write.mode("overwrite").parquet(
-        f"{root}/search"
-    )
-    checked = CT.contract_errors(L.read_raw_events(spark, f"{root}/risk", run_id), CT.STATE)
-    return ST.stream_summary(checked, F.get_json_object("value", "$.event_account"), consistency)
+    index_documents(logged.drop("batch_id"), search_index(root), ["arrived", "file"])
+    return ST.observed_summary(KV.read_batches(spark, f"{root}/metrics"), cached, consistency)

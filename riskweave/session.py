@@ -16,6 +16,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a hash join only where every partition of its build side is proven small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # streaming state lives on disk, not in executor memory
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -46,6 +50,18 @@ def work_path(spark: SparkSession, label: str) -> str:
     return os.path.join(root, "riskweave", f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system that Spark uses for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making; nothing happens where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the work folder and read back: computed once, lineage cut."""
     path = work_path(df.sparkSession, label)
