@@ -41,7 +41,8 @@ ORDER = 5
 BITS = 12
 BLANK = 1
 UNKNOWN = "und"
-BLOCK = 4_000_000
+BLOCK = 2_000_000
+PIECE = 1_000_000  # bytes of text whose n-grams are listed at once
 TEXT_BLOCK, GRAM_BLOCK = 32_000_000, 1_000_000  # bytes of text and distinct n-grams that end a block of texts
 
 
@@ -115,7 +116,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                     own = _batch_grams(rows["_text"].iloc[at : at + 500].tolist())[0]
                     held.setdefault(lang, []).append(own)
                     size += len(own)
-                    if size >= BLOCK:
+                    if size >= PIECE:
                         settle()
                         size = 0
             if sum(len(x[0]) for x in counts.values()) >= BLOCK:
@@ -334,6 +335,13 @@ def entropies(look: Callable[[np.ndarray], np.ndarray], languages: int, texts: l
     return np.concatenate(result), np.concatenate(sizes)
 
 
+def _united(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The distinct values of two sorted arrays, sorted; a merge, as the stable sort finds both stretches."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return both[np.concatenate(([True], both[1:] != both[:-1]))] if len(both) else both
+
+
 def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
     """(block, rows, grams): the rows of ``docs`` packed in blocks, and the sorted distinct n-grams of each.
 
@@ -362,15 +370,16 @@ def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
             first = 0
             while first < len(long):
                 before = long[first - 1] if first else 0
-                end = max(first + 1, int(np.searchsorted(long, before + BLOCK, "right")))
+                end = max(first + 1, int(np.searchsorted(long, before + PIECE, "right")))
                 part = batch.slice(first, end - first)
                 held.append(part)
-                grams_ = np.union1d(grams_, _batch_grams(part.column(at).to_pylist())[0])
+                grams_ = _united(grams_, np.unique(_batch_grams(part.column(at).to_pylist())[0]))
                 size += int(long[end - 1] - before)
                 first = end
                 if size >= TEXT_BLOCK or len(grams_) >= GRAM_BLOCK:
                     yield packed()
                     block, held, grams_, size = block + 1, [], np.zeros(0, dtype=np.int64), 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield packed()
 
@@ -504,6 +513,32 @@ def _judging(model: Tables, deviations: float = 8.0, short: float = 6.0) -> Call
     return judged
 
 
+def _accepts(model: Tables, deviations: float = 8.0, short: float = 6.0) -> Column:
+    """Whether a text with cross-entropies ``_h`` and ``_n`` characters is accepted, as :func:`_judging` says."""
+    low = F.array_min("_h")
+    best = F.array_position("_h", low).cast("int")  # the first of equal ones
+    mean, spread = (F.element_at(F.array(*[F.lit(float(x)) for x in own]), best) for own in (model.mean, model.spread))
+    return (F.col("_n") > 0) & (low <= mean + deviations * spread + short / F.sqrt(F.greatest("_n", F.lit(1))))
+
+
+def recognised(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that models learnt from their labelled rows accept.
+
+    Every text is scored once; the scores give the thresholds and then the answers.
+    """
+    labelled = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).alias("lang"))
+    model = learn(labelled)
+    if model is None:
+        return docs.limit(0)
+    # names of the caller's columns cannot clash with those of the scores
+    renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text, lang = (f"c{docs.columns.index(c)}" for c in (text_col, lang_col))
+    scored = staged(cross_entropies(renamed, model, text, renamed.columns), "scored-texts")
+    release_shuffles(docs.sparkSession)
+    calibrate(model, scored.select(F.col(lang).alias("lang"), "_h", "_n"))
+    return scored.filter(_accepts(model)).select(*renamed.columns).toDF(*docs.columns)
+
+
 def accepted(docs: DataFrame, model: Tables | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that the models do not reject."""
     if model is None:

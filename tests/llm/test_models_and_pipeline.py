@@ -43,6 +43,17 @@ def test_language_models(spark):
     assert language_id.predict(other, None).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_texts_are_recognised_in_one_scoring(spark):
+    rows = spoken(6, 60) + [(900, None, "x"), (901, "", None), (902, "12 ... !!", "x"), (903, "wwww qqqq jjjj kkkk wwwq jjkk " * 9, None)]
+    docs = spark.createDataFrame([(*r, r[1], 7, [1.0]) for r in rows], "doc_id long, text string, lang string, _text string, _n int, _h array<double>")
+    model = language_id.train(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "lang"))
+    kept = language_id.recognised(docs)
+    assert kept.schema == docs.schema
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in language_id.accepted(docs, model).collect())
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows if r[0] < 900}
+    assert language_id.recognised(docs.limit(0)).count() == 0 and language_id.recognised(docs.withColumn("lang", F.lit(None).cast("string"))).count() == 0
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     own, n = np.unique(language_id._batch_grams([t for _, t, _ in spoken(4, 20)])[0], return_counts=True)
     model = language_id.fit({"x": (own, n)})
