@@ -27,8 +27,7 @@ REPEAT_BYTES = 256  # about 50 words
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    learn = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), "lang")
-    return language_id.accepted(docs, language_id.train(learn))
+    return language_id.recognised(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
