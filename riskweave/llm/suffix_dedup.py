@@ -26,7 +26,6 @@ emptied (from ``m`` bytes on).  Input order does not matter.  Only the named col
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from hashlib import sha256
 from itertools import product
 
@@ -37,21 +36,30 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bounded, co_located, id_text, process_cache, release_shuffles
+from riskweave.llm.common import bounded, byte_blocks, co_located, id_text, process_cache, release_shuffles
 from riskweave.session import staged
 
 PRIME = 13  # period 13^2 + 13 + 1 = 183, 14 samples in each
+PASSAGE_PRIME = 7  # for passages: period 57, 8 samples in each
 BUCKET_ENTRIES = 200_000
 BLOCK = 1_000_000  # bytes hashed at once
 SEND = 6_000_000  # bytes of text per message
 MULTIPLIER = 0x9E3779B97F4A7C15
 U = np.uint64
+REPEATED, ODD, SPEAKER = 1, 2, 3
 
 Places = Callable[..., tuple[np.ndarray, np.ndarray]]
 
 
-@lru_cache(maxsize=4)
 def difference_cover(q: int = PRIME) -> tuple[int, tuple[int, ...]]:
+    """The cover of :func:`_cover` for ``q``, computed once in a process."""
+    kept = process_cache().setdefault("difference_covers", {})
+    if q not in kept:
+        kept[q] = _cover(q)
+    return kept[q]
+
+
+def _cover(q: int) -> tuple[int, tuple[int, ...]]:
     """Period ``q^2 + q + 1`` and a perfect difference set of ``q + 1`` numbers for a prime ``q``.
 
     The exponents of a generator of the field of q^3 elements whose powers lie in one plane.
@@ -103,25 +111,6 @@ class Hashes:
         return h ^ (h >> U(29))
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a column in a row, and the offsets of the texts; nulls are empty."""
-    column = pc.fill_null(texts, "").cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    whole = np.zeros(0, dtype=np.uint8) if data is None else np.frombuffer(data, dtype=np.uint8)
-    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) of about ``most`` bytes each; a long text is a block of its own."""
-    for batch in batches:
-        if batch.num_rows:
-            data, offsets = _bytes_of(batch.column("_text"))
-            edge = np.flatnonzero(np.diff(offsets[:-1] // most, prepend=-1)).tolist() + [batch.num_rows]
-            for a, b in zip(edge, edge[1:]):
-                yield batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-
-
 def _listed(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, place) of all distinct places of a column of lists, in order."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
@@ -130,9 +119,9 @@ def _listed(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return both >> 32, both & 0xFFFFFFFF
 
 
-def _cover_places(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _cover_places(offsets: np.ndarray, length: int, q: int = PRIME) -> tuple[np.ndarray, np.ndarray]:
     """(text, place in it) of all cover samples that have ``length`` bytes behind them."""
-    period, cover = difference_cover()
+    period, cover = difference_cover(q)
     step = np.array(cover, dtype=np.int64)
     sizes = np.diff(offsets) - length + 1
     rounds = np.maximum(-(-sizes // period), 0)
@@ -147,21 +136,24 @@ def _cover_places(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
 def _messages(key: np.ndarray, place: np.ndarray, h: np.ndarray, w: np.ndarray | None, buckets: int, width: int) -> Iterator[tuple]:
     """Messages (bucket, keys, counts, places, prints, wide, many) of one block, by fingerprint ``h``.
 
-    Entries that the block has several times (equal ``h``, and equal ``w`` where given and not 0) go out
-    once, marked in ``many``; their places need no answer and go with a message without prints.
+    Entries that the block has several times (equal ``h``, and equal ``w`` where given) go out once,
+    marked in ``many``.  What is to be said of the others is known: they are repeated, or with ``w`` 0
+    odd.  Their places go with a message without prints.
     """
     order = np.argsort(h, kind="stable") if w is None else np.lexsort((w, h))
     equal = h[order][1:] == h[order][:-1]
     if w is not None:
-        equal &= (w[order][1:] == w[order][:-1]) & (w[order][1:] != 0)
+        equal &= w[order][1:] == w[order][:-1]
     again = np.concatenate(([False], equal))
     twice = again.copy()
     twice[:-1] |= equal
     many = np.zeros(len(h), dtype=bool)
     many[order[twice]] = True
     known = np.sort(order[again])
-    if len(known):
-        yield (int(key[0] % buckets), *_packed(key[known], place[known]), b"", b"", b"")
+    odd = np.zeros(len(known), dtype=bool) if w is None else w[known] == 0
+    for own, verdict in ((known[~odd], REPEATED), (known[odd], ODD)):
+        if len(own):
+            yield (int(key[own[0]] % buckets), *_packed(key[own], place[own]), b"", b"", bytes([verdict]))
     sent = np.sort(order[~again])
     bucket = ((h[sent] >> U(32)) * U(buckets)) >> U(32)
     by = np.argsort(bucket.astype(np.int64), kind="stable")
@@ -203,9 +195,6 @@ def _unpacked(keys: bytes, counts: bytes, steps: bytes) -> tuple[np.ndarray, np.
     return key, count, total - np.repeat(total[start] - step[start], count)
 
 
-REPEATED, ODD, SPEAKER = 1, 2, 3
-
-
 def _judged(h: np.ndarray, w: np.ndarray | None, many: np.ndarray) -> np.ndarray:
     """For each entry of a bucket: 0, REPEATED, or with ``w`` also ODD (plus 4 for a SPEAKER of its group)."""
     order = np.argsort(h, kind="stable") if w is None else np.lexsort((w, h))
@@ -217,8 +206,9 @@ def _judged(h: np.ndarray, w: np.ndarray | None, many: np.ndarray) -> np.ndarray
         return out
     split = new | np.concatenate(([True], (w[order][1:] != w[order][:-1]) | (w[order][1:] == 0)))
     group = np.cumsum(split) - 1
-    agrees = (np.bincount(group)[group] > 1) | (np.bincount(group, many[order])[group] > 0)
-    alone = (np.bincount(rank)[rank] == 1) & ~agrees
+    told = np.bincount(group, many[order])[group] > 0
+    agrees = ((np.bincount(group)[group] > 1) | told) & (w[order] != 0)
+    alone = (np.bincount(rank)[rank] == 1) & ~agrees & ~told
     odd_in_rank = np.bincount(rank, ~agrees)[rank] > 0
     verdict = np.where(agrees, REPEATED, np.where(alone, 0, ODD))
     out[order] = verdict + np.where(agrees & split & odd_in_rank, 4, 0)
@@ -231,12 +221,13 @@ def _answers(width: int, slots: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         parts = [_unpacked(k, c, p) for k, c, p in zip(rows["keys"], rows["counts"], rows["places"])]
         h = _widened(b"".join(rows["prints"]), width)
         w = np.frombuffer(b"".join(rows["wide"]), dtype=U)
-        verdict = _judged(h, w if len(w) else None, np.frombuffer(b"".join(rows["many"]), dtype=bool))
+        many = b"".join(m for m, own in zip(rows["many"], rows["prints"]) if len(own))
+        verdict = _judged(h, w if len(w) else None, np.frombuffer(many, dtype=bool))
         told = []
         at = 0
-        for (_, _, place), own in zip(parts, rows["prints"]):
+        for (_, _, place), own, many in zip(parts, rows["prints"], rows["many"]):
             size = len(place) if len(own) else 0
-            told.append(verdict[at : at + size] if len(own) else np.full(len(place), REPEATED, dtype=np.int8))
+            told.append(verdict[at : at + size] if len(own) else np.full(len(place), many[0], dtype=np.int8))
             at += size
         key = np.concatenate([np.repeat(k, c) for k, c, _ in parts])
         place = np.concatenate([p for *_, p in parts])
@@ -275,7 +266,7 @@ def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> Data
             kinds = [pa.int32()] + [pa.binary()] * (len(columns) - 1)
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=columns)
 
-        for block, data, offsets in _blocks(batches, BLOCK):
+        for block, data, offsets in byte_blocks(batches, "_text", BLOCK):
             text, place, h, w = places(block, data, offsets)
             held.append((block.column("_key").to_numpy()[text], place, h, w))
             size += len(data)
@@ -327,6 +318,11 @@ def _places_of(told: DataFrame, **kinds: int) -> DataFrame:
     return told.groupBy("slot").applyInPandas(gather, schema)
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Id and text of every row, 64 bits of the text (``_hash``) and of both (``_key``)."""
+    return id_text(docs, id_col, text_col).withColumn("_hash", F.xxhash64("_text")).withColumn("_key", F.xxhash64("_id", "_hash"))
+
+
 def _suspects(docs: DataFrame, m: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(``_id``, ``_hash``, ``_text``, accepted, edges) of the texts that may lose bytes, and their keys.
 
@@ -337,8 +333,7 @@ def _suspects(docs: DataFrame, m: int, id_col: str, text_col: str) -> tuple[Data
     period, cover = difference_cover()
     if m < period + 32:
         raise ValueError(f"m must be at least {period + 32}")
-    rows = id_text(docs, id_col, text_col).withColumn("_hash", F.xxhash64("_text")).withColumn("_key", F.xxhash64("_id", "_hash"))
-    long_rows = rows.filter(F.octet_length("_text") >= m)
+    long_rows = _keyed(docs, id_col, text_col).filter(F.octet_length("_text") >= m)
     total = long_rows.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
     tie = m - period + 1
 
@@ -391,6 +386,39 @@ def _suspects(docs: DataFrame, m: int, id_col: str, text_col: str) -> tuple[Data
     return found, suspects.select("_id", "_hash")
 
 
+def shared_passages(docs: DataFrame, least: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``_key``, shared_bytes) of the texts that share a passage of ``least`` bytes.
+
+    A denser cover of period 57 samples every text; a sample is shared if its ``least - 56`` bytes also
+    follow a sample elsewhere.  A string of ``least`` bytes that occurs twice holds such a sample in both
+    places, whatever their steps to the cover, so no passage of that size is missed; one of
+    ``least - 56`` bytes or more may be found.  ``shared_bytes`` are the bytes within shared samples.
+    """
+    period, cover = difference_cover(PASSAGE_PRIME)
+    size = least - period + 1
+    if size < 32:
+        raise ValueError(f"least must be at least {period + 31}")
+    long_rows = _keyed(docs, id_col, text_col).filter(F.octet_length("_text") >= least)
+    total = long_rows.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+
+    def samples(block: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
+        text, place = _cover_places(offsets, size, PASSAGE_PRIME)
+        return text, place, Hashes(data).at(offsets[text] + place, size), None
+
+    told = _ranked(long_rows.select("_key", "_text"), samples, total * len(cover) / period, 7)
+    schema = "_key long, shared_bytes long"
+
+    def covered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            places = [np.unique(_array(x)) for x in batch["shared"]]
+            size_of = [int(np.minimum(np.diff(p), size).sum()) + size if len(p) else 0 for p in places]
+            yield pd.DataFrame({"_key": batch["_key"], "shared_bytes": np.array(size_of, dtype=np.int64)})
+
+    shared = staged(_places_of(told, shared=REPEATED).mapInPandas(covered, schema), "shared-passages")
+    release_shuffles(docs.sparkSession)
+    return shared
+
+
 def _spans(text: str, accepted: object, edges: object, m: int) -> list[dict]:
     """Sorted maximal runs of bytes to remove."""
     size = len(text.encode("utf-8", "surrogatepass"))
@@ -399,13 +427,12 @@ def _spans(text: str, accepted: object, edges: object, m: int) -> list[dict]:
     return [{"start": int(a), "length": int(b - a)} for a, b in edge]
 
 
-def _per_text(batches: Iterator[pd.DataFrame], m: int) -> Iterator[list[tuple]]:
-    """(id, hash, text, spans) of the rows of :func:`_suspects`, batch by batch."""
-    for batch in batches:
-        yield [
-            (i, h, t, _spans(t, a, e, m))
-            for i, h, t, a, e in zip(batch["_id"], batch["_hash"], batch["_text"], batch["accepted"], batch["edges"])
-        ]
+def _removals(batch: pd.DataFrame, m: int) -> list[tuple]:
+    """(id, hash, text, spans) of rows of :func:`_suspects`."""
+    return [
+        (i, h, t, _spans(t, a, e, m))
+        for i, h, t, a, e in zip(batch["_id"], batch["_hash"], batch["_text"], batch["accepted"], batch["edges"])
+    ]
 
 
 def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,8 +445,8 @@ def repeated_spans(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_c
     kind = found.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _per_text(batches, m):
-            yield pd.DataFrame([r for r in rows if r[3]], columns=["_id", "_hash", "_text", "spans"])
+        for batch in batches:
+            yield pd.DataFrame([r for r in _removals(batch, m) if r[3]], columns=["_id", "_hash", "_text", "spans"])
 
     return found.mapInPandas(run, f"_id {kind}, _hash long, _text string, spans array<struct<start:int,length:int>>")
 
@@ -439,31 +466,41 @@ def without(text: str | None, spans: list) -> bytes:
 
 
 def _untouched(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = id_text(docs, id_col, text_col).withColumn("_hash", F.xxhash64("_text"))
     other = bounded(keys.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")).distinct())
-    return rows.join(other, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_anti")
+    return _keyed(docs, id_col, text_col).join(other, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_anti")
 
 
-def removal_digests(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
+def removal_digests(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) for every row; with ``passage`` also n_shared_bytes.
+
+    That is 0 for a text that shares no passage of ``passage`` bytes (see :func:`shared_passages`), and tells
+    the others apart also where the passage is too short for a removal.
+    """
+    shared = None if passage is None else shared_passages(docs, passage, id_col, text_col)
     found, keys = _suspects(docs, m, id_col, text_col)
     kind = found.schema["_id"].dataType.simpleString()
-    columns = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    columns = ["_key", id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _per_text(batches, m):
+        for batch in batches:
             out = []
-            for key, _, text, spans in rows:
+            for own, (key, _, text, spans) in zip(batch["_key"], _removals(batch, m)):
                 kept, gone = without(text, spans), sum(s["length"] for s in spans)
-                out.append((key, len(kept) + gone, gone, len(spans), sha256(kept).hexdigest()))
+                out.append((own, key, len(kept) + gone, gone, len(spans), sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=columns)
 
     text = F.encode(F.coalesce("_text", F.lit("")), "UTF-8")
     rest = _untouched(docs, keys, id_col, text_col).select(
-        F.col("_id").alias(id_col), F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        "_key", F.col("_id").alias(id_col), F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"),
     )
-    return found.mapInPandas(digest, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").unionByName(rest)
+    schema = f"_key long, `{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    whole = found.withColumn("_key", F.xxhash64("_id", "_hash")).mapInPandas(digest, schema).unionByName(rest)
+    if shared is None:
+        return whole.select(*columns[1:])
+    return whole.join(bounded(shared), "_key", "left").select(
+        *columns[1:], F.coalesce("shared_bytes", F.lit(0)).cast("long").alias("n_shared_bytes")
+    )
 
 
 def removed_texts(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -475,8 +512,8 @@ def removed_texts(docs: DataFrame, m: int = 400, id_col: str = "doc_id", text_co
     kind = found.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _per_text(batches, m):
-            kept = [(i, h, without(t, s).decode("utf-8", "ignore")) for i, h, t, s in rows if s]
+        for batch in batches:
+            kept = [(i, h, without(t, s).decode("utf-8", "ignore")) for i, h, t, s in _removals(batch, m) if s]
             yield pd.DataFrame(kept, columns=["_id", "_hash", "kept_text"])
 
     return found.mapInPandas(cut, f"_id {kind}, _hash long, kept_text string")

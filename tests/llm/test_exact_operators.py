@@ -8,6 +8,7 @@ import re
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import SCHEMA, SPACED, odd_documents, prose, repeated_bytes, similar_groups, shingle_set, window_hits
 from pyspark.sql import functions as F
@@ -36,6 +37,48 @@ def test_repeated_byte_strings(docs, m):
     assert Counter(tuple(r) for r in suffix_dedup.removal_digests(docs, m).collect()) == want
 
 
+def test_header_on_a_third_of_all_texts(spark):
+    rng = random.Random(9)
+    header, footer = prose(rng, 90), prose(rng, 70)
+    texts = [prose(rng, 70) + " " + prose(rng, 50) for _ in range(20)]
+    texts += [header + " " + prose(rng, 30) for _ in range(12)] + [prose(rng, 30) + " " + footer for _ in range(12)] + [header, footer, footer[3:]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.removal_digests(frame, 300).collect()}
+    assert got == {i: sum(gone) for i, gone in enumerate(repeated_bytes(texts, 300))} and sum(v > 0 for v in got.values()) > 20
+
+
+def test_edge_samples_are_judged_without_each_other():
+    u = suffix_dedup.U
+    h = np.array([5, 5, 6, 7, 7, 8], dtype=u)
+    w = np.array([0, 9, 0, 9, 9, 0], dtype=u)
+    many = np.array([True, False, False, False, False, True])
+    # an edge sample that a task had many times is odd even where no other task has it
+    assert suffix_dedup._judged(h, w, many).tolist() == [2, 2, 0, 1, 1, 2]
+    key, place = np.arange(6), np.zeros(6, dtype=np.int64)
+    sent = list(suffix_dedup._messages(key, place, np.array([5, 5, 5, 7, 7, 8], dtype=u), np.array([0, 0, 0, 9, 9, 1], dtype=u), 1, 5))
+    known = {row[-1]: suffix_dedup._unpacked(*row[1:4])[0].tolist() for row in sent if not row[4]}
+    assert known == {bytes([suffix_dedup.ODD]): [1, 2], bytes([suffix_dedup.REPEATED]): [4]}
+
+
+@pytest.mark.parametrize("least", [120, 256])
+def test_shared_passages(spark, least):
+    rng = random.Random(least)
+    rows = [(i, prose(rng, rng.randint(5, 120))) for i in range(60)]
+    for i, size in enumerate([least // 2, least - 57, least, least + 1, least + 40, 3 * least]):
+        passage = prose(rng, 2 * least)[:size]
+        rows += [(100 + 10 * i + k, prose(rng, rng.randint(0, 60)) + f" {k}" + passage + f"{k} " + prose(rng, rng.randint(0, 60))) for k in range(3)]
+    rows += [(300, None), (301, ""), (302, "ab" * least), (None, rows[0][1]), rows[1], rows[1]]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, _key string, shared_bytes int")
+    found = suffix_dedup.removal_digests(docs, passage=least).collect()
+    assert len(found) == len(rows)
+    for n, sure in ((least, True), (least - 56, False)):  # a string of ``least`` bytes is found, one below the sample never
+        repeated = {i for (i, _), gone in zip(rows, repeated_bytes([t for _, t in rows], n)) if any(gone)}
+        flagged = {r["doc_id"] for r in found if r["n_shared_bytes"] > 0}
+        assert repeated <= flagged if sure else flagged <= repeated
+    assert {r["n_bytes"] for r in found if r["n_shared_bytes"] > r["n_bytes"]} == set()
+    assert suffix_dedup.removal_digests(docs.limit(0), passage=least).collect() == []
+
+
 def test_repeated_byte_strings_with_many_alignments(spark):
     rng = random.Random(3)
     base = prose(rng, 300)
