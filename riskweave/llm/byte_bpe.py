@@ -32,16 +32,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from riskweave.llm.common import process_cache
+from riskweave.llm.common import byte_blocks, process_cache
 
 LOOK = 2  # "'re" is decided two characters past its quote; white space by one
 LEAF_CHARS = 16384
 LEAF_BYTES = 48
 SHORT = 64
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 #: Unicode's White_Space
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-CACHE = 500_000
+CACHE = 300_000
 
 
 def compiled(pattern: str) -> re.Pattern:
@@ -73,6 +73,7 @@ class ByteBpe:
         self.pattern = compiled(pattern)
         self._cache: dict[str, tuple[int, ...]] = {}
         self._size = len(ranks) + 1
+        self._numbers = list(range(max(ranks.values(), default=0) + 1))
         pairs = [
             (ranks[t[:i]] * self._size + ranks[t[i:]], r)
             for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
@@ -143,6 +144,7 @@ class ByteBpe:
     def _merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """As :meth:`_merge` for many short pieces at once: each round merges one pair of each piece."""
         out: list[tuple[int, ...]] = [()] * len(pieces)
+        number = self._numbers.__getitem__  # one object for a token, however many kept pieces hold it
         which = np.array([i for i, p in enumerate(pieces) if p], dtype=np.int64)
         sizes = np.array([len(pieces[i]) for i in which], dtype=np.int64)
         ids = self._single[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
@@ -157,7 +159,7 @@ class ByteBpe:
             if done.any():
                 flat, cut = ids.tolist(), starts.tolist() + [len(ids)]
                 for i in np.flatnonzero(done):
-                    out[which[i]] = tuple(flat[cut[i] : cut[i + 1]])
+                    out[which[i]] = tuple(map(number, flat[cut[i] : cut[i + 1]]))
                 keep = np.repeat(~done, sizes)
                 ids, rank, which, sizes, low = ids[keep], rank[keep], which[~done], sizes[~done], low[~done]
                 starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
@@ -318,9 +320,9 @@ def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            kept, ids, sizes, same = batch.num_columns - 1, [], [], []
+        for rows, _, _ in byte_blocks(batches, "__text", BATCH_CHARS):
+            texts = rows.column(rows.num_columns - 1).to_pylist()
+            kept, ids, sizes, same = rows.num_columns - 1, [], [], []
             for text, own in zip(texts, bpe.encode_batch(texts)):
                 ids.append(np.array(own, dtype=np.int32))
                 sizes.append(len(own))
@@ -328,7 +330,8 @@ def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32())
             )
-            columns = [batch.column(i) for i in range(kept)] + [pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())]
+            columns = [rows.column(i) for i in range(kept)] + [pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            pa.default_memory_pool().release_unused()
 
     return docs.select(*keep, docs[text_col].cast("string").alias("__text")).mapInArrow(run, schema)
