@@ -147,9 +147,27 @@ def _(spark, sf):
     return L.latest_run(runs, "p3_", F.col("invalid") == 0)
 
 
-@query("a10_source_inventory")
+_FILES = """files AS (SELECT event_type AS file, CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM events GROUP BY 1)"""
+
+
+def _sized_files(spark, sf):
+    """One text file per event type with a line per event, so that every size is known."""
+    path = work_path(spark, "sized")
+    events = A.table(spark, sf, "events").select("event_type", F.col("event_id").cast("string").alias("value"))
+    events.repartition("event_type").write.option("lineSep", "\n").partitionBy("event_type").text(path)
+    return path
+
+
+@query("a10_source_inventory", f"WITH {_FILES} SELECT file, bytes, printf('%.2f', bytes / 1024 / 1024) AS mb FROM files")
+def _(spark, sf):
+    found = R.file_list(spark, _sized_files(spark, sf), "*.txt")
+    return found.select(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("file"), "bytes", "mb")
+
+
+@query("q14_forbidden_file_scan", f"""WITH {_FILES} SELECT count(*) AS file_count, count(*) FILTER (bytes > 0.009 * 1024 * 1024) AS bad_file_count,
+  CASE WHEN count(*) FILTER (bytes > 0.009 * 1024 * 1024) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM files""")
 def _(spark, sf):
-    return R.source_inventory(spark, sf, "*.parquet")
+    return R.forbidden_files(R.source_inventory(spark, _sized_files(spark, sf), "*.txt"), max_mb=0.009)
 
 
 @query("a10_check_header", """SELECT event_type AS file,

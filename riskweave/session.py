@@ -62,6 +62,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def child_paths(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, one level deep."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return [f.getPath().toString() for f in found]
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the work folder and read back: computed once, lineage cut."""
     path = work_path(df.sparkSession, label)

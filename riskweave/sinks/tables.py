@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskweave.functions.columns import tsv_cell
 from riskweave.operators.profiling import table_counts
+from riskweave.session import child_paths, remove_path
 
 
 def write_layer(df: DataFrame, root: str, name: str, run_id: str, csv: bool = False,
@@ -42,22 +46,57 @@ def publish_tables(
     spark: SparkSession, tables: dict[str, DataFrame], database: str | None = None,
     fmt: str = "parquet", expected: dict[str, int] | None = None, location: str | None = None,
 ) -> DataFrame:
-    """Drop and recreate each table, then report (table, count[, expected, status]).
+    """Replace each table, then report (table, count[, expected, status]).
 
-    ``location`` is a root folder for the files; by default the catalog decides.
+    The rows of a table are written whole to a new folder first; then one catalog change points the
+    table there.  Readers meet the old rows or the new ones, and a write that fails changes nothing.
+    ``location`` is a root folder for the files; by default a folder of the warehouse.
     """
     names = {n: f"{database}.{n}" if database else n for n in tables}
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    root = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/published"
     for name, df in tables.items():
-        spark.sql(f"DROP TABLE IF EXISTS {names[name]}")
-        writer = df.write.format(fmt).mode("overwrite")
-        if location:
-            writer = writer.option("path", f"{location}/{name}")
-        writer.saveAsTable(names[name])
+        folder = f"{root}/{names[name]}"
+        version = f"{folder}/version={uuid.uuid4().hex}"
+        df.write.format(fmt).save(version)
+        former = swap_location(spark, names[name], version, fmt)
+        # readers that began before the change still have the former files
+        for old in child_paths(spark, folder):
+            if not _same_place(old, version) and not (former and _same_place(old, former)):
+                remove_path(spark, old)
     return table_counts({n: spark.table(full) for n, full in names.items()}, expected)
 
 
+def _same_place(a: str, b: str) -> bool:
+    return urlparse(a).path.rstrip("/") == urlparse(b).path.rstrip("/")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def swap_location(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> str | None:
+    """Point a table at the files under ``path``; returns the folder it pointed at, None for a new table.
+
+    With the columns of before this is one catalog change.  A table whose columns changed is created
+    anew over files that are already there.
+    """
+    create = f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'"
+    if not spark.catalog.tableExists(name):
+        spark.sql(create)
+        return None
+    former = table_location(spark, name)
+    if spark.table(name).dtypes == spark.read.format(fmt).load(path).dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(create)
+    return former
+
+
 def olap_load_accounts(ads: DataFrame, path: str) -> None:
     """Replace the display accounts: month partitions, sorted by account and score."""
     (

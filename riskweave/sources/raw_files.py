@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from riskweave import constants as K, schemas as S
 from riskweave.functions.columns import strip
 from riskweave.session import staged
 
+# the function that opens files travels inside the task
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CORRUPT = "_corrupt"
 _FILE, _BLOCK, _SEQ = "_file", "_block", "_seq"
 MAX_BROADCAST_SPLITS = 100_000
@@ -135,26 +145,66 @@ def read_patterns(spark: SparkSession, path: str) -> DataFrame:
 
 def source_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(file, bytes, mb) of every file below ``path``; contents are never read."""
+    return file_list(spark, path, glob).select("file", "bytes", "mb")
+
+
+def file_list(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, file, bytes, mb) of every file below ``path``, from the listing alone."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path).select("path", F.col("length").alias("bytes"))
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        "bytes",
+        "path", F.element_at(F.split("path", "/"), -1).alias("file"), "bytes",
         F.format_string("%.2f", F.col("bytes") / 1024 / 1024).alias("mb"),
     )
 
 
+# fixed values: file systems that Arrow opens in a task, by the scheme Spark knows them by
+_ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
+
+
+def leading_bytes(files: DataFrame, size: int) -> DataFrame:
+    """(path, head): the first ``size`` bytes of every file, however long it is; tasks read them."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = []
+            for path in batch.column("path").to_pylist():
+                scheme, _, rest = path.partition(":")
+                place = "/" + rest.lstrip("/") if scheme == "file" else "//" + rest.lstrip("/")
+                uri = f"file://{quote(place)}" if scheme == "file" else f"{_ARROW_SCHEMES[scheme]}:{place}"
+                store, name = FileSystem.from_uri(uri)
+                with store.open_input_file(name) as stream:
+                    heads.append(stream.read(size))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(heads, pa.binary())], ["path", "head"])
+
+    return files.select("path").mapInArrow(read, "path string, head binary")
+
+
 def check_header(spark: SparkSession, path: str, expected: list[str] | None) -> DataFrame:
     """(path, status) of every file: pass, fail, or not_applicable when nothing is expected.
 
-    A file without a line fails.
+    A file without a line fails.  Only as many bytes of a file are read as the expected line can have;
+    on a store that tasks cannot open themselves Spark reads the lines.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    files = reader.format("binaryFile").load(path).select("path")
+    files = file_list(spark, path).select("path")
     if expected is None:
         return files.withColumn("status", F.lit("not_applicable"))
+    wanted = ",".join(expected).encode()
+    schemes = {r[0] for r in files.select(F.substring_index("path", ":", 1)).distinct().collect()}
+    if schemes <= set(_ARROW_SCHEMES):
+        mark, head = b"\xef\xbb\xbf", F.col("head")
+        found = leading_bytes(files, len(mark) + len(wanted) + 1)
+        same = [
+            F.startswith(head, F.lit(start + wanted)) & (
+                (F.length(head) == len(start + wanted))
+                | F.substring(head, len(start + wanted) + 1, 1).isin(F.lit(b"\n"), F.lit(b"\r"))
+            )
+            for start in (b"", mark)
+        ]
+        line = F.length(head) > 0
+        return found.select("path", F.when(line & (same[0] | same[1]), "pass").otherwise("fail").alias("status"))
     # the first line of a file sits in the split that starts at byte 0
     first = (
         spark.read.option("recursiveFileLookup", True).text(path)
@@ -164,14 +214,14 @@ def check_header(spark: SparkSession, path: str, expected: list[str] | None) ->
         .groupBy("path").agg(F.min_by("value", "_i").alias("value"))
     )
     fields = F.split(F.regexp_replace(F.col("value"), "^\ufeff|\r$", ""), ",")
-    same = fields == F.array(*[F.lit(name) for name in expected])
+    same_line = fields == F.array(*[F.lit(name) for name in expected])
     return files.join(first, "path", "left").select(
-        "path", F.when(F.coalesce(same, F.lit(False)), "pass").otherwise("fail").alias("status"),
+        "path", F.when(F.coalesce(same_line, F.lit(False)), "pass").otherwise("fail").alias("status"),
     )
 
 
 def forbidden_files(
-    inventory: DataFrame, max_mb: int = 5, extensions: tuple[str, ...] = ("parquet",),
+    inventory: DataFrame, max_mb: float = 5, extensions: tuple[str, ...] = ("parquet",),
     name_pattern: str = K.RAW_FILE_PATTERN,
 ) -> DataFrame:
     """Count files that are too big, look like raw inputs or have a barred extension."""
