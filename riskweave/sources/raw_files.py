@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -153,8 +154,12 @@ def file_list(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", F.col("length").alias("bytes"))
-    return files.select(
+    found = reader.load(path)
+    # the scan leaves empty files out; the listing that planned it has them
+    names = [re.sub("^file:/+", "file:/", unquote(name)) for name in found.inputFiles()]
+    listed = spark.createDataFrame([(name,) for name in names], "path string")
+    files = listed.join(found.select("path", "length"), "path", "left")
+    return files.withColumn("bytes", F.coalesce("length", F.lit(0).cast("long"))).select(
         "path", F.element_at(F.split("path", "/"), -1).alias("file"), "bytes",
         F.format_string("%.2f", F.col("bytes") / 1024 / 1024).alias("mb"),
     )
