@@ -53,6 +53,7 @@ ANOMALY_CONTAMINATION = 0.03
 FEATURE_SEED = 20260609
 TIER_SEED = 20260611
 ANOMALY_SEED = 20260613
+BOOTSTRAP_SEED = 20260615
 PARITY_TOLERANCE = 1e-6
 
 FEATURE_COLUMNS = [

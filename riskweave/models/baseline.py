@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave import constants as K
+from riskweave.models.balanced_forest import Forest, fit_balanced_forest, score_balanced_forest
 from riskweave.operators.metrics import binary_metrics
 from riskweave.operators.ranking import exact_quantile
 from riskweave.operators.sampling import use_or_make_split
@@ -93,6 +94,37 @@ def forest_stages(seed: int, trees: int = 80, depth: int = 12, min_leaf: int = 2
     ]
 
 
+def forest_inputs(train: DataFrame) -> tuple[PipelineModel, int]:
+    """Encoder of numbers and one-hot texts for the forest with balanced samples, and its number of inputs."""
+    stages, _ = _encoder_stages(scale=False)
+    model = Pipeline(stages=stages).fit(train)
+    return model, len(K.NUMERIC_FEATURES) + sum(len(labels) for labels in model.stages[0].labelsArray)
+
+
+def encoded_rows(encoder: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with their inputs as ``x`` and the label as ``y``."""
+    out = encoder.transform(rows)
+    return out.select(*rows.columns, vector_to_array("features").alias("x"), F.col(LABEL).cast("int").alias("y"))
+
+
+def train_balanced_subsample(
+    features: DataFrame, seed: int = K.BOOTSTRAP_SEED, trees: int = 80, depth: int = 12, min_leaf: int = 20,
+) -> tuple[Forest, DataFrame, list[str]]:
+    """The forest with class weights per bootstrap sample; returns it, the scored test rows and its input names."""
+    split, _ = use_or_make_split(features)
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    fill = impute_values(train)
+    train, test = prepare(train, fill), prepare(test, fill)
+    encoder, size = forest_inputs(train)
+    rows = encoded_rows(encoder, train)
+    forest = fit_balanced_forest(rows, size, trees, depth, min_leaf, seed=seed, id_col="transaction_id")
+    scored = score_balanced_forest(encoded_rows(encoder, test), forest, depth)
+    names = [*K.NUMERIC_FEATURES]
+    for column, labels in zip(K.CATEGORICAL_FEATURES, encoder.stages[0].labelsArray):
+        names += [f"{column}_{label}" for label in labels]
+    return forest, scored, names
+
+
 def train_baselines(
     features: DataFrame, seed: int = K.FEATURE_SEED, trees: int = 80, depth: int = 12,
     models: tuple[str, ...] = ("logistic_regression_balanced", "random_forest_balanced"),

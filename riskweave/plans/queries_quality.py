@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskweave import constants as K
 from riskweave.functions import columns as C
-from riskweave.models import baseline as B, isolation as ISO
+from riskweave.models import balanced_forest as BF, baseline as B, isolation as ISO
 from riskweave.operators import (
     detail as D, features as FE, joins as J, marts as M, metrics as ME, profiling as P,
     quality as QL, ranking as R, serving as SV,
@@ -289,6 +289,39 @@ def _(spark, sf):
     return B.evaluate(fitted, test)
 
 
+_DRAWN = f"""draws AS (
+  SELECT is_laundering AS y, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) % {BF.PRIME} AS a, CAST(concat('0x', substr(h, 9, 8)) AS BIGINT) % {BF.PRIME} AS b
+  FROM (SELECT is_laundering, {Q.hashed(K.BOOTSTRAP_SEED)} AS h FROM feat WHERE split = 'train')),
+sampled AS (
+  SELECT tree, y, len(list_filter({BF.poisson_bounds()}, lambda z: z <= u)) AS k
+  FROM (SELECT y, t AS tree, (a + (t + 1) * b) % {BF.PRIME} AS u FROM draws, (SELECT unnest(range(12)) AS t))),
+boot AS (
+  SELECT tree, count(*) FILTER (k > 0) AS sample_rows, CAST(coalesce(sum(k) FILTER (y = 0), 0) AS BIGINT) AS draws_0,
+    CAST(coalesce(sum(k) FILTER (y = 1), 0) AS BIGINT) AS draws_1 FROM sampled GROUP BY 1)"""
+
+
+def _subsample_forest(spark, sf, trees=12, depth=6):
+    return B.train_balanced_subsample(I.stored(I.all_features(spark, sf), "features"), trees=trees, depth=depth)
+
+
+# the rows and draws in the leaves of every tree add up to its bootstrap sample, and its weights balance that sample
+@query("m04_bootstrap_weights", f"""WITH {Q.ALL_FEATURES}, {_DRAWN} SELECT CAST(tree AS INTEGER) AS tree, sample_rows, draws_0, draws_1,
+  round((draws_0 + draws_1) / greatest(2 * draws_0, 1), 9) AS weight_0, round((draws_0 + draws_1) / greatest(2 * draws_1, 1), 9) AS weight_1 FROM boot""")
+def _(spark, sf):
+    forest, _scored, _names = _subsample_forest(spark, sf)
+    nodes = spark.createDataFrame(forest.nodes())
+    return nodes.filter("feature < 0").groupBy(F.col("tree").cast("int").alias("tree")).agg(
+        F.sum("rows").alias("sample_rows"), F.sum("times_0").alias("draws_0"), F.sum("times_1").alias("draws_1"),
+        F.round(F.max("weight_0"), 9).alias("weight_0"), F.round(F.max("weight_1"), 9).alias("weight_1"),
+    )
+
+
+@query("m04_rf_balanced_subsample")
+def _(spark, sf):
+    _forest, scored, _names = _subsample_forest(spark, sf, trees=20, depth=8)
+    return B.binary_metrics(scored, "random_forest_balanced_subsample", B.LABEL)
+
+
 @query("m07_importance")
 def _(spark, sf):
     name = "random_forest_balanced"
