@@ -255,8 +255,8 @@ def _(spark, sf):
     TB.write_layer(M.payment_kpi(A.detail(spark, sf)), root, "kpi", I.RUN, csv=True)
     return L.read_layer_csv(
         spark, f"{root}/kpi_csv/run_id={I.RUN}",
-        S._schema("payment_format:s transaction_count:l laundering_count:l laundering_rate:d "
-                  "total_amount_paid:d avg_amount_paid:d max_amount_paid:d"),
+        "payment_format string, transaction_count long, laundering_count long, laundering_rate double, "
+        "total_amount_paid double, avg_amount_paid double, max_amount_paid double",
         ["payment_format", "transaction_count", "laundering_count"],
     )
 
@@ -267,7 +267,7 @@ def _(spark, sf):
     path = work_path(spark, "metrics")
     wide = A.detail(spark, sf).agg(F.count("*").alias("rows"), F.sum("is_laundering").alias("positives"))
     TB.write_metrics(P.metric_rows(wide), path, ["metric", "value", "detail"])
-    schema = S._schema("metric:s value:s detail:s")
+    schema = "metric string, value string, detail string"
     return spark.read.schema(schema).option("sep", "\t").option("header", True).csv(path).fillna("")
 
 

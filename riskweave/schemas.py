@@ -4,54 +4,149 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- fixed values: columns, their order and types -----------------------------------------
 
-def _schema(spec: str) -> T.StructType:
-    """Build a schema from ``name:type`` words; types are s, i, l, d, ts, dec."""
-    kinds = {
-        "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(),
-        "ts": T.TimestampType(), "dec": T.DecimalType(20, 2),
-    }
-    fields = (word.split(":") for word in spec.split())
-    return T.StructType([T.StructField(name, kinds[kind], True) for name, kind in fields])
+ODS_COLUMNS = [
+    "timestamp",
+    "from_bank",
+    "from_account",
+    "to_bank",
+    "to_account",
+    "amount_received",
+    "receiving_currency",
+    "amount_paid",
+    "payment_currency",
+    "payment_format",
+    "is_laundering",
+]
+ACCOUNT_COLUMNS = [
+    "bank_name",
+    "bank_id",
+    "account_number",
+    "entity_id",
+    "entity_name",
+]
 
-
-ODS_COLUMNS = (
-    "timestamp from_bank from_account to_bank to_account amount_received receiving_currency "
-    "amount_paid payment_currency payment_format is_laundering"
-).split()
-ACCOUNT_COLUMNS = "bank_name bank_id account_number entity_id entity_name".split()
-
-RAW_TRANSACTIONS = _schema(" ".join(f"{c}:s" for c in ODS_COLUMNS))
-RAW_ACCOUNTS = _schema(" ".join(f"{c}:s" for c in ACCOUNT_COLUMNS))
-
-DWD_TRANSACTIONS = _schema(
-    "transaction_id:s timestamp:s transaction_date:s transaction_hour:i transaction_minute:s "
-    "from_bank:s from_account:s to_bank:s to_account:s amount_received:d receiving_currency:s "
-    "amount_paid:d payment_currency:s payment_format:s is_laundering:i is_cross_bank:i "
-    "is_cross_currency:i"
-)
-REPLAY_EVENT = _schema(
-    "run_id:s transaction_id:s tx_timestamp:s transaction_minute:s from_bank:s from_account:s "
-    "to_bank:s to_account:s amount_paid:d payment_currency:s payment_format:s is_laundering:i "
-    "is_cross_bank:i is_cross_currency:i"
-)
-SCORING_INPUT = _schema(
-    "run_id:s contract_version:s transaction_id:s tx_timestamp:s transaction_date:s "
-    "transaction_hour:i from_account:s to_account:s amount_paid:d log_amount_paid:d "
-    "payment_currency:s payment_format:s is_cross_bank:i is_cross_currency:i hour_sin:d "
-    "hour_cos:d from_total_event_count:l from_debit_count:l from_credit_count:l "
-    "from_out_amount:d from_in_amount:d from_max_out_amount:d from_counterparty_count:l "
-    "from_cross_bank_event_count:l from_cross_currency_event_count:l from_out_in_ratio:d "
-    "from_debit_credit_ratio:d observed_is_laundering:i split:s feature_snapshot_version:s"
-)
-SCORING_EVENT = _schema(
-    "run_id:s contract_version:s transaction_id:s event_time:s event_account:s "
-    "counterparty_account:s amount_paid:d payment_currency:s payment_format:s "
-    "feature_snapshot_version:s risk_score:i risk_level:s risk_reasons:s rule_hits:s scored_at:s"
-)
-STATE_EVENT = _schema(
-    "run_id:s contract_version:s transaction_id:s event_time:s event_account:s "
-    "counterparty_account:s amount_paid:d payment_currency:s payment_format:s "
-    "feature_snapshot_version:s risk_score:i risk_level:s risk_reasons:s rule_hits:s "
-    "state_operation:s state_store_version:s scored_at:s"
-)
+RAW_TRANSACTIONS = T.StructType([
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("from_bank", T.StringType()),
+    T.StructField("from_account", T.StringType()),
+    T.StructField("to_bank", T.StringType()),
+    T.StructField("to_account", T.StringType()),
+    T.StructField("amount_received", T.StringType()),
+    T.StructField("receiving_currency", T.StringType()),
+    T.StructField("amount_paid", T.StringType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("is_laundering", T.StringType()),
+])
+RAW_ACCOUNTS = T.StructType([
+    T.StructField("bank_name", T.StringType()),
+    T.StructField("bank_id", T.StringType()),
+    T.StructField("account_number", T.StringType()),
+    T.StructField("entity_id", T.StringType()),
+    T.StructField("entity_name", T.StringType()),
+])
+DWD_TRANSACTIONS = T.StructType([
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("transaction_date", T.StringType()),
+    T.StructField("transaction_hour", T.IntegerType()),
+    T.StructField("transaction_minute", T.StringType()),
+    T.StructField("from_bank", T.StringType()),
+    T.StructField("from_account", T.StringType()),
+    T.StructField("to_bank", T.StringType()),
+    T.StructField("to_account", T.StringType()),
+    T.StructField("amount_received", T.DoubleType()),
+    T.StructField("receiving_currency", T.StringType()),
+    T.StructField("amount_paid", T.DoubleType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("is_laundering", T.IntegerType()),
+    T.StructField("is_cross_bank", T.IntegerType()),
+    T.StructField("is_cross_currency", T.IntegerType()),
+])
+REPLAY_EVENT = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("tx_timestamp", T.StringType()),
+    T.StructField("transaction_minute", T.StringType()),
+    T.StructField("from_bank", T.StringType()),
+    T.StructField("from_account", T.StringType()),
+    T.StructField("to_bank", T.StringType()),
+    T.StructField("to_account", T.StringType()),
+    T.StructField("amount_paid", T.DoubleType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("is_laundering", T.IntegerType()),
+    T.StructField("is_cross_bank", T.IntegerType()),
+    T.StructField("is_cross_currency", T.IntegerType()),
+])
+SCORING_INPUT = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("contract_version", T.StringType()),
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("tx_timestamp", T.StringType()),
+    T.StructField("transaction_date", T.StringType()),
+    T.StructField("transaction_hour", T.IntegerType()),
+    T.StructField("from_account", T.StringType()),
+    T.StructField("to_account", T.StringType()),
+    T.StructField("amount_paid", T.DoubleType()),
+    T.StructField("log_amount_paid", T.DoubleType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("is_cross_bank", T.IntegerType()),
+    T.StructField("is_cross_currency", T.IntegerType()),
+    T.StructField("hour_sin", T.DoubleType()),
+    T.StructField("hour_cos", T.DoubleType()),
+    T.StructField("from_total_event_count", T.LongType()),
+    T.StructField("from_debit_count", T.LongType()),
+    T.StructField("from_credit_count", T.LongType()),
+    T.StructField("from_out_amount", T.DoubleType()),
+    T.StructField("from_in_amount", T.DoubleType()),
+    T.StructField("from_max_out_amount", T.DoubleType()),
+    T.StructField("from_counterparty_count", T.LongType()),
+    T.StructField("from_cross_bank_event_count", T.LongType()),
+    T.StructField("from_cross_currency_event_count", T.LongType()),
+    T.StructField("from_out_in_ratio", T.DoubleType()),
+    T.StructField("from_debit_credit_ratio", T.DoubleType()),
+    T.StructField("observed_is_laundering", T.IntegerType()),
+    T.StructField("split", T.StringType()),
+    T.StructField("feature_snapshot_version", T.StringType()),
+])
+SCORING_EVENT = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("contract_version", T.StringType()),
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("event_time", T.StringType()),
+    T.StructField("event_account", T.StringType()),
+    T.StructField("counterparty_account", T.StringType()),
+    T.StructField("amount_paid", T.DoubleType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("feature_snapshot_version", T.StringType()),
+    T.StructField("risk_score", T.IntegerType()),
+    T.StructField("risk_level", T.StringType()),
+    T.StructField("risk_reasons", T.StringType()),
+    T.StructField("rule_hits", T.StringType()),
+    T.StructField("scored_at", T.StringType()),
+])
+STATE_EVENT = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("contract_version", T.StringType()),
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("event_time", T.StringType()),
+    T.StructField("event_account", T.StringType()),
+    T.StructField("counterparty_account", T.StringType()),
+    T.StructField("amount_paid", T.DoubleType()),
+    T.StructField("payment_currency", T.StringType()),
+    T.StructField("payment_format", T.StringType()),
+    T.StructField("feature_snapshot_version", T.StringType()),
+    T.StructField("risk_score", T.IntegerType()),
+    T.StructField("risk_level", T.StringType()),
+    T.StructField("risk_reasons", T.StringType()),
+    T.StructField("rule_hits", T.StringType()),
+    T.StructField("state_operation", T.StringType()),
+    T.StructField("state_store_version", T.StringType()),
+    T.StructField("scored_at", T.StringType()),
+])

@@ -12,7 +12,7 @@ def read_dwd(spark: SparkSession, path: str, columns: list[str] | None = None) -
 
 
 def read_layer_csv(
-    spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, columns: list[str] | None = None
 ) -> DataFrame:
     df = spark.read.schema(schema).option("header", True).csv(path)
     return df.select(*columns) if columns else df
