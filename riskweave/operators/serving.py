@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave import constants as K
 from riskweave.functions.columns import money_sum, money_sum_decimal, rate, risk_bucket, strip
+from riskweave.operators.ranking import global_row_number
 
 
 def _bigint(amount: Column) -> Column:
@@ -182,17 +183,13 @@ def tail_sample(events: DataFrame, order: list[str], n: int = 50) -> DataFrame:
 
 
 def query_results_export(results: dict[str, tuple[DataFrame, list[Column]]]) -> DataFrame:
-    """Several small result tables stacked as (query_name, row_number, row_json).
+    """Result tables of any size stacked as (query_name, row_number, row_json).
 
-    Each result is a top-k or a rollup to a handful of groups, so its numbering window is
-    over a result page, never over detail rows.
+    Rows are numbered in range partitions, so no result passes through one task.
     """
-    from pyspark.sql import Window
-
     parts = [
-        df.select(
-            F.lit(name).alias("query_name"),
-            F.row_number().over(Window.orderBy(*order)).alias("row_number"),
+        global_row_number(df, order).select(
+            F.lit(name).alias("query_name"), "row_number",
             F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row_json"),
         )
         for name, (df, order) in results.items()

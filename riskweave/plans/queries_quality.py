@@ -283,6 +283,19 @@ def _(spark, sf):
     return B.evaluate(fitted, test)
 
 
+@query("m03_logreg_test_rows", f"""WITH {Q.ALL_FEATURES} SELECT count(*) FILTER (is_laundering = 1) AS positive_rows, count(*) FILTER (is_laundering = 0) AS negative_rows,
+  2 AS probabilities FROM feat WHERE split = 'test'""")
+def _(spark, sf):
+    name = "logistic_regression_balanced"
+    (fitted, test, _fill, _how), _rows = _fitted(spark, sf, name)
+    scored = B.predict(fitted[name], test)
+    wrong = F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False)) | ~F.col("prediction").eqNullSafe((F.col("score") > 0.5).cast("int")))
+    return scored.agg(
+        F.count_if(F.col(B.LABEL) == 1).alias("positive_rows"), F.count_if(F.col(B.LABEL) == 0).alias("negative_rows"),
+        F.when(wrong == 0, 2).otherwise(0).alias("probabilities"),
+    )
+
+
 @query("m04_rf_balanced")
 def _(spark, sf):
     (fitted, test, _fill, _how), _rows = _fitted(spark, sf, "random_forest_balanced")
@@ -329,6 +342,17 @@ def _(spark, sf):
     return SV.top_features(B.importance(name, fitted[name], rows), 50)
 
 
+# every number and every text of the training rows is an input, and their shares add up
+@query("m07_importance_inputs", f"""WITH {Q.ALL_FEATURES} SELECT feature, 1.0 AS total_share FROM (
+  SELECT unnest([{", ".join(f"'{c}'" for c in K.NUMERIC_FEATURES)}]) AS feature
+  UNION ALL SELECT DISTINCT concat('payment_currency_', payment_currency) FROM feat WHERE split = 'train'
+  UNION ALL SELECT DISTINCT concat('payment_format_', payment_format) FROM feat WHERE split = 'train')""")
+def _(spark, sf):
+    forest, _scored, names = _subsample_forest(spark, sf)
+    shares = spark.createDataFrame(list(zip(names, forest.importance().tolist())), "feature string, share double")
+    return shares.select("feature", F.lit(shares.agg(F.round(F.sum("share"), 9)).first()[0]).alias("total_share"))
+
+
 def _scored_events(spark, sf):
     return A.table(spark, sf, "events").select(
         (F.col("event_type") == "error").cast("int").alias("label"),
@@ -435,3 +459,10 @@ def _(spark, sf):
 def _(spark, sf):
     rows = I.stored(I.all_features(spark, sf), "features")
     return ISO.isolation_forest(rows).select("transaction_id", "anomaly_label", "anomaly_score")
+
+
+# scores without ties: as many rows lie above the interpolated cut as the share says
+@query("m09_anomaly_share", f"WITH {Q.TX} SELECT count(*) AS rows, count(*) - 1 - CAST(floor(0.97 * (count(*) - 1)) AS BIGINT) AS anomaly_rows FROM tx")
+def _(spark, sf):
+    rows = I.stored(I.all_features(spark, sf), "features")
+    return ISO.isolation_forest(rows).agg(F.count("*").alias("rows"), F.sum("anomaly_label").alias("anomaly_rows"))
