@@ -64,15 +64,22 @@ def host_rule(host: Column, path: Column, rules: Sequence[HostRule]) -> Column:
     return F.array_max(F.array(*fitting)) if fitting else F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
 
 
+def least_confidence(hits: Column, rows: Column, z: float = 1.96) -> Column:
+    """Lower end of the Wilson interval of a share of ``hits`` among ``rows``."""
+    share, spread = hits / rows, z * z / rows
+    return (share + spread / 2 - z * F.sqrt((share * (1 - share) + spread / 4) / rows)) / (1 + spread)
+
+
 def mine_rules(
     labelled: DataFrame, url_col: str = "url", bad_col: str = "bad",
-    min_support: float = 0.002, min_confidence: float = 0.6, max_items: int = 4, min_rows: int = 20,
+    min_support: float = 0.01, min_confidence: float = 0.6, certain: float = 0.5,
 ) -> DataFrame:
     """Block rules (rule_id, items, post, confidence, support) from rows with a URL and a 0/1 label.
 
     ``min_support`` is a share of the labelled rows, so the number of frequent combinations is
-    bounded however many rows there are; a combination also needs ``min_rows`` rows, as a handful
-    proves nothing.  An empty input gives no rule.
+    bounded however many rows there are.  A combination of any length counts if the lower end of the
+    95 % interval of its confidence (Wilson) also reaches ``certain``: many rows may prove what a
+    handful cannot, by the same rule for every number of rows.  An empty input gives no rule.
     """
     spark = labelled.sparkSession
     items = labelled.select(
@@ -85,12 +92,12 @@ def mine_rules(
         T.StructField("support", T.DoubleType()),
     ])
     rows = items.count()
-    if rows < min_rows:
+    if not rows:
         return spark.createDataFrame([], schema)
-    support = max(min_support, min_rows / rows)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.filter(
-        (F.size("antecedent") <= max_items) & F.array_contains("consequent", BAD)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    bad = F.round(F.col("support") * rows)
+    found = model.associationRules.filter(F.array_contains("consequent", BAD)).filter(
+        least_confidence(bad, F.round(bad / F.col("confidence"))) >= certain
     ).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     return _prune(found, single)

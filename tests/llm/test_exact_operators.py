@@ -223,6 +223,37 @@ def test_url_rules_are_mined_and_pruned(spark):
     assert url_rules.mine_rules(spark.createDataFrame([], "url string, bad int")).count() == 0
 
 
+@pytest.mark.parametrize("seed, support", [(1, 0.02), (2, 0.05), (3, 0.2)])
+def test_url_rules_equal_a_plain_miner(spark, seed, support):
+    """All combinations of tokens of any length are counted one by one; those with a shorter rule inside go."""
+    rng = random.Random(seed)
+    parts = ["a", "b", "c", "d", "e", "f"]
+    rows = []
+    for _ in range(120):
+        words = rng.sample(parts, rng.randint(0, 6))
+        bad = {"a", "b"} <= set(words) or {"c", "d", "e", "f"} <= set(words)
+        rows.append((f"http://h{rng.randint(1, 2)}.org/" + "/".join(words), int(bad if rng.random() < 0.95 else not bad)))
+    rows += [("nothing", 1)] * 5 + [rows[0]] * 3
+    tokens = [(frozenset([f"host:{u.split('/')[2].split('.')[0]}", "host:org"] + [f"path:{w}" for w in u.split("/")[3:] if w]), bad) for u, bad in rows if "://" in u]
+    counts: dict = {}
+    for own, bad in tokens:
+        for mask in range(1, 1 << len(own)):
+            some = frozenset(t for k, t in enumerate(sorted(own)) if mask >> k & 1)
+            n, hits = counts.get(some, (0, 0))
+            counts[some] = n + 1, hits + bad
+
+    def lower(hits, n, z=1.96):
+        p = hits / n
+        return (p + z * z / n / 2 - z * ((p * (1 - p) + z * z / n / 4) / n) ** 0.5) / (1 + z * z / n)
+
+    rules = {s for s, (n, hits) in counts.items() if hits >= support * len(tokens) and hits / n >= 0.6 and lower(hits, n) >= 0.5}
+    want = {s for s in rules if not any(t < s for t in rules)}
+    mined = url_rules.mine_rules(spark.createDataFrame(rows, "url string, bad int"), min_support=support).collect()
+    assert {frozenset(r["items"]) for r in mined} == want and len(mined) == len(want) > 0
+    single = {t: counts[frozenset([t])][0] for t in {t for s in want for t in s}}
+    assert all((single[r["post"]], r["post"]) == min((single[t], t) for t in r["items"]) for r in mined)
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame(benchmark_rows(), "item_id long, text string")
