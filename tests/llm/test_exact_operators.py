@@ -14,6 +14,7 @@ from helpers import SCHEMA, SPACED, odd_documents, prose, repeated_bytes, simila
 from pyspark.sql import functions as F
 
 from riskweave.llm import decontaminate, near_dedup, quality_rules, suffix_dedup, url_rules
+from riskweave.session import staged
 
 
 @pytest.fixture(scope="module")
@@ -190,6 +191,19 @@ def test_rule_order_does_not_change_verdicts(docs):
     assert {r.name for r in quality_rules.rule_order(counted, rules)} == {r.name for r in rules}
 
 
+def test_slow_rules_go_behind_fast_ones(spark, docs):
+    counted = staged(quality_rules.base_counts(docs), "counted")
+    slow = F.coalesce("_text", F.lit(""))
+    for _ in range(40):
+        slow = F.sha2(slow, 512)
+    fast, half = F.col("n_words") < 20, F.col("n_words") < 5
+    rules = [quality_rules.Rule("slow", (slow != "x") & fast), quality_rules.Rule("rare", half), quality_rules.Rule("fast", fast), quality_rules.Rule("never", F.lit(False))]
+    cost = quality_rules.rule_costs(counted, rules)
+    assert cost["slow"][0] == cost["fast"][0] > cost["rare"][0] > cost["never"][0] == 0 and cost["slow"][1] > 3 * cost["fast"][1]
+    ordered = [r.name for r in quality_rules.rule_order(counted, rules)]
+    assert ordered.index("fast") < ordered.index("slow") and ordered[-1] == "never"
+
+
 URLS = [
     None, "", "no scheme/en/", "http://", "https://A.Example.COM/en/x?q=1#f", "http://www.example.com/en/1", "http://example.com",
     "http://a.net/es/1", "http://net/fr/", "http://sub.www.example.com/en/x", "ftp://x.org?key=1", "http://EXAMPLE.com/EN/", "http://a.com#t://b",
