@@ -147,10 +147,7 @@ def sample_totals(rows: DataFrame, trees: int) -> DataFrame:
 
 def _histograms(encoded: DataFrame, size: int, trees: list[Tree], asked: dict, depth: int, bins: int) -> DataFrame:
     """(tree, node, cells): counts of rows and draws by feature and bin; ``asked`` gives (nodes, features) by tree."""
-    shared = encoded.sparkSession.sparkContext.broadcast((trees, asked))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, asked = shared.value
         sums = {t: np.zeros((len(nodes), f.shape[1], bins, 3), dtype=np.int64) for t, (nodes, f) in asked.items()}
         for batch in batches:
             code, y, a, b = _codes(batch, size)
@@ -276,13 +273,12 @@ def _split(tree: Tree, r, asked: tuple[np.ndarray, np.ndarray], min_leaf: int) -
 def score_balanced_forest(rows: DataFrame, forest: Forest, depth: int = 12) -> DataFrame:
     """``rows`` (with ``x``) plus ``score``, the mean weighted share of class 1 in the leaves, and ``prediction``.
 
-    The forest travels as a broadcast; its size is bounded by trees and depth.
+    The forest travels with the function, as Spark sends large ones once to an executor; its size is
+    bounded by trees and depth.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(forest)
-
     @F.pandas_udf("double")
     def share(x: pd.Series) -> pd.Series:
-        forest, values = shared.value, np.stack(x.to_numpy())
+        values = np.stack(x.to_numpy())
         code = np.stack([np.searchsorted(c, values[:, i]) for i, c in enumerate(forest.cuts)], axis=1)
         total = np.zeros(len(values))
         for tree in forest.trees:
