@@ -26,7 +26,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -34,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import co_located, id_text, process_cache, release_shuffles
+from riskweave.llm.common import byte_blocks, co_located, id_text, process_cache, release_shuffles
 from riskweave.session import staged
 
 ORDER = 5
@@ -43,7 +42,7 @@ BLANK = 1
 UNKNOWN = "und"
 BLOCK = 2_000_000
 PIECE = 1_000_000  # bytes of text whose n-grams are listed at once
-TEXT_BLOCK, GRAM_BLOCK = 32_000_000, 1_000_000  # bytes of text and distinct n-grams that end a block of texts
+TEXT_BLOCK, GRAM_BLOCK = 16_000_000, 700_000  # bytes of text and distinct n-grams that end a block of texts
 
 
 def _classes() -> np.ndarray:
@@ -95,7 +94,7 @@ def _batch_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def count_grams(labelled: DataFrame) -> DataFrame:
     """(lang, gram, n) over all rows of ``labelled`` (``_text``, ``lang``)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
         counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         size = 0
@@ -110,29 +109,32 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                 counts[lang] = own, n
             held.clear()
 
-        for batch in batches:
-            for lang, rows in batch.groupby("lang", sort=False):
-                for at in range(0, len(rows), 500):
-                    own = _batch_grams(rows["_text"].iloc[at : at + 500].tolist())[0]
-                    held.setdefault(lang, []).append(own)
-                    size += len(own)
-                    if size >= PIECE:
-                        settle()
-                        size = 0
-            if sum(len(x[0]) for x in counts.values()) >= BLOCK:
+        # a piece is a megabyte of short texts or one long text
+        for rows, _, _ in byte_blocks(batches, "_text", PIECE):
+            own, n = _batch_grams(rows.column("_text").to_pylist())
+            langs = rows.column("lang").dictionary_encode()
+            owner = np.repeat(langs.indices.to_numpy(zero_copy_only=False), n)
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                held.setdefault(lang, []).append(own[owner == k])
+            size += len(own)
+            if size >= PIECE:
                 settle()
                 size = 0
+            if sum(len(x[0]) for x in counts.values()) >= BLOCK:
                 yield from _frames(counts)
                 counts.clear()
         settle()
         yield from _frames(counts)
 
-    def _frames(counts: dict) -> Iterator[pd.DataFrame]:
+    def _frames(counts: dict) -> Iterator[pa.RecordBatch]:
         for lang, (own, n) in counts.items():
-            yield pd.DataFrame({"lang": lang, "gram": own, "n": n})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(own), dtype=np.int32))), pa.array(own, pa.int64()), pa.array(n, pa.int64())],
+                ["lang", "gram", "n"],
+            )
 
     return (
-        labelled.select("_text", "lang").mapInPandas(run, "lang string, gram long, n long")
+        labelled.select("_text", "lang").mapInArrow(run, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
 
