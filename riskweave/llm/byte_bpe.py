@@ -134,10 +134,6 @@ class ByteBpe:
             self._cache.clear()
         self._cache.update(zip(new, self._merge_many([p.encode("utf-8", "surrogatepass") for p in new])))
 
-    def forget(self) -> None:
-        """Give up the kept pieces."""
-        self._cache.clear()
-
     def _pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, or the table size where there is none."""
         keys = left * self._size + right
@@ -336,7 +332,8 @@ def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text
             )
             columns = [rows.column(i) for i in range(kept)] + [pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-        bpe.forget()  # the worker goes on with other work
+        del bpe
+        process_cache().pop((path, pattern), None)  # the worker goes on with other work
         pa.default_memory_pool().release_unused()
 
     return docs.select(*keep, docs[text_col].cast("string").alias("__text")).mapInArrow(run, schema)

@@ -42,7 +42,7 @@ BLANK = 1
 UNKNOWN = "und"
 BLOCK = 2_000_000
 PIECE = 1_000_000  # bytes of text whose n-grams are listed at once
-TEXT_BLOCK, GRAM_BLOCK = 16_000_000, 700_000  # bytes of text and distinct n-grams that end a block of texts
+TEXT_BLOCK, GRAM_BLOCK = 32_000_000, 1_000_000  # bytes of text and distinct n-grams that end a block of texts
 
 
 def _classes() -> np.ndarray:
@@ -320,7 +320,7 @@ def entropies(look: Callable[[np.ndarray], np.ndarray], languages: int, texts: l
     at = 0
     while at < len(texts):
         end, chars = at, 0
-        while end < len(texts) and (end == at or chars < BLOCK // 4):
+        while end < len(texts) and (end == at or chars < PIECE // 4):
             chars += len(texts[end] or "")
             end += 1
         own, n = _batch_grams(texts[at:end])
@@ -404,6 +404,8 @@ def _scored(
         order = np.argsort(known)
         known = known[order]
         scores = probabilities.column("p").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, languages)[order]
+        del order, probabilities
+        pa.default_memory_pool().release_unused()
         out = []
         for rows in packed.column("rows"):
             for part in pa.ipc.open_stream(rows.as_buffer()):
