@@ -14,8 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.session import work_path
+from riskweave.session import remove_path, work_path
 
+MADE: list[tuple[str, str]] = []  # name and folder of the bucketed tables of this driver
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -58,10 +59,20 @@ def co_located(rows: DataFrame, key: str, label: str) -> DataFrame:
     spark = rows.sparkSession
     name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.write.bucketBy(buckets, key).option("path", work_path(spark, label)).saveAsTable(name)
+    path = work_path(spark, label)
+    rows.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    MADE.append((name, path))
     return spark.table(name)
 
 
+def drop_tables(spark: SparkSession, since: int) -> None:
+    """Drop the tables that :func:`co_located` has made since :data:`MADE` had ``since`` entries; nothing reads them any more."""
+    for name, path in MADE[since:]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_path(spark, path)
+    del MADE[since:]
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps.
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import byte_blocks, co_located, id_text, process_cache, release_shuffles
+from riskweave.llm.common import MADE, byte_blocks, co_located, drop_tables, id_text, process_cache, release_shuffles
 from riskweave.session import staged
 
 ORDER = 5
@@ -537,7 +537,9 @@ def recognised(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     # names of the caller's columns cannot clash with those of the scores
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text, lang = (f"c{docs.columns.index(c)}" for c in (text_col, lang_col))
+    made = len(MADE)
     scored = staged(cross_entropies(renamed, model, text, renamed.columns), "scored-texts")
+    drop_tables(docs.sparkSession, made)  # the blocks of texts
     release_shuffles(docs.sparkSession)
     calibrate(model, scored.select(F.col(lang).alias("lang"), "_h", "_n"))
     return scored.filter(_accepts(model)).select(*renamed.columns).toDF(*docs.columns)
