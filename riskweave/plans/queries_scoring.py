@@ -196,12 +196,14 @@ def _message_log(spark, sf, files):
     return folder
 
 
-def _state_job(spark, sf, files_per_batch=None, files=6):
+def _state_job(spark, sf, stretches_per_batch, stretches=6):
     """The state job over the log, started twice: the second run takes over what arrived in between."""
-    folder, root, checkpoint = _message_log(spark, sf, files), work_path(spark, "state"), work_path(spark, "ck")
+    each = SK.segments(A.table(spark, sf, "events").count(), stretches)
+    folder = _message_log(spark, sf, stretches * each)
+    root, checkpoint = work_path(spark, "state"), work_path(spark, "ck")
 
     def mine():
-        raw = SJ.raw_stream(spark, "topic", folder, maxFilesPerTrigger=files_per_batch)
+        raw = SJ.raw_stream(spark, "topic", folder, maxFilesPerTrigger=stretches_per_batch * each)
         return raw.filter(L.decodable(F.trim("value")) & (F.get_json_object("value", "$.run_id") == I.RUN))
 
     queries = SJ.state_job(mine(), CT.STATE, root, checkpoint, SK.POSITION, stamp=I.stamp(), buckets=8)
@@ -217,7 +219,7 @@ def _state_job(spark, sf, files_per_batch=None, files=6):
   count(DISTINCT event_account) FILTER (errors = '') AS keys_written, 0 AS consistency_fail_count,
   CASE WHEN count(*) FILTER (errors <> '') = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM arrived""")
 def _(spark, sf):
-    root = _state_job(spark, sf, files_per_batch=2)
+    root = _state_job(spark, sf, stretches_per_batch=2)
     return ST.observed_summary(KV.read_batches(spark, f"{root}/metrics"), SJ.state_table(root, "durable").read(spark))
 
 
@@ -462,14 +464,15 @@ def _(spark, sf):
 
 @query("j10_resumed_replay", f"""WITH {Q.TX} SELECT transaction_id, amount_paid, payment_format FROM tx""")
 def _(spark, sf):
-    # a log in eight files, two a micro-batch: the first query is stopped behind two batches, the second goes on
+    # a log in eight stretches, two a micro-batch: the first query is stopped behind two batches, the second goes on
     folder, out, checkpoint = work_path(spark, "log"), work_path(spark, "drained"), work_path(spark, "ck")
     replay = D.to_replay(A.detail(spark, sf), I.RUN)
     number = F.substring("transaction_id", 4, 10).cast("long")
-    SK.write_topic(SK.messages_of(replay, "from_account", number), folder, files=8)
+    each = SK.segments(A.table(spark, sf, "events").count(), 8)
+    SK.write_topic(SK.messages_of(replay, "from_account", number), folder, files=8 * each)
 
     def drained():
-        events = SJ.stream_source(spark, "topic", folder, S.REPLAY_EVENT, maxFilesPerTrigger=2).drop(*SK.POSITION)
+        events = SJ.stream_source(spark, "topic", folder, S.REPLAY_EVENT, maxFilesPerTrigger=2 * each).drop(*SK.POSITION)
         return SJ.event_sink(events, "files", out, checkpoint)
 
     SK.run_batches(drained(), 2)
@@ -482,7 +485,7 @@ def _(spark, sf):
 SELECT event_account, arg_max(transaction_id, arrival) AS transaction_id, arg_max(risk_level, arrival) AS risk_level,
   count(*) AS valid_events FROM ok GROUP BY 1""")
 def _(spark, sf):
-    root = _state_job(spark, sf, files_per_batch=1)
+    root = _state_job(spark, sf, stretches_per_batch=1)
     durable = SJ.state_table(root, "durable").read(spark)
     valid = KV.read_batches(spark, f"{root}/events").groupBy("event_account").agg(
         F.count("*").alias("valid_events")
@@ -496,7 +499,7 @@ SELECT "key", e.t AS transaction_id, e.s AS risk_score FROM (
   SELECT concat('risk:latest:', event_account) AS "key",
     arg_max({{'t': transaction_id, 's': CASE WHEN event_id % 20 <> 10 THEN risk_score END}}, arrival) AS e FROM ok GROUP BY 1)""")
 def _(spark, sf):
-    root = _state_job(spark, sf, files_per_batch=3)
+    root = _state_job(spark, sf, stretches_per_batch=3)
     cached = SJ.state_table(root, "cache").read(spark)
     return cached.select(
         "key", F.get_json_object("value", "$.transaction_id").alias("transaction_id"),

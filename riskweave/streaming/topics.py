@@ -6,12 +6,14 @@ inside the message or the micro-batch that met it, says which of two messages ca
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 POSITION = ["partition", "offset"]
+SEGMENT_ROWS = 20_000  # messages of a file, some megabytes of text
 MESSAGE = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
@@ -35,6 +37,14 @@ def write_topic(messages: DataFrame, path: str, files: int = 1) -> None:
     rows.repartitionByRange(files, "offset").sortWithinPartitions("offset").write.mode("append").parquet(path)
 
 
+def segments(rows: int, stretches: int) -> int:
+    """Files for each of the ``stretches`` of a log of ``rows`` messages.
+
+    A file of a micro-batch is checked by one task, so files stay of one size and a longer stretch has more of them.
+    """
+    return max(1, math.ceil(rows / (stretches * SEGMENT_ROWS)))
+
+
 def topic_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """The messages of a log as a stream; ``files_per_batch`` limits the rate."""
     reader = spark.readStream.schema(MESSAGE)

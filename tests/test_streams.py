@@ -186,3 +186,28 @@ def test_search_index_keeps_the_last_scoring(spark, rows, tmp_path):
     put(("t1", "2024-06-01 09:59:59.9", 1), ("t2", "2024-06-01 10:00:00.25", 9), ("t2", "2024-06-01 10:00:00.25", 8))
     put(("t3", "bad", 4))
     assert {r["doc_id"]: r["risk_score"] for r in index.read(spark).collect()} == {"r:t1": 5, "r:t2": 9, "r:t3": 4}
+
+
+@pytest.mark.parametrize("name, batch_share", [("j06_latest_state_sink", 1), ("j06_state_in_cache", 3), ("j09_observed_summary", 2)])
+def test_larger_logs_have_more_files_not_larger_ones(spark, sf, monkeypatch, name, batch_share):
+    """Every file of the log holds about the same number of messages, and a micro-batch the same share of the log."""
+    from riskweave.plans.registry import QUERIES
+
+    class Enough(Exception):
+        pass
+
+    asked = {}
+
+    def stop(spark, kind, location, **options):
+        asked.update(options, location=location)
+        raise Enough
+
+    monkeypatch.setattr(SK, "SEGMENT_ROWS", 10, raising=False)
+    monkeypatch.setattr(SJ, "raw_stream", stop)
+    with pytest.raises(Enough):
+        QUERIES[name](spark, sf)
+    log = spark.read.parquet(asked["location"])
+    rows, sizes = log.count(), [r["count"] for r in log.groupBy(F.col("_metadata.file_path")).count().collect()]
+    files = SK.segments(A.table(spark, sf, "events").count(), 6) * 6
+    assert max(sizes) <= 30 and len(sizes) >= rows / 20
+    assert asked["maxFilesPerTrigger"] * 6 == batch_share * files >= 12
