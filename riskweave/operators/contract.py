@@ -39,18 +39,15 @@ def _json_kind(name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get("_v", f"$.{name}", "variant"))
 
 
-def _is_int(kind: Column) -> Column:
-    # JSON booleans pass as whole numbers in the checked contract.  Whole numbers past 64
-    # bits read as wide decimals; a short DECIMAL(n,0) is a float such as 25.0.
-    return kind.isin("BIGINT", "BOOLEAN") | kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
+# JSON booleans pass as whole numbers in the checked contract.  Whole numbers past 64
+# bits read as wide decimals; a short DECIMAL(n,0) is a float such as 25.0.
+_WIDE = r"DECIMAL\((?:19|[23][0-9]),0\)"
+_KINDS = {"int": rf"^(?:BIGINT|BOOLEAN|{_WIDE})$", "number": r"^(?:BIGINT|BOOLEAN|DOUBLE|FLOAT|DECIMAL.*)$"}
 
 
 def _type_ok(kind: Column, wanted: str) -> Column:
-    if wanted == "text":
-        return kind == "STRING"
-    if wanted == "int":
-        return _is_int(kind)
-    return _is_int(kind) | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+    """One test each, as every mention of ``kind`` reads the field again."""
+    return kind == "STRING" if wanted == "text" else kind.rlike(_KINDS[wanted])
 
 
 def contract_errors(raw: DataFrame, contract: Contract, text: str = "value") -> DataFrame:
@@ -74,9 +71,8 @@ def contract_errors(raw: DataFrame, contract: Contract, text: str = "value") ->
     for name, value in contract.constants.items():
         actual = F.try_variant_get("_v", f"$.{name}", "string")
         tests.append(F.when(~actual.eqNullSafe(F.lit(value)), name))
-    kind = _json_kind("risk_score")
     score = F.try_variant_get("_v", "$.risk_score", "bigint")
-    counted = F.coalesce(_is_int(kind) & (kind != "BOOLEAN"), F.lit(False))
+    counted = F.coalesce(_json_kind("risk_score").rlike(rf"^(?:BIGINT|{_WIDE})$"), F.lit(False))
     tests.append(
         F.when(counted & ~F.coalesce(score.between(0, 100), F.lit(False)), "risk_score_range")
     )
