@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions import columns as C
@@ -60,16 +62,19 @@ def durable_view(rows: DataFrame) -> DataFrame:
     return rows.select("event_account", "s.risk_score", "s.risk_level")
 
 
-def upsert(base: DataFrame, updates: DataFrame, key: str, precombine: str) -> DataFrame:
+def upsert(
+    base: DataFrame, updates: DataFrame, key: str, precombine: str, later: Sequence[str] = (),
+) -> DataFrame:
     """New keys are inserted; a key is replaced when its update is newer or equally new.
 
-    Within ``updates`` the greatest ``precombine`` per key wins.  ``base`` is unique per
-    key.  Both sides are read once and meet in one full outer join, whose sort can spill.
+    Within ``updates`` the greatest ``precombine`` per key wins, among equals the greatest ``later``.
+    ``base`` is unique per key.  Both sides are read once, moved once and meet in one full outer
+    join, whose sort can spill; tasks combine the updates of a frequent key before they move.
     """
     cols = base.columns
-    newest = latest_per_key(updates.select(*cols), key, [precombine])
+    newest = updates.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(precombine, *later)).alias("_new"))
     old = base.select(F.col(key).alias("_old_key"), F.struct(*cols).alias("_old"))
-    new = newest.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
+    new = newest.select(F.col(key).alias("_new_key"), "_new")
     both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
     before, after = F.col(f"_old.{precombine}"), F.col(f"_new.{precombine}")
     stays = F.col("_new_key").isNull() & F.col("_new").isNull() | (

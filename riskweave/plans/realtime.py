@@ -31,7 +31,7 @@ def search_index(root: str, buckets: int = 32) -> KeyedTable:
 def index_documents(events: DataFrame, index: KeyedTable, later: list[str], stamp: Column | None = None) -> None:
     """Put events into the search index; ``later`` decides between two of one id scored at the same time."""
     documents = ST.search_documents(events, stamp).withColumn("scored_ts", F.try_to_timestamp("scored_at"))
-    index.merge(ST.latest_state(documents, ["scored_ts", *later], key="doc_id"))
+    index.merge(documents, later=later)
 
 
 def run_scoring(

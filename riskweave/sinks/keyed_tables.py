@@ -9,6 +9,7 @@ runs twice, or that was lost while folders were being replaced, ends in the same
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,32 +50,37 @@ class KeyedTable:
         """The rows of these buckets."""
         return spark.read.parquet(self.path).filter(F.col(BUCKET).isin(buckets)).drop(BUCKET)
 
-    def merge(self, updates: DataFrame, token: str | int | None = None) -> None:
-        """Insert new keys and replace those whose update is newer or equally new."""
+    def merge(self, updates: DataFrame, token: str | int | None = None, later: Sequence[str] = ()) -> None:
+        """Insert new keys and replace those whose update is newer or equally new.
+
+        ``later`` are columns that decide between updates of one key and ``order``.
+        """
         spark = updates.sparkSession
-        if token is None:
-            self._put(staged(self._merged(updates), "merge"))
+        if token is None:  # Spark writes beside the folders and then replaces them, so they can be read meanwhile
+            self._put(self._merged(updates, later))
             return
         ready = f"{self.path}_merges/token={token}"
         if not path_exists(spark, f"{ready}/_SUCCESS"):
-            self._merged(updates).write.mode("overwrite").parquet(ready)
+            self._merged(updates, later).write.mode("overwrite").parquet(ready)
         self._put(spark.read.parquet(ready))
 
     def forget(self, spark: SparkSession, token: str | int) -> None:
         """Drop the copy kept for a token that cannot come again."""
         remove_path(spark, f"{self.path}_merges/token={token}")
 
-    def _merged(self, updates: DataFrame) -> DataFrame:
+    def _merged(self, updates: DataFrame, later: Sequence[str]) -> DataFrame:
         spark = updates.sparkSession
         updates = staged(updates, "updates")
         if not path_exists(spark, self.path):
             base = updates.limit(0)
         else:  # at most one number per bucket comes to the driver
             base = self.touched(spark, [r[0] for r in updates.select(self._bucket()).distinct().collect()])
-        return upsert(base, updates, self.key, self.order)
+        return upsert(base, updates, self.key, self.order, later)
 
     def _put(self, rows: DataFrame) -> None:
+        # a bucket is written by one task or, if it is large, by several
+        placed = rows.withColumn(BUCKET, self._bucket())
         (
-            rows.withColumn(BUCKET, self._bucket()).repartition(BUCKET).write.mode("overwrite")
+            placed.hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
         )

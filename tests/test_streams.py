@@ -211,3 +211,35 @@ def test_larger_logs_have_more_files_not_larger_ones(spark, sf, monkeypatch, nam
     files = SK.segments(A.table(spark, sf, "events").count(), 6) * 6
     assert max(sizes) <= 30 and len(sizes) >= rows / 20
     assert asked["maxFilesPerTrigger"] * 6 == batch_share * files >= 12
+
+
+def test_a_merge_writes_its_rows_once_and_splits_large_buckets(spark, rows, tmp_path, monkeypatch):
+    """Only the updates are staged, not the merged table; a bucket beyond the advised size is written by several tasks."""
+    from riskweave.sinks import keyed_tables as KT
+
+    labels = []
+    monkeypatch.setattr(KT, "staged", lambda df, label, real=KT.staged: (labels.append(label), real(df, label))[1])
+    table = KeyedTable(str(tmp_path / "t"), "k", "ts", buckets=2)
+    noise = F.concat(F.md5(F.col("id").cast("string")), F.md5((F.col("id") + 7).cast("string")))
+    data = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("k"), F.lit(1).alias("ts"), noise.alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        table.merge(data)
+        table.merge(data.filter("k % 2 = 0").withColumns({"ts": F.lit(2), "v": F.lit("new")}))
+        table.merge(data.filter("k % 4 = 0").withColumn("ts", F.lit(0)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert labels == ["updates"] * 3
+    files = spark.read.parquet(table.path).groupBy(BUCKET).agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).collect()
+    assert len(files) == 2 and min(r["n"] for r in files) >= 2
+    kept = table.read(spark)
+    assert kept.count() == 60_000 == kept.select("k").distinct().count()
+    assert kept.filter((F.col("k") % 2 == 0) != (F.col("v") == "new")).count() == 0
+
+
+def test_later_columns_decide_between_updates_of_a_merge(spark, rows, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), "k", "ts", buckets=2)
+    table.merge(rows("k int, ts int, n int", [(1, 5, 1), (1, 5, 3), (1, 5, 2), (2, 1, 1)]), later=["n"])
+    table.merge(rows("k int, ts int, n int", [(1, 4, 9), (2, 1, 0), (2, None, 9)]), later=["n"])
+    assert {tuple(r) for r in table.read(spark).collect()} == {(1, 5, 3), (2, 1, 0)}
