@@ -347,26 +347,26 @@ def _united(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
     """(block, rows, grams): the rows of ``docs`` packed in blocks, and the sorted distinct n-grams of each.
 
-    A block ends after ``TEXT_BLOCK`` bytes or ``GRAM_BLOCK`` n-grams, so it fits in a task.
+    A block ends after ``TEXT_BLOCK`` bytes or ``GRAM_BLOCK`` n-grams, so it fits in a task.  It comes in
+    pieces, either rows or n-grams, of about a megabyte, so that no cell of the table is large.
     """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
         grams_ = np.zeros(0, dtype=np.int64)
         size = 0
 
-        def packed() -> pa.RecordBatch:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                for part in held:
-                    out.write_batch(part)
+        def piece(rows: bytes | None, own: np.ndarray | None) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([grams_], pa.list_(pa.int64()))],
+                [pa.array([block], pa.int64()), pa.array([rows], pa.binary()), pa.array([own], pa.list_(pa.int64()))],
                 ["block", "rows", "grams"],
             )
 
+        def listed() -> Iterator[pa.RecordBatch]:
+            for first in range(0, len(grams_), PIECE // 8):
+                yield piece(None, grams_[first : first + PIECE // 8])
+
         for batch in batches:
             long = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
             first = 0
@@ -374,20 +374,26 @@ def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
                 before = long[first - 1] if first else 0
                 end = max(first + 1, int(np.searchsorted(long, before + PIECE, "right")))
                 part = batch.slice(first, end - first)
-                held.append(part)
+                yield piece(_packed(part), None)
                 grams_ = _united(grams_, np.unique(_batch_grams(part.column(at).to_pylist())[0]))
                 size += int(long[end - 1] - before)
                 first = end
                 if size >= TEXT_BLOCK or len(grams_) >= GRAM_BLOCK:
-                    yield packed()
-                    block, held, grams_, size = block + 1, [], np.zeros(0, dtype=np.int64), 0
+                    yield from listed()
+                    block, grams_, size = block + 1, np.zeros(0, dtype=np.int64), 0
                     pa.default_memory_pool().release_unused()
-        if held:
-            yield packed()
+        yield from listed()
 
     return docs.mapInArrow(run, "block long, rows binary, grams array<long>")
 
 
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def _scored(
     docs: DataFrame, model: Tables, text_col: str,
     finish: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch], schema: T.StructType | str,
@@ -413,7 +419,8 @@ def _scored(
                 out.append(finish(part, h, n))
         return pa.Table.from_batches(out)
 
-    return blocks.select("block", "rows").groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(run, schema)
+    packed_rows = blocks.filter(F.col("rows").isNotNull()).select("block", "rows")
+    return packed_rows.groupBy("block").cogroup(looked.groupBy("of")).applyInArrow(run, schema)
 
 
 def cross_entropies(docs: DataFrame, model: Tables, text_col: str, keep: list[str]) -> DataFrame:

@@ -270,3 +270,23 @@ def test_thresholds_come_from_all_rows(spark):
     whole = language_id.fit({"aa": np.unique(np.concatenate(parts), return_counts=True)})
     h = np.array([-language_id.log_probability(whole, p).astype(float).mean() for p in parts if len(p) >= 30])
     assert abs(model.mean[0] - h.mean()) < 1e-5 and abs(model.spread[0] - h.std()) < 1e-5
+
+
+def test_blocks_of_texts_come_in_small_cells(spark):
+    """A block is stored in pieces of about a megabyte: large cells took the executors' memory outside the heap."""
+    import random
+
+    from riskweave.llm import language_id as L
+
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=40_000)) for _ in range(70)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(70, None), (71, "")], "i long, t string").coalesce(1)
+    blocks = L._text_blocks(docs, "t").cache()
+    most = blocks.agg(F.max(F.length("rows")), F.max(F.size("grams")), F.count_if(F.col("rows").isNull() == F.col("grams").isNull())).first()
+    assert most[0] <= 1_300_000 and 100_000 < most[1] <= L.PIECE // 8 and most[2] == 0
+    asked = blocks.select("block", F.explode("grams").alias("g"))
+    per_block = asked.groupBy("block").agg(F.count("*").alias("n"), F.count_distinct("g").alias("d")).collect()
+    assert len(per_block) >= 2 and all(r["n"] == r["d"] <= 2 * L.GRAM_BLOCK for r in per_block)
+    seen = asked.select("g").distinct().count()
+    assert seen == len(np.unique(np.concatenate([L.grams(L.letters(t)) for t in texts])))
+    blocks.unpersist()
