@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PRIME = 2**31 - 1
 CELLS = 3_000_000  # histogram cells of one pass in a task
+BLOCK = 16_384  # rows of a cell of the binned table
 
 
 def poisson_bounds() -> list[int]:
@@ -49,7 +50,13 @@ def draw_bases(id_col: str, seed: int) -> tuple[Column, Column]:
 
 def _times(a: np.ndarray, b: np.ndarray, tree: int) -> np.ndarray:
     """How often each row is in the sample of a tree."""
-    return np.searchsorted(np.array(poisson_bounds()), (a + (tree + 1) * b) % PRIME, side="right")
+    u = a + (tree + 1) * b
+    u = (u & PRIME) + (u >> 31)  # the prime is 2^31 - 1
+    u[u >= PRIME] -= PRIME
+    out = np.zeros(len(u), dtype=np.int8)
+    for bound in poisson_bounds():
+        out += u >= bound
+    return out
 
 
 @dataclass
@@ -89,51 +96,61 @@ class Forest:
         return total / max(used, 1)
 
 
-def quantile_cuts(rows: DataFrame, size: int, bins: int) -> list[np.ndarray]:
-    """Up to ``bins - 1`` cuts of each of the ``size`` components of ``x``, from one pass."""
+def quantile_cuts(rows: DataFrame, size: int, bins: int, flags: int = 0) -> list[np.ndarray]:
+    """Up to ``bins - 1`` cuts of each of the ``size`` components of ``x``, from one pass.
+
+    The last ``flags`` components are 0 or 1, which one cut tells apart.
+    """
     shares = [k / bins for k in range(1, bins)]
-    found = rows.agg(*[F.percentile_approx(F.col("x")[i], shares, 10_000).alias(f"q{i}") for i in range(size)]).first()
-    return [np.unique(np.array(q if q is not None else [], dtype=float)) for q in found]
+    asked = [F.percentile_approx(F.col("x")[i], shares, 10_000).alias(f"q{i}") for i in range(size - flags)]
+    found = rows.agg(*asked).first() if asked else []
+    return [np.unique(np.array(q if q is not None else [], dtype=float)) for q in found] + [np.zeros(1)] * flags
 
 
 def _places(code: np.ndarray, tree: Tree, depth: int) -> np.ndarray:
     """Node of each row after at most ``depth`` steps; ``code`` is rows x features."""
-    at, every = np.zeros(len(code), dtype=np.int64), np.arange(len(code))
-    for _ in range(depth):
-        feature = tree.feature[at]
-        inner = feature >= 0
-        if not inner.any():
-            break
-        right = code[every, np.maximum(feature, 0)] > tree.bin[at]
-        at = np.where(inner, tree.left[at] + right, at)
+    at, start, flat = np.zeros(len(code), dtype=np.int64), np.arange(len(code)) * code.shape[1], code.ravel()
+    # a leaf leads to itself: its bin is beyond all codes
+    leaf = tree.feature < 0
+    feature, last = np.where(leaf, 0, tree.feature), np.where(leaf, 255, tree.bin)
+    left = np.where(leaf, np.arange(len(leaf)), tree.left)
+    for _ in range(depth if not leaf.all() else 0):
+        at = left[at] + (flat[start + feature[at]] > last[at])
     return at
 
 
-def _codes(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, ...]:
-    code = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.uint8).reshape(-1, size)
-    return (code, *(batch.column(c).to_numpy() for c in ("y", "a", "b")))
-
-
 def _encoded(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
-    """(y, a, b, code): bin numbers as bytes."""
+    """(y, a, b, code): labels, draw bases and bin numbers of up to ``BLOCK`` rows a cell, as bytes.
+
+    All levels read them again, so Spark passes on a few cells instead of every row.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             code = np.stack([np.searchsorted(c, x[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8)
+            y, a, b = (batch.column(c).to_numpy() for c in ("y", "a", "b"))
+            whole = (y.astype(np.uint8), a.astype(np.uint32), b.astype(np.uint32), code)
+            starts = range(0, batch.num_rows, BLOCK)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), batch.column("a"), batch.column("b"), pa.array([r.tobytes() for r in code], pa.binary())],
-                ["y", "a", "b", "code"],
+                [pa.array([part[i : i + BLOCK].tobytes() for i in starts], pa.binary()) for part in whole], ["y", "a", "b", "code"]
             )
 
-    return rows.select("y", "a", "b", "x").mapInArrow(run, "y int, a long, b long, code binary")
+    return rows.select("y", "a", "b", "x").mapInArrow(run, "y binary, a binary, b binary, code binary")
 
 
-def sample_totals(rows: DataFrame, trees: int) -> DataFrame:
-    """(tree, rows, times_0, times_1) of every bootstrap sample; ``rows`` has ``y``, ``a`` and ``b``."""
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(y, a, b, code) of each block; ``code`` is rows x features."""
+    kinds = {"y": np.uint8, "a": np.uint32, "b": np.uint32, "code": np.uint8}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            y, a, b, code = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=kind) for c, kind in kinds.items())
+            yield y, a.astype(np.int64), b.astype(np.int64), code.reshape(-1, size)
+
+
+def _totals(counted: DataFrame, trees: int, parts: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((trees, 3), dtype=np.int64)
-        for batch in batches:
-            y, a, b = (batch.column(c).to_numpy() for c in ("y", "a", "b"))
+        for y, a, b, *_ in parts(batches):
             for t in range(trees):
                 times = _times(a, b, t)
                 out[t] += (times > 0).sum(), times[y == 0].sum(), times[y == 1].sum()
@@ -141,29 +158,41 @@ def sample_totals(rows: DataFrame, trees: int) -> DataFrame:
             [pa.array(np.arange(trees), pa.int32()), *[pa.array(out[:, k]) for k in range(3)]], ["tree", "rows", "times_0", "times_1"]
         )
 
-    counted = rows.select("y", "a", "b").mapInArrow(run, "tree int, rows long, times_0 long, times_1 long")
-    return counted.groupBy("tree").agg(*[F.sum(c).alias(c) for c in ("rows", "times_0", "times_1")])
+    totals = counted.mapInArrow(run, "tree int, rows long, times_0 long, times_1 long")
+    return totals.groupBy("tree").agg(*[F.sum(c).alias(c) for c in ("rows", "times_0", "times_1")])
+
+
+def sample_totals(rows: DataFrame, trees: int) -> DataFrame:
+    """(tree, rows, times_0, times_1) of every bootstrap sample; ``rows`` has ``y``, ``a`` and ``b``."""
+    columns = ("y", "a", "b")
+    return _totals(rows.select(*columns), trees, lambda batches: (tuple(x.column(c).to_numpy() for c in columns) for x in batches))
 
 
 def _histograms(encoded: DataFrame, size: int, trees: list[Tree], asked: dict, depth: int, bins: int) -> DataFrame:
     """(tree, node, cells): counts of rows and draws by feature and bin; ``asked`` gives (nodes, features) by tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {t: np.zeros((len(nodes), f.shape[1], bins, 3), dtype=np.int64) for t, (nodes, f) in asked.items()}
-        for batch in batches:
-            code, y, a, b = _codes(batch, size)
+        for y, a, b, code in _blocks(batches, size):
             for t, (nodes, features) in asked.items():
                 times = _times(a, b, t)
-                node = _places(code, trees[t], depth)
-                slot = np.searchsorted(nodes, node)
-                slot[slot == len(nodes)] = 0
-                held = np.flatnonzero((times > 0) & (nodes[slot] == node))
-                slot, k, label = slot[held], times[held], y[held]
+                drawn = np.flatnonzero(times)
+                own = code[drawn]
+                node = _places(own, trees[t], depth)
+                slots = np.full(len(trees[t].feature), -1)
+                slots[nodes] = np.arange(len(nodes))
+                slot = slots[node]
+                held = np.flatnonzero(slot >= 0)
+                slot, drawn = slot[held], drawn[held]
+                # rows and draws of both classes in one number, below 2^53 as a block has up to BLOCK rows
+                one = 1.0 + times[drawn] * np.where(y[drawn] == 1, float(1 << 35), np.where(y[drawn] == 0, float(1 << 17), 0.0))
+                start, flat = held * size, own.ravel()
+                cells = sums[t].reshape(-1, features.shape[1], bins, 3)
                 for j in range(features.shape[1]):
-                    cell = (slot * features.shape[1] + j) * bins + code[held, features[slot, j]]
-                    flat = sums[t].reshape(-1, 3)
-                    flat[:, 0] += np.bincount(cell, minlength=len(flat))
-                    for c in (0, 1):
-                        flat[:, 1 + c] += np.bincount(cell, k * (label == c), len(flat)).astype(np.int64)
+                    cell = slot * bins + flat[start + features[slot, j]]
+                    packed = np.bincount(cell, one, len(nodes) * bins).astype(np.int64).reshape(-1, bins)
+                    cells[:, j, :, 0] += packed & (1 << 17) - 1
+                    cells[:, j, :, 1] += packed >> 17 & (1 << 18) - 1
+                    cells[:, j, :, 2] += packed >> 35
         for t, (nodes, _) in asked.items():
             some = np.flatnonzero(sums[t].reshape(len(nodes), -1).any(axis=1))
             yield pa.RecordBatch.from_arrays(
@@ -221,15 +250,15 @@ def _chosen_features(seed: int, tree: int, node: int, size: int, most: int) -> n
 
 def fit_balanced_forest(
     rows: DataFrame, size: int, trees: int = 80, depth: int = 12, min_leaf: int = 20, bins: int = 32, seed: int = 0,
-    id_col: str = "id",
+    id_col: str = "id", flags: int = 0,
 ) -> Forest:
-    """A forest from ``rows`` (``id_col``, ``y`` 0/1, ``x`` of ``size`` numbers without gaps)."""
+    """A forest from ``rows`` (``id_col``, ``y`` 0/1, ``x`` of ``size`` numbers without gaps, the last ``flags`` 0 or 1)."""
     a, b = draw_bases(id_col, seed)
     drawn = rows.select(F.col("y").cast("int").alias("y"), a.alias("a"), b.alias("b"), F.col("x").cast("array<double>").alias("x"))
-    cuts = quantile_cuts(drawn, size, bins)
-    encoded = staged(_encoded(drawn, cuts), "binned")
+    cuts = quantile_cuts(drawn, size, bins, flags)
+    encoded = staged(_encoded(drawn, cuts), "binned", group_mb=2)
     most = max(1, math.isqrt(size))
-    found = {r["tree"]: r for r in sample_totals(encoded, trees).collect()}
+    found = {r["tree"]: r for r in _totals(encoded, trees, lambda batches: _blocks(batches, size)).collect()}
     grown = []
     for t in range(trees):
         times = np.array([found[t]["times_0"], found[t]["times_1"]]) if t in found else np.zeros(2, dtype=np.int64)

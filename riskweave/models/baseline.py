@@ -6,13 +6,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave import constants as K
 from riskweave.models.balanced_forest import Forest, fit_balanced_forest, score_balanced_forest
 from riskweave.operators.metrics import binary_metrics
 from riskweave.operators.ranking import exact_quantile
 from riskweave.operators.sampling import use_or_make_split
+from riskweave.session import staged
 
 LABEL = "is_laundering"
 
@@ -94,17 +95,27 @@ def forest_stages(seed: int, trees: int = 80, depth: int = 12, min_leaf: int = 2
     ]
 
 
-def forest_inputs(train: DataFrame) -> tuple[PipelineModel, int]:
-    """Encoder of numbers and one-hot texts for the forest with balanced samples, and its number of inputs."""
-    stages, _ = _encoder_stages(scale=False)
-    model = Pipeline(stages=stages).fit(train)
-    return model, len(K.NUMERIC_FEATURES) + sum(len(labels) for labels in model.stages[0].labelsArray)
+def forest_inputs(train: DataFrame) -> list[list[str]]:
+    """The texts of each categorical column that the forest with balanced samples takes as inputs, in order."""
+    model = StringIndexer(
+        inputCols=K.CATEGORICAL_FEATURES, outputCols=[f"{c}_ix" for c in K.CATEGORICAL_FEATURES],
+        handleInvalid="keep", stringOrderType="alphabetAsc",
+    ).fit(train)
+    return [list(labels) for labels in model.labelsArray]
 
 
-def encoded_rows(encoder: PipelineModel, rows: DataFrame) -> DataFrame:
-    """``rows`` with their inputs as ``x`` and the label as ``y``."""
-    out = encoder.transform(rows)
-    return out.select(*rows.columns, vector_to_array("features").alias("x"), F.col(LABEL).cast("int").alias("y"))
+def encoded_rows(labels: list[list[str]], rows: DataFrame) -> DataFrame:
+    """``rows`` with their inputs as ``x`` (numbers, then 0 or 1 per text) and the label as ``y``."""
+    def number(name: str) -> Column:
+        gap = F.col(name).isNull() | F.isnan(name)
+        return F.when(gap, F.raise_error(F.lit(f"no number in {name}")).cast("double")).otherwise(F.col(name))
+
+    flags = [
+        F.coalesce((F.col(c) == label).cast("double"), F.lit(0.0))
+        for c, own in zip(K.CATEGORICAL_FEATURES, labels) for label in own
+    ]
+    x = F.array(*[number(c) for c in K.NUMERIC_FEATURES], *flags)
+    return rows.select(*rows.columns, x.alias("x"), F.col(LABEL).cast("int").alias("y"))
 
 
 def train_balanced_subsample(
@@ -115,13 +126,12 @@ def train_balanced_subsample(
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     fill = impute_values(train)
     train, test = prepare(train, fill), prepare(test, fill)
-    encoder, size = forest_inputs(train)
-    rows = encoded_rows(encoder, train)
-    forest = fit_balanced_forest(rows, size, trees, depth, min_leaf, seed=seed, id_col="transaction_id")
-    scored = score_balanced_forest(encoded_rows(encoder, test), forest, depth)
-    names = [*K.NUMERIC_FEATURES]
-    for column, labels in zip(K.CATEGORICAL_FEATURES, encoder.stages[0].labelsArray):
-        names += [f"{column}_{label}" for label in labels]
+    labels = forest_inputs(train)
+    flags = [f"{column}_{label}" for column, own in zip(K.CATEGORICAL_FEATURES, labels) for label in own]
+    names = [*K.NUMERIC_FEATURES, *flags]
+    rows = encoded_rows(labels, train)
+    forest = fit_balanced_forest(rows, len(names), trees, depth, min_leaf, seed=seed, id_col="transaction_id", flags=len(flags))
+    scored = score_balanced_forest(encoded_rows(labels, test), forest, depth)
     return forest, scored, names
 
 
@@ -153,10 +163,13 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def metrics_once(scored: DataFrame, name: str) -> DataFrame:
+    """Metrics of a model; they read the scores several times, so those are stored."""
+    return binary_metrics(staged(scored.select(LABEL, "score", "prediction"), "scores"), name, LABEL)
+
+
 def evaluate(fitted: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
-    parts = [
-        binary_metrics(predict(m, test), name, LABEL) for name, m in fitted.items()
-    ]
+    parts = [metrics_once(predict(m, test), name) for name, m in fitted.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

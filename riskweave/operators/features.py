@@ -27,7 +27,7 @@ def build_features(
     so only sampled rows are joined; label-derived account columns are never selected.  The
     sample is written once because the split needs several passes over it.
     """
-    sampled = staged(undersample(dwd.select(*_TX), negatives, seed), "sample")
+    sampled = staged(undersample(dwd.select(*_TX), negatives, seed), "sample", group_mb=4)
     split = stratified_split(sampled, 0.25, seed)
     joined = fill_feature_defaults(join_account_features(split, accounts))
     return derive_features(joined).select(*K.FEATURE_COLUMNS)

@@ -60,7 +60,7 @@ def first_by_hash(
     """
     keyed = df.withColumn("_s", stratum).withColumn("_h", hash_order(id_col, seed))
     wanted = {s: q for s, q in quotas.items() if q > 0}
-    cut = _edge_buckets(keyed, wanted)
+    cut = _edge_buckets(keyed, {s: q for s, q in wanted.items() if q < _ALL})
     s = F.col("_s")
     sure, edge = F.lit(False), F.lit(False)
     need = F.lit(0)

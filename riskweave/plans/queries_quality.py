@@ -250,7 +250,7 @@ def _(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    rows = I.stored(I.all_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features", group_mb=4)
     ready = B.prepare(rows, B.impute_values(rows))
     stages, out = B._encoder_stages(scale=True)
     model = Pipeline(stages=stages).fit(ready)
@@ -273,7 +273,7 @@ def _(spark, sf):
 
 
 def _fitted(spark, sf, name):
-    rows = I.stored(I.all_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features", group_mb=4)
     return B.train_baselines(rows, models=(name,)), rows
 
 
@@ -314,7 +314,7 @@ boot AS (
 
 
 def _subsample_forest(spark, sf, trees=12, depth=6):
-    return B.train_balanced_subsample(I.stored(I.all_features(spark, sf), "features"), trees=trees, depth=depth)
+    return B.train_balanced_subsample(I.stored(I.all_features(spark, sf), "features", group_mb=4), trees=trees, depth=depth)
 
 
 # the rows and draws in the leaves of every tree add up to its bootstrap sample, and its weights balance that sample
@@ -332,7 +332,7 @@ def _(spark, sf):
 @query("m04_rf_balanced_subsample")
 def _(spark, sf):
     _forest, scored, _names = _subsample_forest(spark, sf, trees=20, depth=8)
-    return B.binary_metrics(scored, "random_forest_balanced_subsample", B.LABEL)
+    return B.metrics_once(scored, "random_forest_balanced_subsample")
 
 
 @query("m07_importance")
@@ -457,12 +457,12 @@ def _(spark, sf):
 
 @query("m09_isolation_forest")
 def _(spark, sf):
-    rows = I.stored(I.all_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features", group_mb=4)
     return ISO.isolation_forest(rows).select("transaction_id", "anomaly_label", "anomaly_score")
 
 
 # scores without ties: as many rows lie above the interpolated cut as the share says
 @query("m09_anomaly_share", f"WITH {Q.TX} SELECT count(*) AS rows, count(*) - 1 - CAST(floor(0.97 * (count(*) - 1)) AS BIGINT) AS anomaly_rows FROM tx")
 def _(spark, sf):
-    rows = I.stored(I.all_features(spark, sf), "features")
+    rows = I.stored(I.all_features(spark, sf), "features", group_mb=4)
     return ISO.isolation_forest(rows).agg(F.count("*").alias("rows"), F.sum("anomaly_label").alias("anomaly_rows"))

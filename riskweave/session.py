@@ -69,8 +69,13 @@ def child_paths(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in found]
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the work folder and read back: computed once, lineage cut."""
+def staged(df: DataFrame, label: str, group_mb: int | None = None) -> DataFrame:
+    """``df`` written once to the work folder and read back: computed once, lineage cut.
+
+    A task reads whole row groups, by default up to a file each.  Smaller ones, of ``group_mb``, let all
+    cores share the rows of costly steps, however few tasks wrote them.
+    """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    sizes = {"parquet.block.size": str(group_mb << 20)} if group_mb else {}
+    df.write.options(**sizes).parquet(path)
     return df.sparkSession.read.parquet(path)
