@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -16,6 +18,7 @@ from riskweave.operators.sampling import use_or_make_split
 from riskweave.session import staged
 
 LABEL = "is_laundering"
+TASK_ROWS = 250_000  # training rows of one task, so that cached blocks stay small
 
 
 def impute_medians(train: DataFrame) -> dict:
@@ -71,6 +74,22 @@ def with_class_weight(train: DataFrame) -> DataFrame:
     return train.withColumn("class_weight", weight)
 
 
+def spread(rows: DataFrame, n: int, id_col: str = "transaction_id") -> DataFrame:
+    """``n`` rows dealt by id into equal parts, a whole number for each core: every pass of a model waits for the largest."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, math.ceil(n / (TASK_ROWS * cores))), id_col)
+
+
+def fit_stages(stages: list, rows: DataFrame, n: int) -> PipelineModel:
+    """A pipeline whose last stage makes many passes: the ``n`` rows are encoded and dealt out once for it."""
+    encoder = Pipeline(stages=stages[:-1]).fit(rows)
+    ready = encoder.transform(rows).select("transaction_id", "features", LABEL, "class_weight")
+    ready = spread(ready, n).drop("transaction_id").cache()
+    last = stages[-1].fit(ready)
+    ready.unpersist()
+    return PipelineModel(stages=[*encoder.stages, last])
+
+
 def logistic_stages(rows: int) -> list:
     stages, features = _encoder_stages(scale=True)
     # L2 with C = 1 on a summed loss equals regParam = 1 / n on MLlib's mean loss
@@ -143,14 +162,13 @@ def train_baselines(
     split, strategy = use_or_make_split(features, seed=seed)
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     fill = impute_values(train)
-    fit = with_class_weight(prepare(train, fill)).cache()
+    fit = with_class_weight(prepare(train, fill))
     rows = fit.count()
     fitted = {}
     if "logistic_regression_balanced" in models:
-        fitted["logistic_regression_balanced"] = Pipeline(stages=logistic_stages(rows)).fit(fit)
+        fitted["logistic_regression_balanced"] = fit_stages(logistic_stages(rows), fit, rows)
     if "random_forest_balanced" in models:
-        fitted["random_forest_balanced"] = Pipeline(stages=forest_stages(seed, trees, depth)).fit(fit)
-    fit.unpersist()
+        fitted["random_forest_balanced"] = fit_stages(forest_stages(seed, trees, depth), fit, rows)
     return fitted, prepare(test, fill), fill, strategy
 
 

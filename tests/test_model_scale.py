@@ -29,6 +29,19 @@ def _sizes(df):
     return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
 
 
+def test_last_stage_gets_equal_parts_of_encoded_rows(spark, train, monkeypatch):
+    monkeypatch.setattr(B, "TASK_ROWS", 150)
+    rows, seen = B.with_class_weight(train.coalesce(1)), []
+    stages = B.logistic_stages(2_000)
+    whole = stages[-1].fit
+    monkeypatch.setattr(stages[-1], "fit", lambda df: seen.append((_sizes(df), df.is_cached)) or whole(df))
+    model = B.fit_stages(stages, rows, 2_000)
+    (sizes, cached), = seen
+    assert cached and len(sizes) == 16 and sum(sizes) == 2_000 and max(sizes) < 200
+    usual = Pipeline(stages=B.logistic_stages(2_000)).fit(rows)
+    assert model.stages[-1].coefficients.toArray() == pytest.approx(usual.stages[-1].coefficients.toArray(), abs=1e-4)
+
+
 def test_inputs_of_the_forest_are_those_of_the_encoder(spark, train):
     labels = B.forest_inputs(train)
     assert labels == [["C0", "C1", "C2"], ["Cash", "Wire"]]
