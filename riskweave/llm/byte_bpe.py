@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from riskweave.llm.common import byte_blocks, process_cache
+from riskweave.llm.common import byte_blocks, give_back, process_cache, small_batches
 
 LOOK = 2  # "'re" is decided two characters past its quote; white space by one
 LEAF_CHARS = 16384
@@ -317,6 +317,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns, n_tokens, token_ids and round_trip: whether the decoded bytes are the text's."""
     schema = docs.select(*keep).schema.add("n_tokens", "long").add("token_ids", T.ArrayType(T.IntegerType())).add("round_trip", "boolean")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
@@ -334,6 +335,6 @@ def encoded_rows(docs: DataFrame, path: str, pattern: str, keep: list[str], text
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         del bpe
         process_cache().pop((path, pattern), None)  # the worker goes on with other work
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return docs.select(*keep, docs[text_col].cast("string").alias("__text")).mapInArrow(run, schema)

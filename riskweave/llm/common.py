@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import uuid
@@ -19,6 +20,7 @@ from riskweave.session import remove_path, work_path
 MADE: list[tuple[str, str]] = []  # name and folder of the bucketed tables of this driver
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = "[\\x20\\x09-\\x0D]+"
+BATCH = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +85,24 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session end after :data:`BATCH` bytes.
+
+    Spark's own end after 10,000 rows or 64 MB; the JVM's vectors double as they grow, and the worker holds a batch too.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
+def give_back() -> None:
+    """Return memory that this Python process no longer uses to the machine; a reused worker keeps it else while other steps run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+        if trim is not None:
+            trim(0)
+
+
 def bounded(side: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A stored table of keys, marked for broadcast if it is proven small; else Spark shuffles the join."""
     return F.broadcast(side) if side.count() <= rows else side

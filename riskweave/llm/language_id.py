@@ -33,7 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import MADE, byte_blocks, co_located, drop_tables, id_text, process_cache, release_shuffles
+from riskweave.llm.common import (
+    MADE, byte_blocks, co_located, drop_tables, give_back, id_text, process_cache, release_shuffles, small_batches,
+)
 from riskweave.session import staged
 
 ORDER = 5
@@ -125,6 +127,8 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                 counts.clear()
         settle()
         yield from _frames(counts)
+        counts.clear()
+        give_back()
 
     def _frames(counts: dict) -> Iterator[pa.RecordBatch]:
         for lang, (own, n) in counts.items():
@@ -381,8 +385,10 @@ def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
                 if size >= TEXT_BLOCK or len(grams_) >= GRAM_BLOCK:
                     yield from listed()
                     block, grams_, size = block + 1, np.zeros(0, dtype=np.int64), 0
-                    pa.default_memory_pool().release_unused()
+                    give_back()
         yield from listed()
+        grams_ = None
+        give_back()
 
     return docs.mapInArrow(run, "block long, rows binary, grams array<long>")
 
@@ -399,6 +405,7 @@ def _scored(
     finish: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch], schema: T.StructType | str,
 ) -> DataFrame:
     """What ``finish`` makes of the rows of ``docs``, their cross-entropies and numbers of characters."""
+    small_batches(docs.sparkSession)
     blocks = co_located(_text_blocks(docs, text_col), "block", "text-blocks")
     release_shuffles(docs.sparkSession)
     wanted = blocks.select("block", F.explode("grams").alias("gram"))
@@ -411,12 +418,14 @@ def _scored(
         known = known[order]
         scores = probabilities.column("p").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, languages)[order]
         del order, probabilities
-        pa.default_memory_pool().release_unused()
+        give_back()
         out = []
         for rows in packed.column("rows"):
             for part in pa.ipc.open_stream(rows.as_buffer()):
                 h, n = entropies(lambda x: scores[np.searchsorted(known, x)], languages, part.column(at).to_pylist())
                 out.append(finish(part, h, n))
+        del known, scores
+        give_back()
         return pa.Table.from_batches(out)
 
     packed_rows = blocks.filter(F.col("rows").isNotNull()).select("block", "rows")
@@ -437,6 +446,7 @@ def cross_entropies(docs: DataFrame, model: Tables, text_col: str, keep: list[st
 
 def learn(labelled: DataFrame) -> Tables | None:
     """Models without thresholds from all rows of ``labelled`` (``_text``, ``lang``); None without any n-gram."""
+    small_batches(labelled.sparkSession)
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("_text").isNotNull())
     model = tabulate(staged(count_grams(labelled), "gram-counts"))
     release_shuffles(labelled.sparkSession)

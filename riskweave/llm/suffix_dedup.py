@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bounded, byte_blocks, co_located, id_text, process_cache, release_shuffles
+from riskweave.llm.common import bounded, byte_blocks, co_located, give_back, id_text, process_cache, release_shuffles, small_batches
 from riskweave.session import staged
 
 PRIME = 13  # period 13^2 + 13 + 1 = 183, 14 samples in each
@@ -252,6 +252,7 @@ def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> Data
     ``places(block, data, offsets)`` yields (text, place, fingerprint, second fingerprint or None).
     ``entries`` is their expected number; it sets the number of buckets.
     """
+    small_batches(rows.sparkSession)
     buckets = max(1, round(entries / BUCKET_ENTRIES))
     columns = ["bucket", "keys", "counts", "places", "prints", "wide", "many"]
 
@@ -276,6 +277,8 @@ def _ranked(rows: DataFrame, places: Places, entries: float, width: int) -> Data
                 pa.default_memory_pool().release_unused()
         if held:
             yield flush()
+        held.clear()
+        give_back()
 
     sent = rows.mapInArrow(
         send, "bucket int, keys binary, counts binary, places binary, prints binary, wide binary, many binary"

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, odd_documents, prose, repeated_bytes, similar_groups, window_hits
 from pyspark.sql import functions as F
@@ -290,3 +291,47 @@ def test_blocks_of_texts_come_in_small_cells(spark):
     seen = asked.select("g").distinct().count()
     assert seen == len(np.unique(np.concatenate([L.grams(L.letters(t)) for t in texts])))
     blocks.unpersist()
+
+
+def test_python_steps_get_small_batches(spark):
+    """Arrow batches of 20 MB, held by the JVM and the worker, were part of what broke the executors' limit."""
+    from riskweave.llm import byte_bpe, suffix_dedup
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 9000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 700).alias("text"), F.lit("aa").alias("lang"))
+    words = docs.select(F.col("text").alias("_text"), "lang", F.col("doc_id").alias("_key"))
+
+    def largest(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    steps = [
+        lambda: language_id.learn(words),
+        lambda: byte_bpe.encoded_rows(docs, "", "", ["doc_id"]),
+        lambda: suffix_dedup._ranked(words.select("_key", "_text"), None, 1.0, 7),
+    ]
+    for step in steps:
+        spark.conf.unset(key)
+        step()
+        assert docs.mapInArrow(largest, "n long").agg(F.max("n")).first()[0] < 5_000_000
+
+
+def test_freed_memory_is_returned():
+    """A worker kept what it had freed, while the next stage ran in the JVM beside it."""
+    import re
+    import sys
+
+    from riskweave.llm.common import give_back
+
+    if sys.platform != "linux":
+        pytest.skip("reads /proc")
+
+    def resident() -> int:
+        return int(re.search(r"VmRSS:\s+(\d+)", open("/proc/self/status").read())[1]) // 1024
+
+    parts = [np.ones(10_000) for _ in range(2500)]  # 200 MB in pieces that the heap serves
+    last = parts[-1]  # keeps the heap's top
+    del parts
+    before = resident()
+    give_back()
+    assert before - resident() > 100 and last[0] == 1
