@@ -18,6 +18,7 @@ labels of an id are averaged and rounded.  Only the named columns are read.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ WIDTH, STRIDE = 32, 16
 HIDDEN, ATTEND, WORD_DIM, CHAR_DIM, BUCKETS = 8, 8, 12, 12, 4096
 EDGE = ".,;:!?\"'()[]{}*#$%&|<>-_"
 WORDS_KEPT = 200_000  # projected words that a scoring process keeps
-BLOCK = 4096  # windows scored at once
+BLOCK = 1024  # windows scored at once
+TEXT_WORDS = 65_536  # words of texts that are read at once
 
 Params = dict[str, np.ndarray]
 
@@ -46,6 +48,39 @@ def trigrams(word: str) -> list[int]:
     return [zlib.crc32(marked[i : i + 3].encode("utf-8", "surrogatepass")) % BUCKETS for i in range(max(len(marked) - 2, 1))]
 
 
+def _crc_table() -> np.ndarray:
+    """What CRC-32 makes of each byte; the checksum goes on from the last one by this table."""
+    value = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        value = np.where(value & 1, (value >> 1) ^ np.uint32(0xEDB88320), value >> 1)
+    return value
+
+
+CRC = _crc_table()
+
+
+def all_trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the trigrams of many words in a row, and how many each word has, as :func:`trigrams` gives them.
+
+    One pass per byte of the longest trigram goes over all of them at once.
+    """
+    size = np.fromiter((max(len(w), 1) for w in words), dtype=np.int64, count=len(words))
+    chars = np.fromiter((len(w) + 2 for w in words), dtype=np.int64, count=len(words))
+    data = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    edge = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where characters begin
+    last = np.cumsum(chars)
+    at = np.repeat(last - chars - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    begin, end = edge[at], edge[np.minimum(at + 3, np.repeat(last, size))]
+    long = end - begin
+    state = np.full(len(at), 0xFFFFFFFF, dtype=np.uint32)
+    least = int(long.min(initial=12))
+    for k in range(int(long.max(initial=0))):
+        some = slice(None) if k < least else np.flatnonzero(long > k)
+        own = state[some]
+        state[some] = CRC[(own ^ data[begin[some] + k]) & 0xFF] ^ (own >> 8)
+    return ((state ^ np.uint32(0xFFFFFFFF)) % BUCKETS).astype(np.int64), size
+
+
 def window_starts(n: int) -> range:
     """Starts of the overlapping windows of a text of ``n`` words; an empty text has one."""
     return range(0, max(n - STRIDE, 1), STRIDE)
@@ -108,6 +143,50 @@ def run_network(p: Params, gates: np.ndarray, mask: np.ndarray, keep: bool = Fal
     return (logit, (g, m, both, u, a, pooled, trace)) if keep else logit
 
 
+def window_logits(p: Params, gates: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """The logits of :func:`run_network` up to rounding, for scoring; without a mask all windows are full.
+
+    Windows lie along the last axis and arrays are reused, so that each step works on long rows.
+    """
+    (steps, count, _), h, kind = gates.shape, HIDDEN, gates.dtype
+    turn = np.ascontiguousarray(np.swapaxes(p["u"], 1, 2))
+    state, both = np.zeros((2, h, count), dtype=kind), np.empty((steps, 2 * h, count), dtype=kind)
+    g, add, n, old = np.empty((2, 3 * h, count), dtype=kind), np.empty((2, 3 * h, count), dtype=kind), np.empty_like(state), np.empty_like(state)
+    zr, z, r = add[:, : 2 * h], add[:, :h], add[:, h : 2 * h]
+    for t in range(steps):
+        g[0], g[1] = gates[t, :, : 3 * h].T, gates[steps - 1 - t, :, 3 * h :].T
+        np.matmul(turn, state, out=add)
+        zr += g[:, : 2 * h]
+        np.negative(zr, out=zr)
+        np.clip(zr, -30, 30, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        np.multiply(r, add[:, 2 * h :], out=n)
+        n += g[:, 2 * h :]
+        np.tanh(n, out=n)
+        if mask is not None:
+            old[...] = state
+        state -= n
+        state *= z
+        state += n
+        if mask is not None:
+            for d, real in enumerate((mask[t], mask[steps - 1 - t])):
+                np.copyto(state[d], old[d], where=real == 0)
+        both[t, :h], both[steps - 1 - t, h:] = state[0], state[1]
+    u = np.matmul(p["wa"].T, both)
+    u += p["ba"][:, None]
+    np.tanh(u, out=u)
+    e = np.matmul(p["v"], u)
+    if mask is not None:
+        e[mask == 0] = -1e4
+    a = np.exp(e - e.max(axis=0))
+    a /= a.sum(axis=0)
+    if mask is not None:
+        a *= mask
+    return (a * np.matmul(p["w"], both)).sum(axis=0) + p["b"][0]
+
+
 def gradients(p: Params, kept, mask: np.ndarray, d_logit: np.ndarray) -> tuple[Params, np.ndarray]:
     """Gradients of the shared weights, and of the projected words (time x windows x 6 HIDDEN)."""
     g, m, both, u, a, pooled, trace = kept
@@ -226,55 +305,60 @@ class Scorer:
     def __init__(self, vocabulary: dict[str, int], p: Params):
         self.vocabulary = vocabulary
         self.p = {k: v.astype(np.float32) for k, v in p.items()}
-        self.rows: dict[str, int] = {}
+        self.rows: dict[str, int] = {}  # of words as they are written
+        self.words: dict[str, int] = {}  # of normal words
         self.table = np.zeros((1024, 6 * HIDDEN), dtype=np.float32)
 
     def _project_new(self, tokens: list[str]) -> None:
-        if len(self.rows) + len(tokens) > WORDS_KEPT:
-            self.rows.clear()
-        need = len(self.rows) + len(tokens) + 1
-        if need > len(self.table):
-            grown = np.zeros((max(need, 2 * len(self.table)), self.table.shape[1]), dtype=np.float32)
-            grown[: len(self.table)] = self.table
-            self.table = grown
-        words = [normal(t) for t in tokens]
-        parts = [trigrams(w) for w in words]
-        sizes = np.array([len(x) for x in parts])
-        chars = np.add.reduceat(self.p["char"][[b for x in parts for b in x]], np.concatenate(([0], np.cumsum(sizes)[:-1])))
-        ids = np.array([self.vocabulary.get(w, 0) for w in words])
-        x = np.concatenate([np.where(ids[:, None] > 0, self.p["word"][ids], 0), chars / sizes[:, None]], axis=1)
-        first = len(self.rows) + 1
-        self.table[first : first + len(tokens)] = project(self.p, x.astype(np.float32))
-        self.rows.update(zip(tokens, range(first, first + len(tokens))))
+        written = [normal(t) for t in tokens]
+        words = list(dict.fromkeys(w for w in written if w not in self.words))
+        if words:
+            need = len(self.words) + len(words) + 1
+            if need > len(self.table):
+                grown = np.zeros((max(need, 2 * len(self.table)), self.table.shape[1]), dtype=np.float32)
+                grown[: len(self.table)] = self.table
+                self.table = grown
+            bucket, sizes = all_trigrams(words)
+            chars = np.add.reduceat(self.p["char"][bucket], np.cumsum(sizes) - sizes)
+            ids = np.array([self.vocabulary.get(w, 0) for w in words])
+            x = np.concatenate([np.where(ids[:, None] > 0, self.p["word"][ids], 0), chars / sizes[:, None]], axis=1)
+            first = len(self.words) + 1
+            self.table[first : first + len(words)] = project(self.p, x.astype(np.float32))
+            self.words.update(zip(words, range(first, first + len(words))))
+        self.rows.update(zip(tokens, map(self.words.__getitem__, written)))
 
     def _block(self, parts: list[list[str]]) -> Iterator[tuple[float, int, int]]:
         """(highest logit, its window, number of windows) for each of a few texts."""
-        flat_tokens = [t for x in parts for t in x]
-        new = list(dict.fromkeys(t for t in flat_tokens if t not in self.rows))
+        flat_tokens = list(itertools.chain.from_iterable(parts))
+        new = list(set(flat_tokens).difference(self.rows))
         if new and len(self.rows) + len(new) > WORDS_KEPT:
             self.rows.clear()
-            new = list(dict.fromkeys(flat_tokens))
+            self.words.clear()
+            new = list(set(flat_tokens))
         if new:
-            self._project_new(new)
+            self._project_new(sorted(new))
         flat = np.fromiter(map(self.rows.__getitem__, flat_tokens), dtype=np.int64, count=len(flat_tokens))
         flat = np.append(flat, 0)
-        first = np.concatenate(([0], np.cumsum([len(x) for x in parts])))
-        starts, ends, counts = [], [], []
-        for i, x in enumerate(parts):
-            own = np.arange(0, max(len(x) - STRIDE, 1), STRIDE)
-            starts.append(first[i] + own)
-            ends.append(np.full(len(own), first[i + 1]))
-            counts.append(len(own))
-        start, end = np.concatenate(starts), np.concatenate(ends)
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        counts = (np.maximum(size - STRIDE, 1) + STRIDE - 1) // STRIDE
+        first, place = np.cumsum(size) - size, np.cumsum(counts) - counts
+        start = np.repeat(first, counts) + STRIDE * (np.arange(counts.sum()) - np.repeat(place, counts))
+        end = np.repeat(first + size, counts)
         logit = np.empty(len(start), dtype=np.float32)
         step = np.arange(WIDTH)[:, None]
-        for at in range(0, len(start), BLOCK):
-            place = start[at : at + BLOCK] + step
-            mask = place < end[at : at + BLOCK]
-            gates = self.table[flat[np.where(mask, place, len(flat) - 1)]]
-            logit[at : at + BLOCK] = run_network(self.p, gates, mask.astype(np.float32))
+        whole = start + WIDTH <= end
+        for own, full in ((np.flatnonzero(whole), True), (np.flatnonzero(~whole), False)):
+            for at in range(0, len(own), BLOCK):
+                some = own[at : at + BLOCK]
+                words = start[some] + step
+                if full:
+                    logit[some] = window_logits(self.p, np.take(self.table, flat[words], axis=0))
+                else:
+                    mask = words < end[some]
+                    gates = np.take(self.table, flat[np.where(mask, words, len(flat) - 1)], axis=0)
+                    logit[some] = window_logits(self.p, gates, mask.astype(np.float32))
         at = 0
-        for n in counts:
+        for n in counts.tolist():
             best = int(logit[at : at + n].argmax())
             yield float(logit[at + best]), best, n
             at += n
@@ -284,7 +368,7 @@ class Scorer:
         for text in texts:
             waiting.append((text or "").split())
             words += len(waiting[-1])
-            if words >= BLOCK * STRIDE:
+            if words >= TEXT_WORDS:
                 yield from self._block(waiting)
                 waiting, words = [], 0
         if waiting:

@@ -155,6 +155,36 @@ def test_network_gradients():
     assert abs((loss(p, moved) - loss(p, gates)) / 1e-6 - d_gates[1, 2, 7]) < 1e-4
 
 
+def test_trigrams_of_many_words_equal_those_of_each():
+    words = ["", "a", "ab", "abc", "naïve", "żółć", "日本語", "😀", "a😀b", "\ud800x", "long" * 300]
+    bucket, size = toxicity.all_trigrams(words)
+    each = [toxicity.trigrams(w) for w in words]
+    assert bucket.tolist() == [b for x in each for b in x] and size.tolist() == [len(x) for x in each]
+    assert [len(x) for x in toxicity.all_trigrams([])] == [0, 0]
+
+
+def test_scorer_equals_the_network_window_by_window():
+    rng = np.random.default_rng(4)
+    vocabulary = {w: i + 1 for i, w in enumerate(("nasty", "fine", "day"))}
+    p = toxicity.new_params(3, rng)
+    words = ["Nasty", "nasty!", "fine", "(fine)", "day", "żółć", "tree", "#"]
+    texts = [None, "", *(" ".join(rng.choice(words, n)) for n in (1, 15, 16, 17, 32, 33, 48, 49, 700, 20_000))]
+    scorer = toxicity.Scorer(vocabulary, p)
+    for text, (logit, best, n) in zip(texts, scorer.score(texts), strict=True):
+        tokens = [toxicity.normal(t) for t in (text or "").split()]
+        windows = [tokens[s : s + toxicity.WIDTH] for s in toxicity.window_starts(len(tokens))]
+        mask = np.array([[float(t < len(w)) for w in windows] for t in range(toxicity.WIDTH)])
+        x = np.zeros((*mask.shape, toxicity.WORD_DIM + toxicity.CHAR_DIM))
+        for j, window in enumerate(windows):
+            for t, w in enumerate(window):
+                x[t, j, : toxicity.WORD_DIM] = p["word"][vocabulary[w]] if w in vocabulary else 0
+                x[t, j, toxicity.WORD_DIM :] = p["char"][toxicity.trigrams(w)].mean(axis=0)
+        want = toxicity.run_network(p, np.concatenate([x @ p["wx"][k] + p["bx"][k] for k in (0, 1)], axis=2), mask)
+        assert n == len(windows) and abs(logit - want.max()) < 1e-4 and abs(want[best] - want.max()) < 1e-4
+    # spellings of a word are projected once
+    assert len(scorer.words) == 6 and len(scorer.rows) == 8
+
+
 def test_windows_overlap_and_cover():
     for n in (0, 1, 16, 17, 32, 33, 48, 49, 500):
         starts = list(toxicity.window_starts(n))
