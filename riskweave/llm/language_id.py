@@ -44,6 +44,7 @@ BLANK = 1
 UNKNOWN = "und"
 BLOCK = 2_000_000
 PIECE = 1_000_000  # bytes of text whose n-grams are listed at once
+ZSTD_LEVEL = 5  # of stored texts; a sixth smaller than at level 1; the blocks are the most of the disk
 TEXT_BLOCK, GRAM_BLOCK = 32_000_000, 1_000_000  # bytes of text and distinct n-grams that end a block of texts
 
 
@@ -395,7 +396,7 @@ def _text_blocks(docs: DataFrame, text_col: str) -> DataFrame:
 
 def _packed(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=ZSTD_LEVEL))) as out:
         out.write_batch(rows)
     return sink.getvalue().to_pybytes()
 

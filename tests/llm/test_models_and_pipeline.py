@@ -155,6 +155,18 @@ def test_network_gradients():
     assert abs((loss(p, moved) - loss(p, gates)) / 1e-6 - d_gates[1, 2, 7]) < 1e-4
 
 
+def test_stored_texts_are_small_and_whole(spark):
+    docs = spark.read.parquet(f"{entry_points.SMOKE_DIR}/documents.parquet").select("doc_id", "text")
+    rows = docs.toArrow().combine_chunks().to_batches()[0]
+    rows = rows.slice(0, max(1, rows.num_rows * language_id.PIECE // max(rows.nbytes, language_id.PIECE)))
+    plain = pa.BufferOutputStream()
+    with pa.ipc.new_stream(plain, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    packed = language_id._packed(rows)
+    assert len(packed) < 0.95 * plain.tell()
+    assert pa.ipc.open_stream(packed).read_all() == pa.Table.from_batches([rows])
+
+
 def test_trigrams_of_many_words_equal_those_of_each():
     words = ["", "a", "ab", "abc", "naïve", "żółć", "日本語", "😀", "a😀b", "\ud800x", "long" * 300]
     bucket, size = toxicity.all_trigrams(words)
