@@ -40,12 +40,27 @@ def minute_kpi(dwd: DataFrame) -> DataFrame:
     )
 
 
-def account_pairs(dwd: DataFrame) -> DataFrame:
+PAIR_ROWS = 200_000  # rows whose pairs one task holds
+
+
+def account_pairs(dwd: DataFrame, rows: int | None = None) -> DataFrame:
     """One row per unordered pair of accounts with the measures of both directions.
 
     ``a`` is the smaller account.  ``ab_*`` describes payments a -> b, ``ba_*`` b -> a;
     a self transfer is an a -> b payment with a = b.
+
+    Where most pairs have few payments a task's memory follows its rows.  With ``rows``, the known
+    number, they are dealt to as many tasks as hold :data:`PAIR_ROWS` each, if the session's partitions
+    are fewer; payments of a pair then meet in one task without being combined map side.
     """
+    ends = [F.least("from_account", "to_account").alias("a"), F.greatest("from_account", "to_account").alias("b")]
+    parts = -(-(rows or 0) // PAIR_ROWS)
+    if parts > int(dwd.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        dwd = dwd.select(
+            *ends, "from_account", "to_account", "amount_paid", "amount_received",
+            "is_laundering", "is_cross_bank", "is_cross_currency",
+        ).repartition(parts, "a", "b")
+        ends = ["a", "b"]
     forward = F.col("from_account") <= F.col("to_account")
     amount, received = F.col("amount_paid"), F.col("amount_received")
     aggs = []
@@ -56,10 +71,7 @@ def account_pairs(dwd: DataFrame) -> DataFrame:
             money_sum(F.when(test, received)).alias(f"{name}_received"),
             F.max(F.when(test, amount)).alias(f"{name}_max"),
         ]
-    return dwd.groupBy(
-        F.least("from_account", "to_account").alias("a"),
-        F.greatest("from_account", "to_account").alias("b"),
-    ).agg(
+    return dwd.groupBy(*ends).agg(
         *aggs,
         _flag_sum("is_laundering").alias("label_count"),
         _flag_sum("is_cross_bank").alias("bank_count"),
@@ -67,14 +79,14 @@ def account_pairs(dwd: DataFrame) -> DataFrame:
     )
 
 
-def account_base(dwd: DataFrame) -> DataFrame:
-    """Account features without the rule score.
+def account_base(dwd: DataFrame, rows: int | None = None) -> DataFrame:
+    """Account features without the rule score; for ``rows`` see :func:`account_pairs`.
 
     Payments are first combined per unordered account pair (map side first), so an account
     with a third of all rows is spread over its counterparties.  After that every pair
     gives each of its accounts one row, and the distinct counterparties are a plain count.
     """
-    pairs = account_pairs(dwd)
+    pairs = account_pairs(dwd, rows)
     own = F.col("a") == F.col("b")
 
     def view(me: str, out: str, into: str) -> Column:

@@ -173,3 +173,15 @@ def test_rollup_counts_high_risk_events(rows):
     assert (r[0]["total_event_count"], r[0]["counterparty_count"], r[0]["laundering_event_count"]) == (3, 1, 2)
     assert (r[0]["cross_bank_event_count"], r[0]["cross_currency_event_count"]) == (1, 2)
     assert str(r[0]["out_amount"]) == "3.25" and r[0]["risk_score_rule"] == 90.0
+
+
+def test_pairs_are_dealt_by_the_number_of_rows(spark, monkeypatch):
+    dwd = spark.range(4000).select(
+        F.concat(F.lit("A"), F.col("id") % 37).alias("from_account"), F.concat(F.lit("A"), F.col("id") % 41).alias("to_account"),
+        (F.col("id") * 1.25).alias("amount_paid"), (F.col("id") * 1.5).alias("amount_received"),
+        *[(F.col("id") % k == 0).cast("int").alias(c) for k, c in ((3, "is_laundering"), (5, "is_cross_bank"), (7, "is_cross_currency"))],
+    )
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(M, "PAIR_ROWS", 4000 // (few + 5))
+    assert M.account_pairs(dwd, 4000).rdd.getNumPartitions() >= few + 5
+    assert sorted(M.account_base(dwd, 4000).collect()) == sorted(M.account_base(dwd).collect())
