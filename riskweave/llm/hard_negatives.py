@@ -4,9 +4,10 @@ The score of a row for an anchor is their integer inner product.  An anchor's po
 its label with the highest scores; its hard negatives for a positive are the highest rows of other labels
 whose score lies in a window below the positive's score.
 
-* Rows and anchors are packed in blocks of bounded size, and every block of rows meets every block of
-  anchors in a join on the pair of their numbers: the anchors are a query set, and no table is whole in
-  a task or in the driver.
+* Rows and anchors are packed in blocks of bounded size, components in the smallest whole type that holds
+  them, and every block of rows meets every block of anchors in a join on the number of the block of rows:
+  the anchors are a query set, and no table is whole in a task or in the driver.  Nothing is broadcast, as
+  copies of the anchors grow with the blocks of rows and Spark's size check does not see them.
 * The anchors of a block are linked by a minimum spanning tree.  Its root is scored against all rows of
   the block.  For a child c of p, Cauchy and Schwarz give |score(c, x) - score(p, x)| <= |c - p| * |x|, so
   the parent's score, or its bounds, widened by edge length times norm, bound the child's.
@@ -84,6 +85,13 @@ def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def _small(x: np.ndarray) -> bytes:
+    """The numbers in the smallest whole type that holds them all."""
+    low, high = x.min(initial=0), x.max(initial=0)
+    fits = (t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return x.astype(next(fits)).tobytes()
+
+
 def _packed_rows(group: pa.Table) -> pa.Table:
     group = group.sort_by("_id")
     x = _matrix(group.column("_v"))
@@ -91,7 +99,7 @@ def _packed_rows(group: pa.Table) -> pa.Table:
         "rb": pa.array([group.column("_block")[0].as_py()], pa.int32()),
         "ids": pa.array([group.column("_id").to_numpy().tobytes()], pa.binary()),
         "labels": pa.array([group.column("_label").to_numpy().tobytes()], pa.binary()),
-        "vectors": pa.array([x.tobytes()], pa.binary()),
+        "vectors": pa.array([_small(x)], pa.binary()),
         "width": pa.array([x.shape[1]], pa.int32()),
     })
 
@@ -112,7 +120,7 @@ def _packed_anchors(wanted: int) -> Callable[[pa.Table], pa.Table]:
             "ab": pa.array([group.column("_block")[0].as_py()], pa.int32()),
             "a_ids": pa.array([group.column("_id").to_numpy()[order].tobytes()], pa.binary()),
             "a_labels": pa.array([group.column("_label").to_numpy()[order].tobytes()], pa.binary()),
-            "a_vectors": pa.array([x[order].tobytes()], pa.binary()),
+            "a_vectors": pa.array([_small(x[order])], pa.binary()),
             "a_width": pa.array([x.shape[1]], pa.int32()),
             "parent": pa.array([parent.tobytes()], pa.binary()),
             "edge": pa.array([edge.tobytes()], pa.binary()),
@@ -129,16 +137,31 @@ def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
 
 
 def _pairs(rows: DataFrame, row_blocks: int, anchors: DataFrame, anchor_blocks: int) -> DataFrame:
-    """Every block of rows with every block of anchors."""
-    left = rows.withColumn("ab", F.explode(F.sequence(F.lit(0), F.lit(anchor_blocks - 1))))
-    right = anchors.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
-    return left.join(right, ["rb", "ab"])
+    """Every block of rows with every block of anchors.
+
+    Anchors are copied for each block of rows; a block of rows is copied only where there are too few for the
+    tasks, once for each share of the anchor blocks.  Both sides are shuffled and merged: Spark's size check
+    counts neither the copies nor what a cell holds, and would send the anchors' copies through the driver.
+    """
+    tasks = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = min(anchor_blocks, -(-tasks // row_blocks))
+    tasks = min(tasks, 4 * row_blocks * shares)
+    left = anchors.withColumn("share", F.pmod("ab", F.lit(shares))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
+    right = rows.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    left, right = (side.repartition(tasks, "rb", "share") for side in (left, right))
+    return left.join(right.hint("merge"), ["rb", "share"])
 
 
 def _int64(cell: pa.Scalar) -> np.ndarray:
     return np.frombuffer(cell.as_buffer(), dtype=np.int64)
 
 
+def _whole(cell: pa.Scalar, rows: int, width: int) -> np.ndarray:
+    """The matrix of :func:`_small`."""
+    data = cell.as_buffer()
+    return np.frombuffer(data, dtype=f"i{data.size // max(rows * width, 1) or 8}").reshape(rows, width).astype(np.int64)
+
+
 def _numbers(x: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both matrices, padded to one width, in the fastest type in which their products are exact."""
     width = max(x.shape[1], a.shape[1])
@@ -208,8 +231,8 @@ def _pair_task(pick: Callable[..., Iterator[tuple]], names: list[str]) -> Callab
             for i in range(batch.num_rows):
                 cell = {n: batch.column(n)[i] for n in batch.schema.names}
                 ids, a_ids = _int64(cell["ids"]), _int64(cell["a_ids"])
-                x = _int64(cell["vectors"]).reshape(len(ids), cell["width"].as_py())
-                a = _int64(cell["a_vectors"]).reshape(len(a_ids), cell["a_width"].as_py())
+                x = _whole(cell["vectors"], len(ids), cell["width"].as_py())
+                a = _whole(cell["a_vectors"], len(a_ids), cell["a_width"].as_py())
                 out: dict[str, list[np.ndarray]] = {n: [] for n in names}
                 for found in pick(
                     ids, _int64(cell["labels"]), x, a_ids, _int64(cell["a_labels"]), a, _int64(cell["parent"]),
@@ -293,7 +316,7 @@ def mine_hard_negatives(
     targets = best.groupBy(F.col("anchor_id").alias("_id")).agg(
         F.sort_array(F.collect_list(F.struct("rank", "positive_id", "positive_score"))).alias("_targets")
     )
-    asking = chosen.join(targets, "_id").groupBy("_block").applyInArrow(_packed_anchors(positives), _ANCHOR_BLOCK)
+    asking = chosen.join(targets.hint("merge"), "_id").groupBy("_block").applyInArrow(_packed_anchors(positives), _ANCHOR_BLOCK)
     names = [*names, "negative_id", "negative_score"]
     hard = _pairs(packed, row_blocks, asking, anchor_blocks).mapInArrow(
         _pair_task(_picked_negatives(negatives, least, most), names), ", ".join(f"{n} long" for n in names)

@@ -8,6 +8,7 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, SPACED, odd_documents, prose
 from pyspark.sql import functions as F
@@ -159,6 +160,41 @@ def test_hard_negatives(spark, rows, scale, monkeypatch):
     assert sorted(map(tuple, found)) == want and len(want) > 100
 
 
+@pytest.mark.parametrize("partitions", [1, 16])
+def test_pairs_of_blocks_bypass_the_driver(spark, rows, monkeypatch, partitions):
+    monkeypatch.setattr(hard_negatives, "ROWS", 20)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 5)
+    plans, store = [], hard_negatives.staged
+
+    def plan(frame):
+        found = frame.collect()
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(hard_negatives, "staged", lambda frame, label: (plan(frame), store(frame, label))[1])
+    rng = random.Random(partitions)
+    data = [(i, rng.randrange(3), [rng.randint(-9, 99) for _ in range(4)]) for i in range(150)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = plan(hard_negatives.mine_hard_negatives(rows(VECTORS, [(*d, "a", "b", 7) for d in data]), F.col("_id") % 5 == 0))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(map(tuple, found)) == plain_negatives(data, lambda i: i % 5 == 0)
+    assert len(plans) == 4 and "SortMergeJoin" in plans[2] and "SortMergeJoin" in plans[3]
+    assert not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("most", [127, 128, 2**15, 2**31, 2**62])
+def test_packed_numbers_come_back(most):
+    for x in ([[most, 0], [1, 2]], [[-most, 3], [0, 5]], [[-most - 1, most]], np.zeros((3, 0), np.int64)):
+        x = np.array(x, dtype=np.int64)
+        packed = hard_negatives._small(x)
+        back = hard_negatives._whole(pa.scalar(packed, pa.binary()), *x.shape)
+        assert back.dtype == np.int64 and (back == x).all() and back.shape == x.shape
+        assert len(packed) <= x.size * (1 if most < 128 and x.min(initial=0) >= -128 else 8)
+
+
 def test_hard_negatives_of_no_rows(spark, rows):
     for data in ([], [(1, 1, [1], None, None, None)], [(10, 1, [1], None, None, None), (20, 1, [1], None, None, None)]):
         assert hard_negatives.mine_hard_negatives(rows(VECTORS, data), F.col("_id") % 10 == 0).collect() == []
